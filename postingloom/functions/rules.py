@@ -6,6 +6,7 @@ All of them are built-in expressions, so they stay inside generated code.
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -75,29 +76,33 @@ assert len(V.SKILLS) <= 63
 
 def skill_mask(title: Column, description: Column) -> Column:
     """Bit ``i`` is set where the i-th skill occurs as a bare substring."""
-    return skill_mask_of_text(lowered_text(title, description))
-
-
-def skill_mask_of_text(text: Column) -> Column:
-    """As :func:`skill_mask`, for text that is lower-cased already."""
-    mask = F.lit(0).cast("bigint")
-    for i, skill in enumerate(V.SKILLS):
-        mask = mask.bitwiseOR(F.when(text.contains(skill), F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint"))
-    return mask
+    text = lowered_text(title, description)
+    bits = [F.when(text.contains(skill), 1 << i).otherwise(0).cast("bigint") for i, skill in enumerate(V.SKILLS)]
+    return reduce(Column.__add__, bits)
 
 
 def skills_in_mask(mask: Column) -> Column:
-    """The skill names of a mask as an array in vocabulary order."""
-    found = [
-        F.when(mask.bitwiseAND(F.lit(1 << i).cast("bigint")) != 0, F.lit(skill)).otherwise(F.lit(""))
-        for i, skill in enumerate(V.SKILLS)
-    ]
-    return F.array_remove(F.array(*found), "")
+    """The skill names of a mask as an array in vocabulary order.
+
+    ``mask`` should be a stored column: it is read once per skill.
+    """
+    return _names([mask.bitwiseAND(F.lit(1 << i).cast("bigint")) != 0 for i in range(len(V.SKILLS))])
 
 
 def detected_skills(title: Column, description: Column) -> Column:
     """Array of the skills a posting mentions, in vocabulary order."""
-    return skills_in_mask(skill_mask(title, description))
+    return detected_skills_of_text(lowered_text(title, description))
+
+
+def detected_skills_of_text(text: Column) -> Column:
+    """As :func:`detected_skills`, for text that is lower-cased already."""
+    return _names([text.contains(skill) for skill in V.SKILLS])
+
+
+def _names(found: list[Column]) -> Column:
+    # Stays in generated code, unlike a filter with a lambda.
+    named = [F.when(test, F.lit(skill)).otherwise(F.lit("")) for test, skill in zip(found, V.SKILLS)]
+    return F.array_remove(F.array(*named), "")
 
 
 # ---- geography ------------------------------------------------------------
