@@ -1,4 +1,5 @@
-"""The posting rules: each takes columns and returns a column.
+"""The posting rules. Each takes column names (or SQL expressions) and returns
+a column.
 
 All of them are built-in expressions, so they stay inside generated code.
 """
@@ -6,64 +7,59 @@ All of them are built-in expressions, so they stay inside generated code.
 from __future__ import annotations
 
 import re
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import vocabulary as V
-from .text import blank_to_null, lowered_text, mentions_any, strip
+from .text import blank_to_null, literal, lowered_text, mentions_any, strip
 
 
 # ---- classification -------------------------------------------------------
 
-def work_mode(title: Column, description: Column) -> Column:
+def work_mode(title: str = "title", description: str = "description") -> Column:
     """on_site / hybrid / remote / unknown.
 
     The order of the tests carries meaning: "no remote" must be seen before
     "remote" is.
     """
     text = lowered_text(title, description)
-    return (
-        F.when(mentions_any(text, V.ON_SITE_WORDS), "on_site")
-        .when(mentions_any(text, V.HYBRID_WORDS), "hybrid")
-        .when(mentions_any(text, V.REMOTE_WORDS), "remote")
-        .otherwise("unknown")
+    return F.expr(
+        f"""CASE WHEN {mentions_any(text, V.ON_SITE_WORDS)} THEN 'on_site'
+                 WHEN {mentions_any(text, V.HYBRID_WORDS)} THEN 'hybrid'
+                 WHEN {mentions_any(text, V.REMOTE_WORDS)} THEN 'remote'
+                 ELSE 'unknown' END"""
     )
 
 
-def is_noise(title: Column) -> Column:
+def is_noise(title: str = "title") -> Column:
     """Titles that feed A drops while extracting (bare substrings)."""
-    return mentions_any(lowered_text(title), V.NOISE_WORDS)
+    return F.expr(mentions_any(lowered_text(title), V.NOISE_WORDS))
 
 
-def is_relevant(title: Column) -> Column:
+def is_relevant(title: str = "title") -> Column:
     """A wanted role is named and no off-topic word is; never NULL."""
     text = lowered_text(title)
-    return mentions_any(text, V.ROLE_WORDS) & ~mentions_any(text, V.OFF_TOPIC_WORDS)
+    return F.expr(f"{mentions_any(text, V.ROLE_WORDS)} AND NOT {mentions_any(text, V.OFF_TOPIC_WORDS)}")
 
 
-def seniority(title: Column) -> Column:
+def seniority(title: str = "title") -> Column:
     text = lowered_text(title)
-    return (
-        F.when(mentions_any(text, V.SENIOR_WORDS), "senior")
-        .when(mentions_any(text, V.JUNIOR_WORDS), "junior")
-        .otherwise("unknown")
+    return F.expr(
+        f"""CASE WHEN {mentions_any(text, V.SENIOR_WORDS)} THEN 'senior'
+                 WHEN {mentions_any(text, V.JUNIOR_WORDS)} THEN 'junior'
+                 ELSE 'unknown' END"""
     )
 
 
-def seniority_by_regex(title: Column) -> Column:
+def seniority_by_regex(title: str = "title") -> Column:
     """The same decision as :func:`seniority`, stated as two patterns."""
     text = lowered_text(title)
     senior, junior = (
-        "|".join(re.escape(w).replace("\\ ", " ") for w in words)
+        literal("|".join(re.escape(w).replace("\\ ", " ") for w in words))
         for words in (V.SENIOR_WORDS, V.JUNIOR_WORDS)
     )
-    return (
-        F.when(text.rlike(senior), "senior")
-        .when(text.rlike(junior), "junior")
-        .otherwise("unknown")
-    )
+    return F.expr(f"CASE WHEN {text} RLIKE {senior} THEN 'senior' WHEN {text} RLIKE {junior} THEN 'junior' ELSE 'unknown' END")
 
 
 # ---- skills ---------------------------------------------------------------
@@ -74,134 +70,126 @@ def seniority_by_regex(title: Column) -> Column:
 assert len(V.SKILLS) <= 63
 
 
-def skill_mask(title: Column, description: Column) -> Column:
+def skill_mask(title: str = "title", description: str = "description") -> Column:
     """Bit ``i`` is set where the i-th skill occurs as a bare substring."""
     text = lowered_text(title, description)
-    bits = [F.when(text.contains(skill), 1 << i).otherwise(0).cast("bigint") for i, skill in enumerate(V.SKILLS)]
-    return reduce(Column.__add__, bits)
+    return F.expr(
+        " + ".join(f"IF(contains({text}, {literal(skill)}), {1 << i}L, 0L)" for i, skill in enumerate(V.SKILLS))
+    )
 
 
-def skills_in_mask(mask: Column) -> Column:
+def skills_in_mask(mask: str = "skill_mask") -> Column:
     """The skill names of a mask as an array in vocabulary order.
 
     ``mask`` should be a stored column: it is read once per skill.
     """
-    return _names([mask.bitwiseAND(F.lit(1 << i).cast("bigint")) != 0 for i in range(len(V.SKILLS))])
+    return _names([f"({mask} & {1 << i}L) != 0" for i in range(len(V.SKILLS))])
 
 
-def detected_skills(title: Column, description: Column) -> Column:
+def detected_skills(title: str = "title", description: str = "description") -> Column:
     """Array of the skills a posting mentions, in vocabulary order."""
-    return detected_skills_of_text(lowered_text(title, description))
-
-
-def detected_skills_of_text(text: Column) -> Column:
-    """As :func:`detected_skills`, for text that is lower-cased already."""
-    return _names([text.contains(skill) for skill in V.SKILLS])
+    text = lowered_text(title, description)
+    return _names([f"contains({text}, {literal(skill)})" for skill in V.SKILLS])
 
 
-def _names(found: list[Column]) -> Column:
+def _names(tests: list[str]) -> Column:
     # Stays in generated code, unlike a filter with a lambda.
-    named = [F.when(test, F.lit(skill)).otherwise(F.lit("")) for test, skill in zip(found, V.SKILLS)]
-    return F.array_remove(F.array(*named), "")
+    named = ", ".join(f"IF({test}, {literal(skill)}, '')" for test, skill in zip(tests, V.SKILLS))
+    return F.expr(f"array_remove(array({named}), '')")
 
 
 # ---- geography ------------------------------------------------------------
 
-def country_code(country: Column) -> Column:
-    return F.upper(blank_to_null(country))
+def country_code(country: str = "country") -> Column:
+    return F.expr(f"upper({blank_to_null(country)})")
 
 
-def city_name(country: Column, location: Column) -> Column:
+def city_name(country: str = "country", location: str = "location") -> Column:
     """Text before the first comma, stripped; NULL without country or comma."""
-    known = blank_to_null(country).isNotNull() & location.contains(",")
-    return F.when(known, strip(F.substring_index(location, ",", 1)))
+    before = strip(f"substring_index({location}, ',', 1)")
+    return F.expr(f"CASE WHEN {blank_to_null(country)} IS NOT NULL AND contains({location}, ',') THEN {before} END")
 
 
-def city_text_before_comma(location: Column) -> Column:
+def city_text_before_comma(location: str = "location") -> Column:
     """Untrimmed text before the first comma, or all of it without a comma."""
-    return F.split_part(location, F.lit(","), F.lit(1))
+    return F.expr(f"split_part({location}, ',', 1)")
 
 
-def country_name(code: Column) -> Column:
+def country_name(code: str = "country_code") -> Column:
     """Name of a country code; an unlisted code is its own name."""
-    names = F.create_map(*[F.lit(x) for pair in V.COUNTRY_NAMES.items() for x in pair])
-    return F.coalesce(F.try_element_at(names, F.lower(code)), F.upper(code))
+    names = ", ".join(f"{literal(c)}, {literal(n)}" for c, n in V.COUNTRY_NAMES.items())
+    return F.expr(f"coalesce(try_element_at(map({names}), lower({code})), upper({code}))")
 
 
 # ---- other attributes -----------------------------------------------------
 
-def company_or_unknown(company: Column) -> Column:
-    return F.coalesce(blank_to_null(company), F.lit(V.UNKNOWN_COMPANY))
+def company_or_unknown(company: str = "company_name") -> Column:
+    return F.expr(f"coalesce({blank_to_null(company)}, {literal(V.UNKNOWN_COMPANY)})")
+
+
+def _given(text: str) -> str:
+    return blank_to_null(f"nullif({text}, 'None')")
 
 
-def salary(text: Column) -> Column:
+def salary(text: str) -> Column:
     """DECIMAL(10,2) rounded half up; NULL for missing and unreadable text."""
-    return blank_to_null(F.nullif(text, F.lit("None"))).try_cast("decimal(10,2)")
+    return F.expr(f"try_cast({_given(text)} AS DECIMAL(10,2))")
 
 
-def salary_is_malformed(text: Column) -> Column:
+def salary_is_malformed(text: str) -> Column:
     """Text is there, yet it is no amount that fits the column; never NULL."""
-    given = blank_to_null(F.nullif(text, F.lit("None")))
-    return given.isNotNull() & salary(text).isNull()
+    return F.expr(f"{_given(text)} IS NOT NULL AND try_cast({_given(text)} AS DECIMAL(10,2)) IS NULL")
 
 
-def extraction_time_text(text: Column) -> Column:
+def extraction_time_text(text: str = "extracted_at") -> Column:
     """One UTC spelling with fixed microseconds for the two spellings in use.
 
     A text without an offset is UTC already; a text that is no timestamp is
     kept as it is. With one spelling, the greatest text is also the latest
     time. Counted from the epoch, so the session's time zone plays no part.
     """
-    zoned = F.when(text.rlike(r"(Z|[+-]\d\d:?\d\d)$"), text).otherwise(F.concat(text, F.lit("Z")))
-    seconds = (F.unix_micros(F.try_to_timestamp(zoned)).cast("decimal(18,0)") / 1000000).cast("decimal(18,6)")
-    utc = F.expr("timestamp_ntz'1970-01-01 00:00:00'") + F.make_dt_interval(secs=seconds)
-    return F.coalesce(F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), text)
+    return F.expr(_time_text(text))
 
 
-def run_key(extracted_at: Column) -> Column:
+def _time_text(text: str) -> str:
+    zoned = f"IF({text} RLIKE '(Z|[+-][0-9][0-9]:?[0-9][0-9])$', {text}, concat({text}, 'Z'))"
+    seconds = f"CAST(CAST(unix_micros(try_to_timestamp({zoned})) AS DECIMAL(18,0)) / 1000000 AS DECIMAL(18,6))"
+    utc = f"timestamp_ntz'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, {seconds})"
+    return f"coalesce(date_format({utc}, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\"), {text})"
+
+
+def run_key(extracted_at: str = "extracted_at") -> Column:
     """Directory-friendly form of the extraction time; sorts like the time."""
-    return F.regexp_replace(extraction_time_text(extracted_at), "[^0-9A-Za-z]", "")
+    return F.expr(f"regexp_replace({_time_text(extracted_at)}, '[^0-9A-Za-z]', '')")
 
 
 # ---- keys and measures ----------------------------------------------------
 
-def surrogate_key(*parts: Column) -> Column:
+def surrogate_key(*parts: str) -> Column:
     """Key computed from a natural key; NULL where any part is NULL.
 
     128 bits of SHA-256: the same on every run and every executor, so foreign
     keys are projections and need no lookup join.
     """
-    pieces = []
-    for part in parts:
-        pieces += [F.lit("\0"), part.cast("string")]
-    return F.substring(F.sha2(F.concat(*pieces[1:]).cast("binary"), 256), 1, 32)
-
-
-def country_key(code: Column) -> Column:
-    return surrogate_key(code)
-
-
-def city_key(city: Column, code: Column) -> Column:
-    return surrogate_key(blank_to_null(city), code)
+    natural = ", '\\u0000', ".join(parts)
+    return F.expr(f"substring(sha2(concat({natural}), 256), 1, 32)")
 
 
-def percent_of(part: Column, total: Column) -> Column:
+def percent_of(part: str, total: str) -> Column:
     """``part`` as a percentage of ``total``, one decimal, rounded half up.
 
     Worked out on integers so that no binary fraction decides a tie; NULL when
     ``total`` is 0.
     """
-    total = F.nullif(total.cast("bigint"), F.lit(0).cast("bigint"))
-    tenths = F.call_function("div", part.cast("bigint") * 2000 + total, total * 2)
-    return tenths.cast("double") / 10
+    whole = f"nullif({total}, 0L)"
+    return F.expr(f"CAST((2000L * {part} + {whole}) DIV (2L * {whole}) AS DOUBLE) / 10")
 
 
-def calendar_fields(day: Column) -> list[Column]:
+def calendar_fields(day: str) -> list[Column]:
     return [
-        day.alias("date_id"),
-        F.year(day).alias("year"),
-        F.month(day).alias("month"),
-        F.dayofmonth(day).alias("day"),
-        F.weekofyear(day).alias("week_of_year"),
-        F.date_format(day, "EEEE").alias("day_name"),
+        F.expr(text)
+        for text in (
+            f"{day} AS date_id", f"year({day}) AS year", f"month({day}) AS month", f"day({day}) AS day",
+            f"weekofyear({day}) AS week_of_year", f"date_format({day}, 'EEEE') AS day_name",
+        )
     ]

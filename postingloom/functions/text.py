@@ -1,11 +1,10 @@
-"""Text helpers shared by the posting rules."""
+"""SQL fragments for text, shared by the posting rules.
 
-from __future__ import annotations
-
-from functools import reduce
+Fragments are strings: a rule with dozens of word tests is handed to Spark as
+one expression instead of dozens of calls, and reads the same in SQL.
+"""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from __future__ import annotations
 
 # Every character that counts as whitespace when text is stripped: the Unicode
 # White_Space set plus the four ASCII separators. SQL's own trim() only knows
@@ -19,27 +18,29 @@ WHITESPACE = "".join(
 )
 
 
-def lowered_text(*parts: Column) -> Column:
+def literal(value: str) -> str:
+    """A SQL string literal."""
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return "'" + "".join(c if c.isprintable() else f"\\u{ord(c):04x}" for c in escaped) + "'"
+
+
+def lowered_text(*parts: str) -> str:
     """Lower-cased parts joined by one blank; a missing part counts as empty.
 
     The blank is what lets a phrase match across the seam of two parts.
     """
-    return F.lower(F.concat_ws(" ", *[F.coalesce(p, F.lit("")) for p in parts]))
+    present = [f"coalesce({p}, '')" for p in parts]
+    return f"lower({present[0]})" if len(present) == 1 else f"lower(concat_ws(' ', {', '.join(present)}))"
 
 
-def mentions_any(text: Column, words: list[str]) -> Column:
+def mentions_any(text: str, words: list[str]) -> str:
     """True where any of ``words`` occurs in ``text`` as a bare substring."""
-    return reduce(lambda a, b: a | b, [text.contains(w) for w in words])
-
-
-def strip(text: Column) -> Column:
-    return F.btrim(text, F.lit(WHITESPACE))
+    return "(" + " OR ".join(f"contains({text}, {literal(w)})" for w in words) + ")"
 
 
-def blank_to_null(text: Column) -> Column:
-    return F.nullif(text, F.lit(""))
+def strip(text: str) -> str:
+    return f"btrim({text}, {literal(WHITESPACE)})"
 
 
-def shorten(text: Column, length: int) -> Column:
-    """Cast to a bounded text type: anything beyond ``length`` is cut off."""
-    return F.substring(text, 1, length)
+def blank_to_null(text: str) -> str:
+    return f"nullif({text}, '')"

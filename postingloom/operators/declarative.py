@@ -24,14 +24,14 @@ def cities_by_join(relevant: DataFrame, dim_country: DataFrame) -> DataFrame:
     parts = (
         relevant.where(F.col("location").contains(","))
         .select(
-            rules.city_text_before_comma(F.col("location")).alias("city_name"),
-            rules.country_code(F.col("country")).alias("country_code"),
+            rules.city_text_before_comma().alias("city_name"),
+            rules.country_code().alias("country_code"),
         )
         .distinct()
     )
     named = parts.join(dim_country, "country_code")
     return named.select(
-        rules.surrogate_key(F.col("city_name"), F.col("country_code")).alias("city_id"), "city_name", "country_id"
+        rules.surrogate_key("city_name", "country_code").alias("city_id"), "city_name", "country_id"
     )
 
 
@@ -49,8 +49,8 @@ def fact_keys_by_join(
         "external_id",
         F.struct("extracted_at", "ordinal").alias("ord"),
         F.coalesce("company_name", F.lit(V.UNKNOWN_COMPANY)).alias("company_name"),
-        rules.country_code(F.col("country")).alias("country_code"),
-        rules.city_text_before_comma(F.col("location")).alias("city_name"),
+        rules.country_code().alias("country_code"),
+        rules.city_text_before_comma().alias("city_name"),
     )
     first = names.groupBy("source", "external_id").agg(
         F.min_by(F.struct("company_name", "country_code", "city_name"), F.col("ord")).alias("f")
@@ -70,7 +70,7 @@ def skill_pairs_from_table(relevant: DataFrame, dim_skill: DataFrame) -> DataFra
     read once and no pair of text and skill is formed that does not match.
     """
     names = dim_skill.agg(F.array_sort(F.collect_set("skill_name"))).scalar()
-    text = lowered_text(F.col("title"), F.col("description"))
+    text = F.expr(lowered_text("title", "description"))
     found = relevant.select("source", "external_id", text.alias("text")).withColumn("names", names)
     matched = F.filter("names", lambda name: F.col("text").contains(name))
     return found.select("source", "external_id", F.explode(matched).alias("skill_name")).distinct()

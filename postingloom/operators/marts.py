@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from ..functions import rules
 from ..functions import vocabulary as V
-from ..functions.text import shorten
 
 
 def _rows_in(table: DataFrame) -> Column:
@@ -34,7 +33,7 @@ def skill_demand(fact: DataFrame, bridge: DataFrame, dim_skill: DataFrame) -> Da
         .withColumn("total", _rows_in(fact))
     )
     return counted.select(
-        "skill_name", "job_count", rules.percent_of(F.col("job_count"), F.col("total")).alias("pct_du_total")
+        "skill_name", "job_count", rules.percent_of("job_count", "total").alias("pct_du_total")
     ).orderBy(F.desc("job_count"), "skill_name")
 
 
@@ -52,7 +51,7 @@ def seniority_distribution(fact: DataFrame) -> DataFrame:
         .select(
             "seniority_level",
             "job_count",
-            rules.percent_of(F.col("job_count"), F.col("total")).alias("pct_du_total"),
+            rules.percent_of("job_count", "total").alias("pct_du_total"),
         )
         .orderBy(F.desc("job_count"), "seniority_level")
     )
@@ -69,8 +68,8 @@ def geography_demand(fact: DataFrame, dim_city: DataFrame, dim_country: DataFram
     named = per_city.join(dim_city, "city_id", "left").join(dim_country, "country_id", "left")
     counted = named.groupBy("country_name", "city_name", "source").agg(F.sum("n").alias("job_count"))
     return counted.select(
-        shorten(F.coalesce("country_name", F.lit(V.NO_COUNTRY_LABEL)), 100).alias("country_name"),
-        shorten(F.coalesce("city_name", F.lit(V.NO_CITY_LABEL)), 200).alias("city_name"),
+        F.substring(F.coalesce("country_name", F.lit(V.NO_COUNTRY_LABEL)), 1, 100).alias("country_name"),
+        F.substring(F.coalesce("city_name", F.lit(V.NO_CITY_LABEL)), 1, 200).alias("city_name"),
         "source",
         "job_count",
     ).orderBy(F.desc("job_count"), "country_name", "city_name", "source")
@@ -106,7 +105,7 @@ def kpi_summary(fact: DataFrame, dim_skill: DataFrame) -> DataFrame:
     return figures.select(
         "total_job_postings",
         "total_companies",
-        rules.percent_of(F.col("remote"), F.col("total_job_postings")).alias("pct_remote"),
+        rules.percent_of("remote", "total_job_postings").alias("pct_remote"),
         "total_skills",
         "last_update",
     )

@@ -57,7 +57,7 @@ def load_report(stored: DataFrame, staging_rows: DataFrame) -> DataFrame:
     Every relevant row beyond the first of a new key counts as an update. The
     run is reduced to one row per key before it meets the stored keys.
     """
-    relevant = rules.is_relevant(F.col("title"))
+    relevant = rules.is_relevant()
     per_key = staging_rows.groupBy("source", "external_id").agg(
         F.count_if(relevant).alias("relevant"), F.count(F.lit(1)).alias("seen")
     )
@@ -74,7 +74,7 @@ def load_report(stored: DataFrame, staging_rows: DataFrame) -> DataFrame:
 def replay_report(staging_rows: DataFrame) -> DataFrame:
     """The load report of every run, had the runs been loaded one by one."""
     rows = staging_rows.select(
-        "extracted_at", "source", "external_id", rules.is_relevant(F.col("title")).alias("relevant")
+        "extracted_at", "source", "external_id", rules.is_relevant().alias("relevant")
     )
     totals = rows.groupBy("extracted_at").agg(
         F.count_if("relevant").alias("relevant"), F.count_if(~F.col("relevant")).alias("skipped")

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ..functions import rules
 from ..functions import vocabulary as V
-from ..functions.text import blank_to_null
 
 
 @dataclass(frozen=True)
@@ -26,21 +25,22 @@ DEFAULT = ModelOptions()
 
 
 def relevant_postings(staging_rows: DataFrame) -> DataFrame:
-    return staging_rows.where(rules.is_relevant(F.col("title")))
+    return staging_rows.where(rules.is_relevant())
 
 
 def _company(options: ModelOptions) -> Column:
     if options.blank_company_is_unknown:
-        return rules.company_or_unknown(F.col("company_name"))
-    return F.coalesce(F.col("company_name"), F.lit(V.UNKNOWN_COMPANY))
+        return rules.company_or_unknown()
+    return F.coalesce("company_name", F.lit(V.UNKNOWN_COMPANY))
 
 
 def _city(options: ModelOptions) -> Column:
-    country, location = F.col("country"), F.col("location")
     if options.trim_city:
-        return rules.city_name(country, location)
-    known = blank_to_null(country).isNotNull() & location.contains(",")
-    return F.when(known, rules.city_text_before_comma(location))
+        city = rules.city_name()
+    else:
+        located = F.col("country").isNotNull() & F.col("location").contains(",")
+        city = F.when(located, rules.city_text_before_comma())
+    return F.nullif(city, F.lit(""))
 
 
 def derive(relevant: DataFrame, options: ModelOptions = DEFAULT) -> DataFrame:
@@ -49,25 +49,26 @@ def derive(relevant: DataFrame, options: ModelOptions = DEFAULT) -> DataFrame:
     Keys are computed from natural keys. A company or city that holds a large
     share of the postings therefore costs nothing: no lookup join exists.
     """
-    title, description = F.col("title"), F.col("description")
-    code, city = rules.country_code(F.col("country")), _city(options)
-    return relevant.select(
+    natural = relevant.withColumns(
+        {"_company": _company(options), "_city": _city(options), "_code": rules.country_code()}
+    )
+    return natural.select(
         "source",
         "external_id",
         "title",
-        rules.surrogate_key(_company(options)).alias("company_id"),
-        rules.city_key(city, code).alias("city_id"),
+        rules.surrogate_key("_company").alias("company_id"),
+        rules.surrogate_key("_city", "_code").alias("city_id"),
         "work_mode",
-        rules.salary(F.col("salary_min")).alias("salary_min"),
-        rules.salary(F.col("salary_max")).alias("salary_max"),
+        rules.salary("salary_min").alias("salary_min"),
+        rules.salary("salary_max").alias("salary_max"),
         "job_type",
-        rules.seniority(title).alias("seniority_level"),
+        rules.seniority().alias("seniority_level"),
         F.lit(None).cast("date").alias("publication_date_id"),
         "url",
         "description",
         "run_date",
         F.struct("extracted_at", "ordinal").alias("ord"),
-        rules.skill_mask(title, description).alias("skill_mask"),
+        rules.skill_mask().alias("skill_mask"),
     )
 
 
@@ -93,7 +94,7 @@ def fold(derived: DataFrame) -> DataFrame:
         first.alias("first"), last.alias("last"), F.bit_or("skill_mask").alias("skill_mask")
     )
     return folded.select(
-        rules.surrogate_key(F.col("source"), F.col("external_id")).alias("job_posting_id"),
+        rules.surrogate_key("source", "external_id").alias("job_posting_id"),
         "source",
         "external_id",
         F.col("last.title").alias("title"),
@@ -111,8 +112,8 @@ def bridge_of(folded: DataFrame) -> DataFrame:
     """(posting, skill) pairs. Unique as they stand: one row per posting goes
     in, and a mask names a skill once."""
     return folded.select(
-        "job_posting_id", F.explode(rules.skills_in_mask(F.col("skill_mask"))).alias("skill_name")
-    ).select("job_posting_id", rules.surrogate_key(F.col("skill_name")).alias("skill_id"))
+        "job_posting_id", F.explode(rules.skills_in_mask()).alias("skill_name")
+    ).select("job_posting_id", rules.surrogate_key("skill_name").alias("skill_id"))
 
 
 # ---- dimensions -----------------------------------------------------------
@@ -120,37 +121,35 @@ def bridge_of(folded: DataFrame) -> DataFrame:
 # appears only on a later sighting is in the dimension although no fact uses it.
 
 def countries_of(relevant: DataFrame, options: ModelOptions = DEFAULT) -> DataFrame:
-    code = rules.country_code(F.col("country"))
-    codes = relevant.select(code.alias("country_code")).where("country_code IS NOT NULL").distinct()
-    name = F.col("country_code") if options.country_name_mode == "code" else rules.country_name(F.col("country_code"))
+    codes = relevant.select(rules.country_code().alias("country_code")).where("country_code IS NOT NULL").distinct()
+    name = F.col("country_code") if options.country_name_mode == "code" else rules.country_name()
     return codes.select(
-        rules.country_key(F.col("country_code")).alias("country_id"), "country_code", name.alias("country_name")
+        rules.surrogate_key("country_code").alias("country_id"), "country_code", name.alias("country_name")
     )
 
 
 def cities_of(relevant: DataFrame, options: ModelOptions = DEFAULT) -> DataFrame:
-    code = rules.country_code(F.col("country"))
     cities = (
-        relevant.select(blank_to_null(_city(options)).alias("city_name"), code.alias("country_code"))
+        relevant.select(_city(options).alias("city_name"), rules.country_code().alias("country_code"))
         .where("city_name IS NOT NULL AND country_code IS NOT NULL")
         .distinct()
     )
     return cities.select(
-        rules.city_key(F.col("city_name"), F.col("country_code")).alias("city_id"),
+        rules.surrogate_key("city_name", "country_code").alias("city_id"),
         "city_name",
-        rules.country_key(F.col("country_code")).alias("country_id"),
+        rules.surrogate_key("country_code").alias("country_id"),
     )
 
 
 def companies_of(relevant: DataFrame, options: ModelOptions = DEFAULT) -> DataFrame:
     names = relevant.select(_company(options).alias("company_name")).distinct()
-    return names.select(rules.surrogate_key(F.col("company_name")).alias("company_id"), "company_name")
+    return names.select(rules.surrogate_key("company_name").alias("company_id"), "company_name")
 
 
 def skill_seed(spark: SparkSession) -> DataFrame:
     """The whole vocabulary as a relation."""
     names = spark.createDataFrame([(s,) for s in V.SKILLS], "skill_name string")
-    return names.select(rules.surrogate_key(F.col("skill_name")).alias("skill_id"), "skill_name")
+    return names.select(rules.surrogate_key("skill_name").alias("skill_id"), "skill_name")
 
 
 def skills_of(relevant: DataFrame, options: ModelOptions = DEFAULT) -> DataFrame:
@@ -161,21 +160,21 @@ def skills_of(relevant: DataFrame, options: ModelOptions = DEFAULT) -> DataFrame
     """
     if options.seed_all_skills:
         return skill_seed(relevant.sparkSession)
-    mask = relevant.select(rules.skill_mask(F.col("title"), F.col("description")).alias("skill_mask"))
+    mask = relevant.select(rules.skill_mask().alias("skill_mask"))
     return _skills_in(mask)
 
 
 def _skills_in(masks: DataFrame) -> DataFrame:
     united = masks.agg(F.bit_or("skill_mask").alias("skill_mask"))
-    names = united.select(F.explode(rules.skills_in_mask(F.col("skill_mask"))).alias("skill_name"))
-    return names.select(rules.surrogate_key(F.col("skill_name")).alias("skill_id"), "skill_name")
+    names = united.select(F.explode(rules.skills_in_mask()).alias("skill_name"))
+    return names.select(rules.surrogate_key("skill_name").alias("skill_id"), "skill_name")
 
 
 def dates_of(staging_rows: DataFrame) -> DataFrame:
     """Calendar rows of the run days. A run without postings of interest has
     its day in the calendar all the same."""
     days = staging_rows.select("run_date").where("run_date IS NOT NULL").distinct()
-    return days.select(*rules.calendar_fields(F.col("run_date")))
+    return days.select(*rules.calendar_fields("run_date"))
 
 
 # ---- a whole warehouse at once --------------------------------------------

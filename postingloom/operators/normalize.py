@@ -57,14 +57,14 @@ def normalize_source_b(jobs: DataFrame) -> DataFrame:
 def _postings(jobs: DataFrame, **fields: Column) -> DataFrame:
     fields["title"] = F.coalesce(fields["title"], F.lit(""))
     fields["description"] = F.coalesce(fields["description"], F.lit(""))
-    fields["work_mode"] = rules.work_mode(fields["title"], fields["description"])
+    fields["work_mode"] = rules.work_mode("job.title", "job.description")
     carried = [c for c in jobs.columns if c not in ("job", "country")]
     return jobs.select(*carried, *[fields[c].alias(c) for c in schemas.POSTING_COLUMNS])
 
 
-def drop_noise(rows: DataFrame, title: str | Column = "title") -> DataFrame:
+def drop_noise(rows: DataFrame, title: str = "title") -> DataFrame:
     """The light title filter of feed A; everything else is kept."""
-    return rows.where(~rules.is_noise(F.col(title) if isinstance(title, str) else title))
+    return rows.where(~rules.is_noise(title))
 
 
 def without_id(jobs: DataFrame) -> DataFrame:
@@ -82,7 +82,7 @@ def merge_feeds(jobs_a: DataFrame, jobs_b: DataFrame) -> DataFrame:
     """
     a = keep_last(jobs_a.where(F.col("job.id").isNotNull()).withColumn("_id", F.col("job.id")),
                   ["run", "_id"], "feed_order")
-    a = drop_noise(a, F.col("job.title")).withColumn("copies", F.lit(1).cast("bigint"))
+    a = drop_noise(a, "job.title").withColumn("copies", F.lit(1).cast("bigint"))
     a = normalize_source_a(a.drop("_id"))
 
     b = normalize_source_b(jobs_b.where(F.col("job.id").isNotNull()))

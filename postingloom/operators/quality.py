@@ -71,13 +71,13 @@ def rejection_reason() -> Column:
         F.when(F.col("source").isNull(), "source missing"),
         F.when(F.col("external_id").isNull(), "external_id missing"),
     ]
-    relevant = rules.is_relevant(F.col("title"))
+    relevant = rules.is_relevant()
     for column, limit in STAGING_LIMITS.items():
         too_long = F.length(column) > limit
         if column in ("job_type", "company_name"):
             too_long = relevant & too_long
         reasons.append(F.when(too_long, f"{column} too long"))
-    city = rules.city_name(F.col("country"), F.col("location"))
+    city = rules.city_name()
     reasons.append(F.when(relevant & (F.length(city) > CITY_LIMIT), "city too long"))
     return F.nullif(F.concat_ws(", ", *reasons), F.lit(""))
 
@@ -98,7 +98,7 @@ def malformed_salaries(staging_rows: DataFrame) -> DataFrame:
     )
     texts = staging_rows.select("source", "external_id", "ordinal", F.explode(bounds).alias("s"))
     return texts.select("source", "external_id", "ordinal", "s.field", "s.text").where(
-        rules.salary_is_malformed(F.col("text"))
+        rules.salary_is_malformed("text")
     )
 
 

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions import rules
 from ..functions import vocabulary as V
-from ..functions.text import lowered_text
 from ..operators import declarative, dedup, marts, merge, quality
 from ..operators import modelling as M
 from ..operators import normalize as N
@@ -65,7 +64,7 @@ def _warehouse(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 @query
 def work_mode_classification(spark, folder):
-    return order_postings(spark, folder).select("ordinal", rules.work_mode(F.col("title"), F.col("description")).alias("work_mode"))
+    return order_postings(spark, folder).select("ordinal", rules.work_mode().alias("work_mode"))
 
 
 @query
@@ -81,7 +80,7 @@ def relevant_postings(spark, folder):
 
 @query
 def skill_detection(spark, folder):
-    found = F.posexplode(rules.detected_skills(F.col("title"), F.col("description"))).alias("position", "skill_name")
+    found = F.posexplode(rules.detected_skills()).alias("position", "skill_name")
     return order_postings(spark, folder).select("ordinal", found)
 
 
@@ -93,53 +92,52 @@ def skill_theta_join(spark, folder):
 
 @query
 def seniority_case(spark, folder):
-    return order_postings(spark, folder).select("ordinal", rules.seniority(F.col("title")).alias("seniority_level"))
+    return order_postings(spark, folder).select("ordinal", rules.seniority().alias("seniority_level"))
 
 
 @query
 def seniority_regex(spark, folder):
-    return order_postings(spark, folder).select("ordinal", rules.seniority_by_regex(F.col("title")).alias("seniority_level"))
+    return order_postings(spark, folder).select("ordinal", rules.seniority_by_regex().alias("seniority_level"))
 
 
 @query
 def geography_parse(spark, folder):
-    country, location = F.col("country"), F.col("location")
     return order_postings(spark, folder).select(
         "ordinal",
-        rules.country_code(country).alias("country_code"),
-        rules.city_name(country, location).alias("city_name"),
+        rules.country_code().alias("country_code"),
+        rules.city_name().alias("city_name"),
     )
 
 
 @query
 def geography_split_part(spark, folder):
     placed = order_postings(spark, folder).where(F.col("country").isNotNull() & F.col("location").contains(","))
-    return placed.select("ordinal", rules.city_text_before_comma(F.col("location")).alias("city_text"))
+    return placed.select("ordinal", rules.city_text_before_comma().alias("city_text"))
 
 
 @query
 def salary_parse(spark, folder):
     return order_postings(spark, folder).select(
-        "ordinal", *[rules.salary(F.col(c)).cast("double").alias(c) for c in ("salary_min", "salary_max")]
+        "ordinal", *[rules.salary(c).cast("double").alias(c) for c in ("salary_min", "salary_max")]
     )
 
 
 @query
 def company_default(spark, folder):
     return order_postings(spark, folder).select(
-        "ordinal", rules.company_or_unknown(F.col("company_name")).alias("company_name")
+        "ordinal", rules.company_or_unknown().alias("company_name")
     )
 
 
 @query
 def country_name_lookup(spark, folder):
-    return order_postings(spark, folder).select("ordinal", rules.country_name(F.col("country")).alias("country_name"))
+    return order_postings(spark, folder).select("ordinal", rules.country_name("country").alias("country_name"))
 
 
 @query
 def calendar_fields(spark, folder):
     days = read_table(spark, folder, "orders").select(F.to_date("o_orderdate").alias("d")).distinct()
-    return days.select(*rules.calendar_fields(F.col("d")))
+    return days.select(*rules.calendar_fields("d"))
 
 
 @query
@@ -147,14 +145,13 @@ def extraction_time_text(spark, folder):
     """Event times in the two spellings in use, brought to one."""
     spelled = F.date_format(F.col("ts").cast("timestamp_ntz"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     spelled = F.when(F.col("event_id") % 2 == 0, spelled).otherwise(F.concat(spelled, F.lit("+02:00")))
-    return read_table(spark, folder, "events").select(
-        "event_id", rules.extraction_time_text(spelled).alias("extracted_at")
-    )
+    events = read_table(spark, folder, "events").select("event_id", spelled.alias("spelled"))
+    return events.select("event_id", rules.extraction_time_text("spelled").alias("extracted_at"))
 
 
 @query
 def posting_keys(spark, folder):
-    key = rules.surrogate_key(F.col("source"), F.col("external_id"))
+    key = rules.surrogate_key("source", "external_id")
     return order_postings(spark, folder).select("source", "external_id").distinct().withColumn("job_posting_id", key)
 
 
@@ -349,7 +346,7 @@ def _land(spark: SparkSession, folder: str) -> tuple[str, str]:
     paths = scratch_path(spark, "landed-a"), scratch_path(spark, "landed-b")
     # A response per job: whatever the tables hold, none grows beyond that.
     a, b = source_a_jobs(spark, folder), source_b_jobs(spark, folder)
-    run = rules.run_key(F.col("run")).alias("run")
+    run = rules.run_key("run").alias("run")
     page = (F.col("page") * 1000 + F.col("pos")).alias("page")
     feeds.write_responses(a.select(run, "term", page, F.array("job").alias("jobs")), paths[0])
     feeds.write_responses(b.select(run, "country", "term", page, F.array("job").alias("results")), paths[1])
@@ -527,22 +524,22 @@ def country_name_overwrite(spark, folder):
 
 # ---- long texts -----------------------------------------------------------
 
-def _skills_in(text):
-    return F.explode(rules.detected_skills_of_text(lowered_text(text))).alias("skill_name")
+def _skills_in(text: str):
+    return F.explode(rules.detected_skills("NULL", text)).alias("skill_name")
 
 
 @query
 def skills_in_documents(spark, folder):
-    return read_table(spark, folder, "documents").select("doc_id", _skills_in(F.col("text")))
+    return read_table(spark, folder, "documents").select("doc_id", _skills_in("text"))
 
 
 @query
 def work_mode_of_documents(spark, folder):
     return read_table(spark, folder, "documents").select(
-        "doc_id", rules.work_mode(F.lit(None), F.col("text")).alias("work_mode")
+        "doc_id", rules.work_mode("NULL", "text").alias("work_mode")
     )
 
 
 @query
 def skills_in_conversations(spark, folder):
-    return read_table(spark, folder, "conversations").select("conv_id", "turn", _skills_in(F.col("text")))
+    return read_table(spark, folder, "conversations").select("conv_id", "turn", _skills_in("text"))

@@ -98,7 +98,7 @@ def order_postings(spark: SparkSession, folder: str) -> DataFrame:
         n.alias("ordinal"),
     )
     return rows.withColumn(
-        "work_mode", rules.work_mode(F.col("title"), F.col("description"))
+        "work_mode", rules.work_mode()
     ).withColumn("run_date", F.to_date(F.substring("extracted_at", 1, 10)))
 
 

@@ -30,7 +30,7 @@ def to_staging(
         F.lit(loaded_at).cast("timestamp").alias("loaded_at"),
         "ordinal",
         run_date.alias("run_date"),
-        rules.run_key(F.col("extracted_at")).alias("run_key"),
+        rules.run_key().alias("run_key"),
     )
 
 
