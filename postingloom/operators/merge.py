@@ -51,24 +51,18 @@ def merge_dimensions(stored: dict[str, DataFrame], run: dict[str, DataFrame], ov
     return merged
 
 
-def load_report(stored: DataFrame, staging_rows: DataFrame) -> DataFrame:
+def load_report(stored: DataFrame, folded: DataFrame, staging_rows: DataFrame) -> DataFrame:
     """One row: postings inserted, rows that updated one, rows out of scope.
 
-    Every relevant row beyond the first of a new key counts as an update. The
-    run is reduced to one row per key before it meets the stored keys.
+    Every relevant row beyond the first of a new key counts as an update.
     """
-    relevant = rules.is_relevant()
-    per_key = staging_rows.groupBy("source", "external_id").agg(
-        F.count_if(relevant).alias("relevant"), F.count(F.lit(1)).alias("seen")
-    )
-    known = stored.select("source", "external_id", F.lit(True).alias("known"))
-    joined = per_key.join(known, ["source", "external_id"], "left")
-    inserted = F.count_if((F.col("relevant") > 0) & F.col("known").isNull())
-    return joined.agg(
-        inserted.alias("inserted"),
-        (F.coalesce(F.sum("relevant"), F.lit(0)) - inserted).alias("updated"),
-        F.coalesce(F.sum(F.col("seen") - F.col("relevant")), F.lit(0)).alias("skipped"),
-    )
+    known = stored.select("job_posting_id", F.lit(True).alias("known"))
+    keyed = folded.select("job_posting_id", "sightings").join(known, "job_posting_id", "left")
+    counted = keyed.agg(
+        F.count_if(F.col("known").isNull()).alias("inserted"),
+        F.coalesce(F.sum("sightings"), F.lit(0)).alias("relevant"),
+    ).withColumn("seen", staging_rows.agg(F.count(F.lit(1))).scalar())
+    return counted.selectExpr("inserted", "relevant - inserted AS updated", "seen - relevant AS skipped")
 
 
 def replay_report(staging_rows: DataFrame) -> DataFrame:

@@ -91,7 +91,10 @@ def fold(derived: DataFrame) -> DataFrame:
     first = F.min_by(F.struct(*FROZEN, "run_date", "ord"), F.col("ord"))
     last = F.max_by(F.struct("title", "run_date", "ord"), F.col("ord"))
     folded = derived.groupBy("source", "external_id").agg(
-        first.alias("first"), last.alias("last"), F.bit_or("skill_mask").alias("skill_mask")
+        first.alias("first"),
+        last.alias("last"),
+        F.bit_or("skill_mask").alias("skill_mask"),
+        F.count(F.lit(1)).alias("sightings"),
     )
     return folded.select(
         rules.surrogate_key("source", "external_id").alias("job_posting_id"),
@@ -105,6 +108,7 @@ def fold(derived: DataFrame) -> DataFrame:
         F.col("first.ord").alias("first_ord"),
         F.col("last.ord").alias("last_ord"),
         "skill_mask",
+        "sightings",
     )
 
 
@@ -161,10 +165,11 @@ def skills_of(relevant: DataFrame, options: ModelOptions = DEFAULT) -> DataFrame
     if options.seed_all_skills:
         return skill_seed(relevant.sparkSession)
     mask = relevant.select(rules.skill_mask().alias("skill_mask"))
-    return _skills_in(mask)
+    return skills_in(mask)
 
 
-def _skills_in(masks: DataFrame) -> DataFrame:
+def skills_in(masks: DataFrame) -> DataFrame:
+    """Skill rows for all bits that occur in ``skill_mask``."""
     united = masks.agg(F.bit_or("skill_mask").alias("skill_mask"))
     names = united.select(F.explode(rules.skills_in_mask()).alias("skill_name"))
     return names.select(rules.surrogate_key("skill_name").alias("skill_id"), "skill_name")
@@ -189,6 +194,6 @@ def build_warehouse(staging_rows: DataFrame, options: ModelOptions = DEFAULT) ->
         "dim_company": companies_of(relevant, options),
         "dim_skill": skills_of(relevant, options),
         "dim_date": dates_of(staging_rows),
-        "fact_job_posting": folded.drop("skill_mask"),
+        "fact_job_posting": folded.drop("skill_mask", "sightings"),
         "bridge_job_skill": bridge_of(folded),
     }

@@ -27,7 +27,7 @@ def load_latest_run(
     :func:`replay` to take them all.
     """
     run_key = staging.latest_run_key(spark, staging_path)
-    return load_run(staging.read_latest_run(spark, staging_path), warehouse, run_key, now, options)
+    return load_run(staging.read_run(spark, staging_path, run_key), warehouse, run_key, now, options)
 
 
 def load_run(
@@ -48,19 +48,19 @@ def load_run(
     folded.write.parquet(path)
     folded = spark.read.schema(folded.schema).parquet(path)
 
-    report = merge.load_report(stored["fact_job_posting"], accepted).first().asDict()
+    report = merge.load_report(stored["fact_job_posting"], folded, accepted).first().asDict()
     tables = merge.merge_dimensions(
         stored,
         {
             "dim_country": M.countries_of(relevant, options),
             "dim_city": M.cities_of(relevant, options),
             "dim_company": M.companies_of(relevant, options),
-            "dim_skill": M.skills_of(relevant, options),
+            "dim_skill": M.skill_seed(spark) if options.seed_all_skills else M.skills_in(folded),
             "dim_date": M.dates_of(staged),
         },
         overwrite_country=options.country_name_mode == "name",
     )
-    tables["fact_job_posting"] = merge.merge_fact(stored["fact_job_posting"], folded.drop("skill_mask"))
+    tables["fact_job_posting"] = merge.merge_fact(stored["fact_job_posting"], folded.drop("skill_mask", "sightings"))
     tables["bridge_job_skill"] = merge.merge_bridge(stored["bridge_job_skill"], M.bridge_of(folded))
     warehouse.publish(tables, run_key, now)
     return report

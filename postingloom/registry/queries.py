@@ -302,9 +302,18 @@ def empty_warehouse_kpis(spark, folder):
 
 # ---- quality --------------------------------------------------------------
 
+def _published(spark: SparkSession, folder: str) -> Warehouse:
+    """All runs staged, replayed and published."""
+    path = scratch_path(spark, "staging")
+    staging.append(staging.to_staging(order_postings(spark, folder), LOADED_AT), path)
+    warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
+    load.replay(staging.read(spark, path), warehouse, LOADED_AT)
+    return warehouse
+
+
 @query
 def quality_report(spark, folder):
-    return quality.quality_report(_warehouse(spark, folder))
+    return quality.quality_report(_published(spark, folder).tables())
 
 
 @query
@@ -456,10 +465,7 @@ def _dimension_rows(tables: dict[str, DataFrame]) -> DataFrame:
 @query
 def published_marts(spark, folder):
     """Marts kept beside a published warehouse, read back."""
-    path = scratch_path(spark, "staging")
-    staging.append(staging.to_staging(order_postings(spark, folder), LOADED_AT), path)
-    warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
-    load.replay(staging.read(spark, path), warehouse, LOADED_AT)
+    warehouse = _published(spark, folder)
     load.refresh_marts(warehouse)
     skill, level = warehouse.read_mart("mart_skill_demand"), warehouse.read_mart("mart_seniority_distribution")
     return skill.select(F.lit("skill").alias("mart"), F.col("skill_name").alias("label"), "job_count").unionByName(

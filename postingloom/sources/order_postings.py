@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules
 from ..functions import vocabulary as V
+from ..functions.text import literal
 
 TITLES = [
     "Senior Data Engineer", "Data Analyst", "Junior Data Analyst", "Lead Analytics Engineer",
@@ -35,9 +36,9 @@ COUNTRIES = ["ch", "fr", "de", "es", "it", "nl", "at", "be", "gb", "au"]
 RUN_TIMES = ["2026-09-07T06:00:00", "2026-09-14T06:00:00", "2026-09-21T06:00:00"]
 
 
-def _pick(values: list[str | None], index: Column) -> Column:
-    literals = [F.lit(v).cast("string") for v in values]
-    return F.element_at(F.array(*literals), index.cast("int") + 1)
+def _pick(values: list[str | None], index: str) -> str:
+    literals = ", ".join("CAST(NULL AS STRING)" if v is None else literal(v) for v in values)
+    return f"element_at(array({literals}), CAST({index} AS INT) + 1)"
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -46,60 +47,45 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def order_postings(spark: SparkSession, folder: str) -> DataFrame:
     """Staging-like rows: posting columns, extracted_at, ordinal, run_date."""
-    orders = read_table(spark, folder, "orders").where((F.col("o_orderkey") * 31) % 10 != 3)
+    orders = read_table(spark, folder, "orders").where("(o_orderkey * 31) % 10 <> 3")
     customers = read_table(spark, folder, "customer")
     nations = read_table(spark, folder, "nation")
     rows = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).join(
         nations, F.col("c_nationkey") == F.col("n_nationkey")
     )
-
-    n = F.col("o_orderkey")
-    r = n % 4
-    p = ((n - r) / 4).cast("bigint")
-    from_a = p % 4 == 0
-    place = p % 5
-    price = F.col("o_totalprice").cast("decimal(12,2)")
-    price_text = price.cast("string")
-    low, high = n % 7, (n + 3) % 7
-
-    rows = rows.select(
-        F.when(from_a, V.SOURCE_A).otherwise(V.SOURCE_B).alias("source"),
-        p.cast("string").alias("external_id"),
-        _pick(TITLES, (p * 3 + F.when(p % 6 == 0, r).otherwise(F.lit(0))) % len(TITLES)).alias("title"),
-        F.when(F.col("c_custkey") % 20 == 0, F.lit(None))
-        .when(F.col("c_custkey") % 20 == 1, "")
-        .otherwise(F.col("c_name"))
-        .alias("company_name"),
-        F.when(from_a, "Worldwide")
-        .when(place == 0, F.concat(F.lit("City"), (p % 40).cast("string"), F.lit(", Region")))
-        .when(place == 1, F.concat(F.lit("  City"), (p % 40).cast("string"), F.lit(" , Region, X")))
-        .when(place == 2, F.concat(F.lit("City"), (p % 8 * 5).cast("string")))
-        .when(place == 3, ", Region")
-        .alias("location"),
-        F.when(from_a, F.lit(None))
-        .when(F.col("n_nationkey") == 24, "us")
-        .otherwise(_pick(COUNTRIES, F.col("n_nationkey") % len(COUNTRIES)))
-        .alias("country"),
-        F.when(low == 0, "None").when(low == 1, "").when(low == 2, F.lit(None)).when(low == 3, "0")
-        .otherwise(price_text)
-        .alias("salary_min"),
-        F.when(high == 0, "None").when(high == 1, "").when(high == 2, F.lit(None)).when(high == 3, "negotiable")
-        .when(high == 4, F.concat(price_text, F.lit("5")))
-        .otherwise((price * 2).cast("string"))
-        .alias("salary_max"),
-        F.when(n % 3 == 0, "full_time").when(n % 3 == 1, "part_time").alias("job_type"),
-        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss").alias("publication_date"),
-        _pick(DESCRIPTIONS, (p * 5 + r) % len(DESCRIPTIONS)).alias("description"),
-        F.concat(F.lit("https://jobs.example.org/"), p.cast("string")).alias("url"),
-        F.when(from_a, F.array(F.lit("data"), F.col("o_orderstatus")))
-        .otherwise(F.array().cast("array<string>"))
-        .alias("tags"),
-        F.when(r < 2, RUN_TIMES[0]).when(r == 2, RUN_TIMES[1]).otherwise(RUN_TIMES[2]).alias("extracted_at"),
-        n.alias("ordinal"),
+    rows = rows.selectExpr(
+        "o_orderkey AS n",
+        "o_orderkey % 4 AS r",
+        "o_orderkey DIV 4 AS p",
+        "CAST(o_totalprice AS DECIMAL(12,2)) AS price",
+        "o_orderdate", "o_orderstatus", "c_custkey", "c_name", "n_nationkey",
+    )
+    rows = rows.selectExpr(
+        f"IF(p % 4 = 0, '{V.SOURCE_A}', '{V.SOURCE_B}') AS source",
+        "CAST(p AS STRING) AS external_id",
+        _pick(TITLES, f"(p * 3 + IF(p % 6 = 0, r, 0)) % {len(TITLES)}") + " AS title",
+        "CASE c_custkey % 20 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE c_name END AS company_name",
+        """CASE WHEN p % 4 = 0 THEN 'Worldwide'
+                WHEN p % 5 = 0 THEN concat('City', p % 40, ', Region')
+                WHEN p % 5 = 1 THEN concat('  City', p % 40, ' , Region, X')
+                WHEN p % 5 = 2 THEN concat('City', p % 8 * 5)
+                WHEN p % 5 = 3 THEN ', Region' END AS location""",
+        f"""CASE WHEN p % 4 = 0 THEN NULL WHEN n_nationkey = 24 THEN 'us'
+                ELSE {_pick(COUNTRIES, f"n_nationkey % {len(COUNTRIES)}")} END AS country""",
+        """CASE n % 7 WHEN 0 THEN 'None' WHEN 1 THEN '' WHEN 2 THEN NULL WHEN 3 THEN '0'
+                ELSE CAST(price AS STRING) END AS salary_min""",
+        """CASE (n + 3) % 7 WHEN 0 THEN 'None' WHEN 1 THEN '' WHEN 2 THEN NULL WHEN 3 THEN 'negotiable'
+                WHEN 4 THEN concat(price, '5') ELSE CAST(price * 2 AS STRING) END AS salary_max""",
+        "CASE n % 3 WHEN 0 THEN 'full_time' WHEN 1 THEN 'part_time' END AS job_type",
+        "date_format(o_orderdate, \"yyyy-MM-dd'T'HH:mm:ss\") AS publication_date",
+        _pick(DESCRIPTIONS, f"(p * 5 + r) % {len(DESCRIPTIONS)}") + " AS description",
+        "concat('https://jobs.example.org/', p) AS url",
+        "IF(p % 4 = 0, array('data', o_orderstatus), CAST(array() AS ARRAY<STRING>)) AS tags",
+        f"CASE WHEN r < 2 THEN '{RUN_TIMES[0]}' WHEN r = 2 THEN '{RUN_TIMES[1]}' ELSE '{RUN_TIMES[2]}' END AS extracted_at",
+        "n AS ordinal",
     )
-    return rows.withColumn(
-        "work_mode", rules.work_mode()
-    ).withColumn("run_date", F.to_date(F.substring("extracted_at", 1, 10)))
+    run_date = F.expr("to_date(substring(extracted_at, 1, 10))")
+    return rows.withColumns({"work_mode": rules.work_mode(), "run_date": run_date})
 
 
 # The same rows as the two feeds would have delivered them. Every 101st job

@@ -54,10 +54,9 @@ def latest_run_key(spark: SparkSession, path: str) -> str | None:
     return listing.agg(F.max("run_key")).first()[0]
 
 
-def read_latest_run(spark: SparkSession, path: str) -> DataFrame:
-    """The newest run. Its key is found first, so that the filter is a literal
-    and only that partition is scanned."""
-    return read(spark, path).where(F.col("run_key") == F.lit(latest_run_key(spark, path)))
+def read_run(spark: SparkSession, path: str, run_key: str | None) -> DataFrame:
+    """One run; the key is a literal, so only its partition is scanned."""
+    return read(spark, path).where(F.col("run_key") == F.lit(run_key))
 
 
 def latest_run(staging_rows: DataFrame) -> DataFrame:

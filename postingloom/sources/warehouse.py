@@ -13,6 +13,8 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -25,6 +27,13 @@ BUCKETED = {"fact_job_posting": "job_posting_id", "bridge_job_skill": "job_posti
 LOG_SCHEMA = "version bigint, run_key string, published_at timestamp, buckets int"
 
 
+def _side_by_side(write: Callable[[str], None], names: Iterable[str]) -> None:
+    """Run independent writes as concurrent Spark jobs; any failure is raised."""
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        for done in [pool.submit(write, name) for name in names]:
+            done.result()
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str, buckets: int | None = None):
         """``buckets`` is used when nothing is published yet; afterwards the
@@ -86,19 +95,19 @@ class Warehouse:
         line = self.current()
         version = line.version + 1 if line else 1
         buckets = line.buckets if line else self._buckets
-        for name, schema in schemas.WAREHOUSE.items():
-            frame, path = tables[name].select(*schema.fieldNames()), self._path(name, version)
-            if name in BUCKETED:
-                key = BUCKETED[name]
-                if not co_located:
-                    frame = frame.repartition(buckets, key)
-                table = self._table(name, version)
-                self.spark.sql(f"DROP TABLE IF EXISTS {table}")
-                frame.write.mode("overwrite").format("parquet").bucketBy(buckets, key).option(
-                    "path", path
-                ).saveAsTable(table)
-            else:
+
+        def write(name: str) -> None:
+            frame, path = tables[name].select(*schemas.WAREHOUSE[name].fieldNames()), self._path(name, version)
+            if name not in BUCKETED:
                 frame.write.mode("overwrite").parquet(path)
+                return
+            key, table = BUCKETED[name], self._table(name, version)
+            if not co_located:
+                frame = frame.repartition(buckets, key)
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+            frame.write.mode("overwrite").format("parquet").bucketBy(buckets, key).option("path", path).saveAsTable(table)
+
+        _side_by_side(write, schemas.WAREHOUSE)
         entry = self.spark.createDataFrame([(version, run_key, now, buckets)], LOG_SCHEMA)
         entry.coalesce(1).write.mode("append").json(f"{self.root}/published")
         return version
@@ -106,8 +115,7 @@ class Warehouse:
     def write_marts(self, marts: dict[str, DataFrame]) -> None:
         """Keep the marts of the current version as Parquet beside its tables."""
         version = self.current().version
-        for name, frame in marts.items():
-            frame.write.mode("overwrite").parquet(self._path(name, version))
+        _side_by_side(lambda name: marts[name].write.mode("overwrite").parquet(self._path(name, version)), marts)
 
     def read_mart(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self._path(name, self.current().version))
