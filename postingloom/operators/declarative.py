@@ -41,8 +41,10 @@ def fact_keys_by_join(
     """Company and city key of every posting, looked up in the dimensions.
 
     There is no comma guard on the city here: "Paris" finds an existing "Paris"
-    of the same country. Equal (company, country, city) triples are looked up
-    once, so a company that many postings share is one join row.
+    of the same country. Postings are reduced to their first sighting before
+    they are joined. A name that a large share of them has makes one join
+    partition large, which adaptive execution splits; the default load computes
+    its keys instead and has no such join.
     """
     names = relevant.select(
         "source",

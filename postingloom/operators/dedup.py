@@ -6,18 +6,19 @@ share of the rows reaches the shuffle as one row per task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def keep_last(rows: DataFrame, keys: list[str], order: str | Column, copies: str | None = None) -> DataFrame:
-    """The row that comes last in ``order``, per key; NULL keys form a group.
+def keep_last(rows: DataFrame, keys: list[str], order: str, copies: str | None = None) -> DataFrame:
+    """The row with the greatest ``order``, per key; NULL keys form a group.
 
-    ``copies`` names a column that counts the rows of the key.
+    The order column leads the compared struct, so the other columns only
+    decide between rows of equal order, and always the same way. ``copies``
+    names a column that counts the rows of the key.
     """
-    order = F.col(order) if isinstance(order, str) else order
-    rest = [c for c in rows.columns if c not in keys]
-    measures = [F.max_by(F.struct(*rest), order).alias("_last")]
+    rest = [order] + [c for c in rows.columns if c not in keys and c != order]
+    measures = [F.max(F.struct(*rest)).alias("_last")]
     if copies:
         measures.append(F.count(F.lit(1)).alias(copies))
     kept = rows.groupBy(*keys).agg(*measures)

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions import rules
 from .dedup import insert_if_absent, overwrite_by_key
-from .modelling import FROZEN
+from .modelling import FROZEN, FROZEN_TEXTS
 
-_FIRST = [*FROZEN, "date_first_seen", "first_ord"]
+_FIRST = [*FROZEN, *FROZEN_TEXTS, "date_first_seen", "first_ord"]
 _LAST = ["title", "date_last_seen", "last_ord"]
 
 
@@ -37,9 +37,13 @@ def merge_fact(stored: DataFrame, run: DataFrame) -> DataFrame:
     return joined.select(*[choose(c) for c in schemas.FACT.fieldNames()])
 
 
-def merge_bridge(stored: DataFrame, run: DataFrame) -> DataFrame:
-    """Pairs accumulate: none is ever removed."""
-    return insert_if_absent(stored, run, ["job_posting_id", "skill_id"])
+def merge_bridge(stored: DataFrame, run: DataFrame, buckets: int) -> DataFrame:
+    """Pairs accumulate: none is ever removed.
+
+    The run's pairs are brought to the layout of the stored ones. The union
+    then keeps that layout, and duplicates are dropped bucket by bucket.
+    """
+    return stored.unionByName(run.repartition(buckets, "job_posting_id")).distinct()
 
 
 def merge_dimensions(stored: dict[str, DataFrame], run: dict[str, DataFrame], overwrite_country: bool = True) -> dict:

@@ -72,11 +72,13 @@ def derive(relevant: DataFrame, options: ModelOptions = DEFAULT) -> DataFrame:
     )
 
 
-# Attributes that keep the value of the first sighting.
+# Attributes that keep the value of the first sighting. The long texts are
+# apart so that whoever needs none of them does not shuffle them.
 FROZEN = [
     "company_id", "city_id", "work_mode", "salary_min", "salary_max", "job_type",
-    "seniority_level", "publication_date_id", "url", "description",
+    "seniority_level", "publication_date_id",
 ]
+FROZEN_TEXTS = ["url", "description"]
 
 
 def fold(derived: DataFrame) -> DataFrame:
@@ -85,14 +87,15 @@ def fold(derived: DataFrame) -> DataFrame:
     Loading row by row keeps most attributes of the first sighting, takes title
     and last-seen date from the last, and adds up skills. First, last and union
     are associative, so one aggregation with map-side combine gives the same
-    rows, and a posting seen very often is no burden for any task. The frozen
-    attributes travel in one struct: a NULL first value is kept as such.
+    rows, and a posting seen very often is no burden for any task. Attributes
+    travel in structs led by the order key: the least struct is the first
+    sighting, and a NULL in it is kept as such. Sightings of equal order are
+    copies of one staged row.
     """
-    first = F.min_by(F.struct(*FROZEN, "run_date", "ord"), F.col("ord"))
-    last = F.max_by(F.struct("title", "run_date", "ord"), F.col("ord"))
     folded = derived.groupBy("source", "external_id").agg(
-        first.alias("first"),
-        last.alias("last"),
+        F.min(F.struct("ord", "run_date", *FROZEN)).alias("first"),
+        F.min(F.struct("ord", *FROZEN_TEXTS)).alias("first_texts"),
+        F.max(F.struct("ord", "title", "run_date")).alias("last"),
         F.bit_or("skill_mask").alias("skill_mask"),
         F.count(F.lit(1)).alias("sightings"),
     )
@@ -100,11 +103,11 @@ def fold(derived: DataFrame) -> DataFrame:
         rules.surrogate_key("source", "external_id").alias("job_posting_id"),
         "source",
         "external_id",
-        F.col("last.title").alias("title"),
-        *[F.col(f"first.{c}").alias(c) for c in FROZEN[:8]],
+        "last.title",
+        *[f"first.{c}" for c in FROZEN],
         F.col("first.run_date").alias("date_first_seen"),
         F.col("last.run_date").alias("date_last_seen"),
-        *[F.col(f"first.{c}").alias(c) for c in FROZEN[8:]],
+        *[f"first_texts.{c}" for c in FROZEN_TEXTS],
         F.col("first.ord").alias("first_ord"),
         F.col("last.ord").alias("last_ord"),
         "skill_mask",
@@ -184,15 +187,24 @@ def dates_of(staging_rows: DataFrame) -> DataFrame:
 
 # ---- a whole warehouse at once --------------------------------------------
 
-def build_warehouse(staging_rows: DataFrame, options: ModelOptions = DEFAULT) -> dict[str, DataFrame]:
-    """All warehouse tables from all staged runs (replay), lazily."""
+def build_warehouse(
+    staging_rows: DataFrame, options: ModelOptions = DEFAULT, folded: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """All warehouse tables from all given rows, lazily.
+
+    ``folded`` is the fold of the same rows if it is stored somewhere; fact,
+    bridge and skills are then read from it.
+    """
     relevant = relevant_postings(staging_rows)
-    folded = fold(derive(relevant, options))
+    if folded is None:
+        folded, skills = fold(derive(relevant, options)), skills_of(relevant, options)
+    else:
+        skills = skill_seed(relevant.sparkSession) if options.seed_all_skills else skills_in(folded)
     return {
         "dim_country": countries_of(relevant, options),
         "dim_city": cities_of(relevant, options),
         "dim_company": companies_of(relevant, options),
-        "dim_skill": skills_of(relevant, options),
+        "dim_skill": skills,
         "dim_date": dates_of(staging_rows),
         "fact_job_posting": folded.drop("skill_mask", "sightings"),
         "bridge_job_skill": bridge_of(folded),

@@ -37,40 +37,43 @@ def load_run(
     now: dt.datetime,
     options: M.ModelOptions = M.DEFAULT,
 ) -> dict[str, int]:
-    spark = staged.sparkSession
+    published = warehouse.current()
+    stored = warehouse.tables(published)
     accepted = quality.accepted(staged)
-    relevant = M.relevant_postings(accepted)
-    stored = warehouse.tables()
+    folded = _folded(accepted, options)
+    run = M.build_warehouse(accepted, options, folded)
 
-    # The folded run feeds two tables; it is written once to the shared folder.
-    path = scratch_path(spark, "folded")
-    folded = M.fold(M.derive(relevant, options))
-    folded.write.parquet(path)
-    folded = spark.read.schema(folded.schema).parquet(path)
-
-    report = merge.load_report(stored["fact_job_posting"], folded, accepted).first().asDict()
-    tables = merge.merge_dimensions(
-        stored,
-        {
-            "dim_country": M.countries_of(relevant, options),
-            "dim_city": M.cities_of(relevant, options),
-            "dim_company": M.companies_of(relevant, options),
-            "dim_skill": M.skill_seed(spark) if options.seed_all_skills else M.skills_in(folded),
-            "dim_date": M.dates_of(staged),
-        },
-        overwrite_country=options.country_name_mode == "name",
+    report = merge.load_report(stored["fact_job_posting"], folded, staged).first().asDict()
+    if published is None:
+        warehouse.publish(run, published, run_key, now)
+        return report
+
+    tables = merge.merge_dimensions(stored, run, overwrite_country=options.country_name_mode == "name")
+    tables["fact_job_posting"] = merge.merge_fact(stored["fact_job_posting"], run["fact_job_posting"])
+    tables["bridge_job_skill"] = merge.merge_bridge(
+        stored["bridge_job_skill"], run["bridge_job_skill"], published.buckets
     )
-    tables["fact_job_posting"] = merge.merge_fact(stored["fact_job_posting"], folded.drop("skill_mask", "sightings"))
-    tables["bridge_job_skill"] = merge.merge_bridge(stored["bridge_job_skill"], M.bridge_of(folded))
-    warehouse.publish(tables, run_key, now)
+    warehouse.publish(tables, published, run_key, now, co_located=True)
     return report
 
 
+def _folded(accepted: DataFrame, options: M.ModelOptions) -> DataFrame:
+    """The folded postings, written once to the shared folder: three tables and
+    the report are made from them."""
+    spark = accepted.sparkSession
+    path = scratch_path(spark, "folded")
+    folded = M.fold(M.derive(M.relevant_postings(accepted), options))
+    folded.write.parquet(path)
+    return spark.read.schema(folded.schema).parquet(path)
+
+
 def replay(
     staged: DataFrame, warehouse: Warehouse, now: dt.datetime, options: M.ModelOptions = M.DEFAULT
 ) -> int:
     """Build the warehouse from all staged runs at once, as a new version."""
-    return warehouse.publish(M.build_warehouse(quality.accepted(staged), options), None, now)
+    accepted = quality.accepted(staged)
+    tables = M.build_warehouse(accepted, options, _folded(accepted, options))
+    return warehouse.publish(tables, warehouse.current(), None, now)
 
 
 def refresh_marts(warehouse: Warehouse) -> None:

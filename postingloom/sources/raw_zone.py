@@ -36,19 +36,22 @@ def day_columns(day: Column) -> list[Column]:
     ]
 
 
-def payload_lines(postings: DataFrame, counts: DataFrame, by: list[str] = ["extracted_at"]) -> DataFrame:
+def payload_lines(postings: DataFrame, counts: DataFrame) -> DataFrame:
     """Wrap each posting in its run's envelope.
 
-    ``counts`` holds one row per run: ``by`` plus ``job_count`` and
-    ``job_count_by_source``.
+    ``counts`` holds one row per run: ``extracted_at``, ``job_count`` and
+    ``job_count_by_source``. These few rows reach the postings as one map, not
+    by a join: a join on the run would move all postings of a run to one task.
     """
+    entry = F.struct("extracted_at", F.struct("job_count", "job_count_by_source"))
+    by_run = counts.agg(F.map_from_entries(F.collect_list(entry))).scalar()
     job = F.struct(*schemas.POSTING_COLUMNS, "ordinal")
-    sources = F.array_sort(F.map_keys("job_count_by_source"))
-    return postings.join(counts, by).select(
+    enveloped = postings.withColumn("_run", F.try_element_at(by_run, F.col("extracted_at")))
+    return enveloped.select(
         "extracted_at",
-        F.reverse(sources).alias("sources"),
-        "job_count",
-        "job_count_by_source",
+        F.reverse(F.array_sort(F.map_keys("_run.job_count_by_source"))).alias("sources"),
+        "_run.job_count",
+        "_run.job_count_by_source",
         F.array(job).alias("jobs"),
         *day_columns(F.to_date(F.substring("extracted_at", 1, 10))),
     )

@@ -55,20 +55,15 @@ class Warehouse:
             raise
         return log.orderBy(F.desc("version")).first()
 
-    def buckets(self) -> int:
-        line = self.current()
-        return line.buckets if line else self._buckets
-
     # ---- read
 
-    def tables(self, version: int | None = None) -> dict[str, DataFrame]:
-        """Tables of a published version, by default the newest; empty ones if
-        nothing is published."""
-        line = self.current()
+    def tables(self, published: Row | None = None) -> dict[str, DataFrame]:
+        """Tables of a version, given by its log line, by default the newest;
+        empty ones if nothing is published."""
+        line = published or self.current()
         if line is None:
             return {n: self.spark.createDataFrame([], s) for n, s in schemas.WAREHOUSE.items()}
-        version = line.version if version is None else version
-        return {name: self._read(name, version, line.buckets) for name in schemas.WAREHOUSE}
+        return {name: self._read(name, line.version, line.buckets) for name in schemas.WAREHOUSE}
 
     def _read(self, name: str, version: int, buckets: int) -> DataFrame:
         if name not in BUCKETED:
@@ -84,17 +79,21 @@ class Warehouse:
     # ---- write
 
     def publish(
-        self, tables: dict[str, DataFrame], run_key: str | None, now: dt.datetime, co_located: bool = False
+        self,
+        tables: dict[str, DataFrame],
+        published: Row | None,
+        run_key: str | None,
+        now: dt.datetime,
+        co_located: bool = False,
     ) -> int:
-        """Write all tables as a new version and make it the current one.
+        """Write all tables as the version after ``published``, make it current.
 
         ``co_located`` says that the rows of fact and bridge already lie in one
         task per bucket; otherwise they are brought there first, so that each
         bucket becomes one file.
         """
-        line = self.current()
-        version = line.version + 1 if line else 1
-        buckets = line.buckets if line else self._buckets
+        version = published.version + 1 if published else 1
+        buckets = published.buckets if published else self._buckets
 
         def write(name: str) -> None:
             frame, path = tables[name].select(*schemas.WAREHOUSE[name].fieldNames()), self._path(name, version)
