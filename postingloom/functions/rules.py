@@ -70,11 +70,18 @@ def seniority_by_regex(title: str = "title") -> Column:
 assert len(V.SKILLS) <= 63
 
 
+def _mentions_skill(text: str, skill: str) -> str:
+    """A skill that contains another one ("mysql", "sql") is only looked for
+    where the shorter one was found, whose test is shared."""
+    shorter = [s for s in V.SKILLS if s != skill and s in skill]
+    return " AND ".join(f"contains({text}, {literal(s)})" for s in [*shorter, skill])
+
+
 def skill_mask(title: str = "title", description: str = "description") -> Column:
     """Bit ``i`` is set where the i-th skill occurs as a bare substring."""
     text = lowered_text(title, description)
     return F.expr(
-        " + ".join(f"IF(contains({text}, {literal(skill)}), {1 << i}L, 0L)" for i, skill in enumerate(V.SKILLS))
+        " + ".join(f"IF({_mentions_skill(text, skill)}, {1 << i}L, 0L)" for i, skill in enumerate(V.SKILLS))
     )
 
 
@@ -87,9 +94,13 @@ def skills_in_mask(mask: str = "skill_mask") -> Column:
 
 
 def detected_skills(title: str = "title", description: str = "description") -> Column:
-    """Array of the skills a posting mentions, in vocabulary order."""
+    """Array of the skills a posting mentions, in vocabulary order.
+
+    To explode it, go by :func:`skill_mask` in a projection of its own: inside
+    ``explode`` the lower-cased text would be made anew for each skill.
+    """
     text = lowered_text(title, description)
-    return _names([f"contains({text}, {literal(skill)})" for skill in V.SKILLS])
+    return _names([_mentions_skill(text, skill) for skill in V.SKILLS])
 
 
 def _names(tests: list[str]) -> Column:

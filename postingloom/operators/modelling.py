@@ -115,6 +115,18 @@ def fold(derived: DataFrame) -> DataFrame:
     )
 
 
+def skill_rows(
+    rows: DataFrame, *keep: str, title: str = "title", description: str = "description", positions: bool = False
+) -> DataFrame:
+    """One row per mentioned skill: columns ``keep`` and ``skill_name``; with
+    ``positions`` also the place in the list of mentioned skills."""
+    masked = rows.select(*keep, rules.skill_mask(title, description).alias("skill_mask"))
+    names = rules.skills_in_mask()
+    if positions:
+        return masked.select(*keep, F.posexplode(names).alias("position", "skill_name"))
+    return masked.select(*keep, F.explode(names).alias("skill_name"))
+
+
 def bridge_of(folded: DataFrame) -> DataFrame:
     """(posting, skill) pairs. Unique as they stand: one row per posting goes
     in, and a mask names a skill once."""

@@ -357,6 +357,11 @@ def oracle_sql() -> dict[str, str]:
             "SELECT ordinal, position, skill_name FROM (SELECT *, row_number() OVER (PARTITION BY ordinal ORDER BY rank) - 1 AS position "
             f"FROM (SELECT ordinal, vocab.position AS rank, skill_name FROM postings JOIN {SKILL_ROWS} ON contains({BOTH}, skill_name)))"
         ),
+        "skill_lists": _on_postings(
+            "SELECT ordinal, coalesce(skills, '') AS skills FROM postings LEFT JOIN "
+            f"(SELECT ordinal, string_agg(skill_name, ',' ORDER BY vocab.position) AS skills FROM postings "
+            f"JOIN {SKILL_ROWS} ON contains({BOTH}, skill_name) GROUP BY ordinal) USING (ordinal)"
+        ),
         "skill_theta_join": _on_postings(
             skills.format(columns="DISTINCT source, external_id", rows="relevant", text=BOTH), relevant()
         ),

@@ -80,8 +80,13 @@ def relevant_postings(spark, folder):
 
 @query
 def skill_detection(spark, folder):
-    found = F.posexplode(rules.detected_skills()).alias("position", "skill_name")
-    return order_postings(spark, folder).select("ordinal", found)
+    return M.skill_rows(order_postings(spark, folder), "ordinal", positions=True)
+
+
+@query
+def skill_lists(spark, folder):
+    """The skills of each posting as one text."""
+    return order_postings(spark, folder).select("ordinal", F.concat_ws(",", rules.detected_skills()).alias("skills"))
 
 
 @query
@@ -530,13 +535,9 @@ def country_name_overwrite(spark, folder):
 
 # ---- long texts -----------------------------------------------------------
 
-def _skills_in(text: str):
-    return F.explode(rules.detected_skills("NULL", text)).alias("skill_name")
-
-
 @query
 def skills_in_documents(spark, folder):
-    return read_table(spark, folder, "documents").select("doc_id", _skills_in("text"))
+    return M.skill_rows(read_table(spark, folder, "documents"), "doc_id", title="NULL", description="text")
 
 
 @query
@@ -548,4 +549,5 @@ def work_mode_of_documents(spark, folder):
 
 @query
 def skills_in_conversations(spark, folder):
-    return read_table(spark, folder, "conversations").select("conv_id", "turn", _skills_in("text"))
+    turns = read_table(spark, folder, "conversations")
+    return M.skill_rows(turns, "conv_id", "turn", title="NULL", description="text")
