@@ -92,7 +92,7 @@ def build_declarative(staging_rows: DataFrame) -> dict[str, DataFrame]:
     dim_city = cities_by_join(relevant, dim_country)
     dim_company = M.companies_of(relevant, OPTIONS)
     dim_skill = M.skills_of(relevant, OPTIONS)
-    folded = M.fold(M.derive(relevant, OPTIONS)).drop("company_id", "city_id", "skill_mask", "sightings")
+    folded = M.fold(relevant, OPTIONS).drop("company_id", "city_id", "skill_mask", "sightings")
     keys = fact_keys_by_join(relevant, dim_company, dim_country, dim_city)
     fact = folded.join(keys, ["source", "external_id"])
     return {

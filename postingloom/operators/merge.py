@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions import rules
 from .dedup import insert_if_absent, overwrite_by_key
-from .modelling import FROZEN, FROZEN_TEXTS
 
-_FIRST = [*FROZEN, *FROZEN_TEXTS, "date_first_seen", "first_ord"]
+# Columns by the sighting they belong to.
+_KEYS = ["job_posting_id", "source", "external_id"]
 _LAST = ["title", "date_last_seen", "last_ord"]
 
 
@@ -28,10 +28,10 @@ def merge_fact(stored: DataFrame, run: DataFrame) -> DataFrame:
     take_last = ~in_new | (in_old & (F.col("old.last_ord") > F.col("new.last_ord")))
 
     def choose(column: str) -> Column:
-        if column in _FIRST or column in _LAST:
-            take_old = take_first if column in _FIRST else take_last
-            return F.when(take_old, F.col(f"old.{column}")).otherwise(F.col(f"new.{column}")).alias(column)
-        return F.coalesce(f"old.{column}", f"new.{column}").alias(column)
+        if column in _KEYS:
+            return F.coalesce(f"old.{column}", f"new.{column}").alias(column)
+        take_old = take_last if column in _LAST else take_first
+        return F.when(take_old, F.col(f"old.{column}")).otherwise(F.col(f"new.{column}")).alias(column)
 
     joined = old.join(new, F.col("old.job_posting_id") == F.col("new.job_posting_id"), "full_outer")
     return joined.select(*[choose(c) for c in schemas.FACT.fieldNames()])

@@ -43,73 +43,63 @@ def _city(options: ModelOptions) -> Column:
     return F.nullif(city, F.lit(""))
 
 
-def derive(relevant: DataFrame, options: ModelOptions = DEFAULT) -> DataFrame:
-    """Row-level attributes of relevant postings, keys included.
-
-    Keys are computed from natural keys. A company or city that holds a large
-    share of the postings therefore costs nothing: no lookup join exists.
-    """
-    natural = relevant.withColumns(
-        {"_company": _company(options), "_city": _city(options), "_code": rules.country_code()}
-    )
-    return natural.select(
-        "source",
-        "external_id",
-        "title",
-        rules.surrogate_key("_company").alias("company_id"),
-        rules.surrogate_key("_city", "_code").alias("city_id"),
-        "work_mode",
-        rules.salary("salary_min").alias("salary_min"),
-        rules.salary("salary_max").alias("salary_max"),
-        "job_type",
-        rules.seniority().alias("seniority_level"),
-        F.lit(None).cast("date").alias("publication_date_id"),
-        "url",
-        "description",
-        "run_date",
-        F.struct("extracted_at", "ordinal").alias("ord"),
-        rules.skill_mask().alias("skill_mask"),
-    )
-
-
-# Attributes that keep the value of the first sighting. The long texts are
-# apart so that whoever needs none of them does not shuffle them.
-FROZEN = [
-    "company_id", "city_id", "work_mode", "salary_min", "salary_max", "job_type",
-    "seniority_level", "publication_date_id",
+# What is kept of the first sighting. The long texts are apart so that whoever
+# needs none of them does not shuffle them.
+_FIRST = [
+    "title", "company_name", "country", "location", "work_mode", "salary_min", "salary_max", "job_type", "run_date",
 ]
-FROZEN_TEXTS = ["url", "description"]
+_FIRST_TEXTS = ["url", "description"]
 
 
-def fold(derived: DataFrame) -> DataFrame:
+def fold(relevant: DataFrame, options: ModelOptions = DEFAULT) -> DataFrame:
     """One row per posting: the outcome of loading its sightings in order.
 
     Loading row by row keeps most attributes of the first sighting, takes title
     and last-seen date from the last, and adds up skills. First, last and union
     are associative, so one aggregation with map-side combine gives the same
-    rows, and a posting seen very often is no burden for any task. Attributes
+    rows, and a posting seen very often is no burden for any task. Values
     travel in structs led by the order key: the least struct is the first
     sighting, and a NULL in it is kept as such. Sightings of equal order are
     copies of one staged row.
+
+    Amounts, seniority and keys are worked out after the fold, once per posting.
+    Keys are computed from natural keys, so no lookup join exists and a company
+    or city that many postings share costs nothing.
     """
-    folded = derived.groupBy("source", "external_id").agg(
-        F.min(F.struct("ord", "run_date", *FROZEN)).alias("first"),
-        F.min(F.struct("ord", *FROZEN_TEXTS)).alias("first_texts"),
-        F.max(F.struct("ord", "title", "run_date")).alias("last"),
-        F.bit_or("skill_mask").alias("skill_mask"),
-        F.count(F.lit(1)).alias("sightings"),
+    folded = (
+        relevant.withColumns({"ord": F.struct("extracted_at", "ordinal"), "skill_mask": rules.skill_mask()})
+        .groupBy("source", "external_id")
+        .agg(
+            F.min(F.struct("ord", *_FIRST)).alias("first"),
+            F.min(F.struct("ord", *_FIRST_TEXTS)).alias("first_texts"),
+            F.max(F.struct("ord", "title", "run_date")).alias("last"),
+            F.bit_or("skill_mask").alias("skill_mask"),
+            F.count(F.lit(1)).alias("sightings"),
+        )
     )
-    return folded.select(
+    opened = folded.select(
+        "source", "external_id", "first.*", *[f"first_texts.{c}" for c in _FIRST_TEXTS],
+        F.col("last.ord").alias("last_ord"), F.col("last.title").alias("last_title"),
+        F.col("last.run_date").alias("last_date"), "skill_mask", "sightings",
+    ).withColumns({"_company": _company(options), "_city": _city(options), "_code": rules.country_code()})
+    return opened.select(
         rules.surrogate_key("source", "external_id").alias("job_posting_id"),
         "source",
         "external_id",
-        "last.title",
-        *[f"first.{c}" for c in FROZEN],
-        F.col("first.run_date").alias("date_first_seen"),
-        F.col("last.run_date").alias("date_last_seen"),
-        *[f"first_texts.{c}" for c in FROZEN_TEXTS],
-        F.col("first.ord").alias("first_ord"),
-        F.col("last.ord").alias("last_ord"),
+        F.col("last_title").alias("title"),
+        rules.surrogate_key("_company").alias("company_id"),
+        rules.surrogate_key("_city", "_code").alias("city_id"),
+        "work_mode",
+        rules.salary("salary_min").alias("salary_min"),
+        rules.salary("salary_max").alias("salary_max"),
+        "job_type",
+        rules.seniority().alias("seniority_level"),
+        F.lit(None).cast("date").alias("publication_date_id"),
+        F.col("run_date").alias("date_first_seen"),
+        F.col("last_date").alias("date_last_seen"),
+        *_FIRST_TEXTS,
+        F.col("ord").alias("first_ord"),
+        "last_ord",
         "skill_mask",
         "sightings",
     )
@@ -209,7 +199,7 @@ def build_warehouse(
     """
     relevant = relevant_postings(staging_rows)
     if folded is None:
-        folded, skills = fold(derive(relevant, options)), skills_of(relevant, options)
+        folded, skills = fold(relevant, options), skills_of(relevant, options)
     else:
         skills = skill_seed(relevant.sparkSession) if options.seed_all_skills else skills_in(folded)
     return {

@@ -61,34 +61,41 @@ REFERENCES = [
 
 # ---- before the load ------------------------------------------------------
 
-def rejection_reason() -> Column:
-    """Why a staging row cannot be stored, or NULL if it can.
-
-    Only relevant rows can fail on a warehouse limit; the others are never
-    stored there.
-    """
-    reasons = [
-        F.when(F.col("source").isNull(), "source missing"),
-        F.when(F.col("external_id").isNull(), "external_id missing"),
-    ]
-    relevant = rules.is_relevant()
+def _problems() -> tuple[dict[str, Column], dict[str, Column]]:
+    """Tests by reason: for every row, and for relevant rows only. A warehouse
+    limit concerns the latter; the others are never stored there."""
+    always = {
+        "source missing": F.col("source").isNull(),
+        "external_id missing": F.col("external_id").isNull(),
+    }
+    when_relevant = {}
     for column, limit in STAGING_LIMITS.items():
-        too_long = F.length(column) > limit
-        if column in ("job_type", "company_name"):
-            too_long = relevant & too_long
-        reasons.append(F.when(too_long, f"{column} too long"))
-    city = rules.city_name()
-    reasons.append(F.when(relevant & (F.length(city) > CITY_LIMIT), "city too long"))
-    return F.nullif(F.concat_ws(", ", *reasons), F.lit(""))
+        tests = when_relevant if column in ("job_type", "company_name") else always
+        tests[f"{column} too long"] = F.coalesce(F.length(column) > limit, F.lit(False))
+    when_relevant["city too long"] = F.coalesce(F.length(rules.city_name()) > CITY_LIMIT, F.lit(False))
+    return always, when_relevant
+
+
+def _rejected() -> Column:
+    """True where a staging row cannot be stored; never NULL."""
+    always, when_relevant = (reduce(Column.__or__, tests.values()) for tests in _problems())
+    return always | (when_relevant & rules.is_relevant())
 
 
 def accepted(staging_rows: DataFrame) -> DataFrame:
-    return staging_rows.where(rejection_reason().isNull())
+    return staging_rows.where(~_rejected())
 
 
 def quarantined(staging_rows: DataFrame) -> DataFrame:
-    """The rows that are set aside, each with its ``reason``."""
-    return staging_rows.withColumn("reason", rejection_reason()).where("reason IS NOT NULL")
+    """The rows that are set aside, each with its ``reason``.
+
+    Reasons are spelled out for these rows only.
+    """
+    always, when_relevant = _problems()
+    relevant = rules.is_relevant()
+    reasons = [F.when(test, reason) for reason, test in always.items()]
+    reasons += [F.when(relevant & test, reason) for reason, test in when_relevant.items()]
+    return staging_rows.where(_rejected()).withColumn("reason", F.concat_ws(", ", *reasons))
 
 
 def malformed_salaries(staging_rows: DataFrame) -> DataFrame:

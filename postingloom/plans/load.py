@@ -62,7 +62,7 @@ def _folded(accepted: DataFrame, options: M.ModelOptions) -> DataFrame:
     the report are made from them."""
     spark = accepted.sparkSession
     path = scratch_path(spark, "folded")
-    folded = M.fold(M.derive(M.relevant_postings(accepted), options))
+    folded = M.fold(M.relevant_postings(accepted), options)
     folded.write.parquet(path)
     return spark.read.schema(folded.schema).parquet(path)
 
