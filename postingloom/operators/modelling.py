@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules
 from ..functions import vocabulary as V
+from ..functions.text import literal
 
 
 @dataclass(frozen=True)
@@ -157,7 +158,7 @@ def companies_of(relevant: DataFrame, options: ModelOptions = DEFAULT) -> DataFr
 
 def skill_seed(spark: SparkSession) -> DataFrame:
     """The whole vocabulary as a relation."""
-    names = spark.createDataFrame([(s,) for s in V.SKILLS], "skill_name string")
+    names = spark.sql(f"VALUES {', '.join(f'({literal(s)})' for s in V.SKILLS)} AS vocabulary(skill_name)")
     return names.select(rules.surrogate_key("skill_name").alias("skill_id"), "skill_name")
 
 

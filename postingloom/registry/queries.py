@@ -80,7 +80,8 @@ def relevant_postings(spark, folder):
 
 @query
 def skill_detection(spark, folder):
-    return M.skill_rows(order_postings(spark, folder), "ordinal", positions=True)
+    rows = M.skill_rows(order_postings(spark, folder), "ordinal", positions=True)
+    return rows.withColumn("position", F.col("position").cast("bigint"))
 
 
 @query
