@@ -12,7 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import vocabulary as V
-from .text import blank_to_null, literal, lowered_text, mentions_any, strip
+from .text import blank_to_null, literal, lowered_bytes, lowered_text, mentions, mentions_any, strip
 
 
 # ---- classification -------------------------------------------------------
@@ -23,11 +23,11 @@ def work_mode(title: str = "title", description: str = "description") -> Column:
     The order of the tests carries meaning: "no remote" must be seen before
     "remote" is.
     """
-    text = lowered_text(title, description)
+    text = lowered_bytes(title, description)
     return F.expr(
-        f"""CASE WHEN {mentions_any(text, V.ON_SITE_WORDS)} THEN 'on_site'
-                 WHEN {mentions_any(text, V.HYBRID_WORDS)} THEN 'hybrid'
-                 WHEN {mentions_any(text, V.REMOTE_WORDS)} THEN 'remote'
+        f"""CASE WHEN {mentions_any(text, V.ON_SITE_WORDS, in_bytes=True)} THEN 'on_site'
+                 WHEN {mentions_any(text, V.HYBRID_WORDS, in_bytes=True)} THEN 'hybrid'
+                 WHEN {mentions_any(text, V.REMOTE_WORDS, in_bytes=True)} THEN 'remote'
                  ELSE 'unknown' END"""
     )
 
@@ -70,43 +70,31 @@ def seniority_by_regex(title: str = "title") -> Column:
 assert len(V.SKILLS) <= 63
 
 
+def searchable_text(title: str = "title", description: str = "description") -> Column:
+    """What skills are looked for in. Keep it in a column of its own: the tests
+    of :func:`skill_mask` read it more than twenty times."""
+    return F.expr(lowered_bytes(title, description))
+
+
 def _mentions_skill(text: str, skill: str) -> str:
     """A skill that contains another one ("mysql", "sql") is only looked for
     where the shorter one was found, whose test is shared."""
     shorter = [s for s in V.SKILLS if s != skill and s in skill]
-    return " AND ".join(f"contains({text}, {literal(s)})" for s in [*shorter, skill])
+    return " AND ".join(mentions(text, s, in_bytes=True) for s in [*shorter, skill])
 
 
-def skill_mask(title: str = "title", description: str = "description") -> Column:
-    """Bit ``i`` is set where the i-th skill occurs as a bare substring."""
-    text = lowered_text(title, description)
+def skill_mask(text: str) -> Column:
+    """Bit ``i`` is set where the i-th skill occurs in a searchable text."""
     return F.expr(
         " + ".join(f"IF({_mentions_skill(text, skill)}, {1 << i}L, 0L)" for i, skill in enumerate(V.SKILLS))
     )
 
 
 def skills_in_mask(mask: str = "skill_mask") -> Column:
-    """The skill names of a mask as an array in vocabulary order.
-
-    ``mask`` should be a stored column: it is read once per skill.
-    """
-    return _names([f"({mask} & {1 << i}L) != 0" for i in range(len(V.SKILLS))])
-
-
-def detected_skills(title: str = "title", description: str = "description") -> Column:
-    """Array of the skills a posting mentions, in vocabulary order.
-
-    To explode it, go by :func:`skill_mask` in a projection of its own: inside
-    ``explode`` the lower-cased text would be made anew for each skill.
-    """
-    text = lowered_text(title, description)
-    return _names([_mentions_skill(text, skill) for skill in V.SKILLS])
-
-
-def _names(tests: list[str]) -> Column:
+    """The skill names of a mask as an array in vocabulary order."""
     # Stays in generated code, unlike a filter with a lambda.
-    named = ", ".join(f"IF({test}, {literal(skill)}, '')" for test, skill in zip(tests, V.SKILLS))
-    return F.expr(f"array_remove(array({named}), '')")
+    names = ", ".join(f"IF(({mask} & {1 << i}L) != 0, {literal(skill)}, '')" for i, skill in enumerate(V.SKILLS))
+    return F.expr(f"array_remove(array({names}), '')")
 
 
 # ---- geography ------------------------------------------------------------

@@ -33,9 +33,19 @@ def lowered_text(*parts: str) -> str:
     return f"lower({present[0]})" if len(present) == 1 else f"lower(concat_ws(' ', {', '.join(present)}))"
 
 
-def mentions_any(text: str, words: list[str]) -> str:
-    """True where any of ``words`` occurs in ``text`` as a bare substring."""
-    return "(" + " OR ".join(f"contains({text}, {literal(w)})" for w in words) + ")"
+def lowered_bytes(*parts: str) -> str:
+    """:func:`lowered_text` in UTF-8, for many tests on long text: a search in
+    bytes finds the same words and takes about half the time."""
+    return f"CAST({lowered_text(*parts)} AS BINARY)"
+
+
+def mentions(text: str, word: str, in_bytes: bool = False) -> str:
+    """True where ``word`` occurs in ``text`` as a bare substring."""
+    return f"contains({text}, CAST({literal(word)} AS BINARY))" if in_bytes else f"contains({text}, {literal(word)})"
+
+
+def mentions_any(text: str, words: list[str], in_bytes: bool = False) -> str:
+    return "(" + " OR ".join(mentions(text, w, in_bytes) for w in words) + ")"
 
 
 def strip(text: str) -> str:

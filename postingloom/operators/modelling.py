@@ -68,7 +68,8 @@ def fold(relevant: DataFrame, options: ModelOptions = DEFAULT) -> DataFrame:
     or city that many postings share costs nothing.
     """
     folded = (
-        relevant.withColumns({"ord": F.struct("extracted_at", "ordinal"), "skill_mask": rules.skill_mask()})
+        with_skill_mask(relevant)
+        .withColumn("ord", F.struct("extracted_at", "ordinal"))
         .groupBy("source", "external_id")
         .agg(
             F.min(F.struct("ord", *_FIRST)).alias("first"),
@@ -106,13 +107,18 @@ def fold(relevant: DataFrame, options: ModelOptions = DEFAULT) -> DataFrame:
     )
 
 
+def with_skill_mask(rows: DataFrame, title: str = "title", description: str = "description") -> DataFrame:
+    """Add ``skill_mask``; the searched text is made once per row."""
+    searched = rows.withColumn("_text", rules.searchable_text(title, description))
+    return searched.withColumn("skill_mask", rules.skill_mask("_text")).drop("_text")
+
+
 def skill_rows(
     rows: DataFrame, *keep: str, title: str = "title", description: str = "description", positions: bool = False
 ) -> DataFrame:
     """One row per mentioned skill: columns ``keep`` and ``skill_name``; with
     ``positions`` also the place in the list of mentioned skills."""
-    masked = rows.select(*keep, rules.skill_mask(title, description).alias("skill_mask"))
-    names = rules.skills_in_mask()
+    masked, names = with_skill_mask(rows, title, description), rules.skills_in_mask()
     if positions:
         return masked.select(*keep, F.posexplode(names).alias("position", "skill_name"))
     return masked.select(*keep, F.explode(names).alias("skill_name"))
@@ -170,8 +176,7 @@ def skills_of(relevant: DataFrame, options: ModelOptions = DEFAULT) -> DataFrame
     """
     if options.seed_all_skills:
         return skill_seed(relevant.sparkSession)
-    mask = relevant.select(rules.skill_mask().alias("skill_mask"))
-    return skills_in(mask)
+    return skills_in(with_skill_mask(relevant))
 
 
 def skills_in(masks: DataFrame) -> DataFrame:

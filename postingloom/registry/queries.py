@@ -87,7 +87,8 @@ def skill_detection(spark, folder):
 @query
 def skill_lists(spark, folder):
     """The skills of each posting as one text."""
-    return order_postings(spark, folder).select("ordinal", F.concat_ws(",", rules.detected_skills()).alias("skills"))
+    masked = M.with_skill_mask(order_postings(spark, folder))
+    return masked.select("ordinal", F.concat_ws(",", rules.skills_in_mask()).alias("skills"))
 
 
 @query

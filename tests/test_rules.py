@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from postingloom.functions import rules
 from postingloom.functions import vocabulary as V
+from postingloom.operators.modelling import skill_rows, with_skill_mask
 
 
 def evaluate(spark, schema, rows, column):
@@ -53,14 +54,15 @@ def test_relevance(spark, title, expected):
 def test_skills(spark, title, description, expected):
     row = [(title, description)]
     schema = "title string, description string"
-    assert evaluate(spark, schema, row, rules.detected_skills()) == [expected]
-    masked = spark.createDataFrame(row, schema).select(rules.skill_mask().alias("skill_mask"))
-    assert masked.select(rules.skills_in_mask()).first()[0] == expected
+    frame = spark.createDataFrame(row, schema)
+    assert with_skill_mask(frame).select(rules.skills_in_mask()).first()[0] == expected
+    assert [r.skill_name for r in skill_rows(frame).collect()] == expected
+    assert [(r.position, r.skill_name) for r in skill_rows(frame, positions=True).collect()] == list(enumerate(expected))
 
 
 def test_every_skill_has_its_own_bit(spark):
-    rows = [("", skill) for skill in V.SKILLS]
-    found = evaluate(spark, "title string, description string", rows, rules.detected_skills())
+    rows = spark.createDataFrame([("", skill) for skill in V.SKILLS], "title string, description string")
+    found = [r[0] for r in with_skill_mask(rows).select(rules.skills_in_mask()).collect()]
     for skill, skills in zip(V.SKILLS, found):
         assert skills == [s for s in V.SKILLS if s in skill]
 
@@ -191,8 +193,8 @@ def test_rules_need_no_python_worker(spark):
     from conftest import plan_of
 
     schema = "title string, description string, country string, location string, salary_min string"
-    frame = spark.createDataFrame([], schema).select(
-        rules.work_mode(), rules.is_relevant(), rules.seniority(), rules.skill_mask(), rules.city_name(),
-        rules.salary("salary_min"), F.size(rules.detected_skills()),
+    frame = with_skill_mask(spark.createDataFrame([], schema)).select(
+        rules.work_mode(), rules.is_relevant(), rules.seniority(), rules.city_name(), rules.salary("salary_min"),
+        F.size(rules.skills_in_mask()),
     )
     assert "EvalPython" not in plan_of(frame)
