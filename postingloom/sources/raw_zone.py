@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from . import listing
 
 DAY_COLUMNS = ["year", "month", "day"]
 
@@ -71,19 +72,16 @@ def write_days(payloads: DataFrame, root: str) -> None:
 def latest_day_path(spark: SparkSession, root: str) -> str:
     """Directory of the greatest document key; fails on an empty zone.
 
-    Only file names are listed, by executors; no document is opened.
+    Only names are listed, the greatest first; no document is opened.
     """
-    listing = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.json")
-        .option("recursiveFileLookup", "true")
-        .load(root)
-        .select(F.regexp_extract("path", r"^(.*/year=[^/]+/month=[^/]+/day=[^/]+)/", 1).alias("day_path"))
-    )
-    newest = listing.agg(F.max("day_path")).first()[0]
-    if not newest:
-        raise EmptyRawZone(f"no document in the raw zone {root}")
-    return newest
+    root = root.rstrip("/")
+    for year in listing.partitions(spark, root, "year"):
+        for month in listing.partitions(spark, f"{root}/year={year}", "month"):
+            for day in listing.partitions(spark, f"{root}/year={year}/month={month}", "day"):
+                path = f"{root}/year={year}/month={month}/day={day}"
+                if listing.has_files(spark, path, ".json"):
+                    return path
+    raise EmptyRawZone(f"no document in the raw zone {root}")
 
 
 def read_payloads(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import rules
+from . import listing
 
 
 def to_staging(
@@ -43,20 +44,24 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 
 def latest_run_key(spark: SparkSession, path: str) -> str | None:
-    """Greatest run key, from file names alone."""
-    listing = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.parquet")
-        .option("recursiveFileLookup", "true")
-        .load(path)
-        .select(F.regexp_extract("path", r"/run_key=([^/]+)/", 1).alias("run_key"))
-    )
-    return listing.agg(F.max("run_key")).first()[0]
+    """Greatest run key, from directory names alone."""
+    for key in listing.partitions(spark, path, "run_key"):
+        if listing.has_files(spark, f"{path}/run_key={key}", ".parquet"):
+            return key
+    return None
 
 
 def read_run(spark: SparkSession, path: str, run_key: str | None) -> DataFrame:
-    """One run; the key is a literal, so only its partition is scanned."""
-    return read(spark, path).where(F.col("run_key") == F.lit(run_key))
+    """One run; only its partition is listed and scanned.
+
+    A table written by the file stream is opened at its root, where the stream
+    keeps the list of valid files, and is cut down by the partition filter.
+    """
+    run = F.col("run_key") == F.lit(run_key)
+    if run_key is None or listing.exists(spark, f"{path}/_spark_metadata"):
+        return read(spark, path).where(run)
+    one = spark.read.schema(schemas.STAGING).option("basePath", path).parquet(f"{path}/run_key={run_key}")
+    return one.where(run)
 
 
 def latest_run(staging_rows: DataFrame) -> DataFrame:

@@ -213,3 +213,24 @@ def test_stream_stages_each_document_once(spark, tmp_path, sf_dir):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert session.scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir") + "/postingloom/x-")
+
+
+def test_newest_partition_with_files_is_taken(spark, tmp_path):
+    root = f"{tmp_path}/raw"
+    put(f"{root}/year=2026/month=02/day=03/jobs.json", {"jobs": []})
+    put(f"{root}/year=2026/month=01/day=30/jobs.json", {"jobs": []})
+    os.makedirs(f"{root}/year=2026/month=03/day=01")
+    assert raw_zone.latest_day_path(spark, root).endswith("/year=2026/month=02/day=03")
+    assert staging.latest_run_key(spark, f"{tmp_path}/none") is None
+
+
+def test_streamed_staging_is_loaded(spark, tmp_path, sf_dir):
+    root, table = f"{tmp_path}/raw", f"{tmp_path}/staging"
+    extract.extract(*Q._feeds(spark, sf_dir), root)
+    stage_new_documents(spark, root, table, f"{tmp_path}/state", NOW).awaitTermination()
+    key = staging.latest_run_key(spark, table)
+    run = staging.read_run(spark, table, key)
+    assert key.startswith("20260921") and run.count() == staging.read(spark, table).where(F.col("run_key") == key).count()
+    warehouse = Warehouse(spark, f"{tmp_path}/warehouse")
+    report = load.load_latest_run(spark, table, warehouse, NOW)
+    assert report["inserted"] == warehouse.tables()["fact_job_posting"].count() > 0
