@@ -5,7 +5,7 @@ from __future__ import annotations
 import sys
 
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from postingloom.session import scratch_path
@@ -53,3 +53,32 @@ def row_key(id_column: str, text_column: str) -> list[Column]:
         F.coalesce(F.col(id_column).cast("long"), F.lit(LAST_ID)).alias("key_id"),
         F.xxhash64(text_or_empty(text_column)).alias("key_text"),
     ]
+
+
+def numbered(frame: DataFrame, owner: str, coarse: str, fine: str, group: str, order: list[str], place: str) -> DataFrame:
+    """Add each row's place among the rows of its owner, from 1, ordered by coarse, fine and ``order``.
+
+    ``group`` spells owner, coarse and fine in one text that is never null. Groups are counted, sums over the groups of a coarse step
+    and over the coarse steps of an owner give where each group begins, and only the rows of a
+    group are ordered in one task; so no task needs to see all rows of an owner."""
+    counts = frame.groupBy(owner, coarse, fine, group).agg(F.count("*").alias("_num_n"))
+    before = (Window.unboundedPreceding, -1)
+    in_coarse = Window.partitionBy(owner, coarse).orderBy(fine).rowsBetween(*before)
+    in_owner = Window.partitionBy(owner).orderBy(coarse).rowsBetween(*before)
+    none = F.lit(0).cast("long")
+    steps = (
+        counts.groupBy(owner, coarse)
+        .agg(F.sum("_num_n").alias("_num_n"))
+        .select(F.col(owner).alias("_num_owner"), F.col(coarse).alias("_num_coarse"), F.coalesce(F.sum("_num_n").over(in_owner), none).alias("_num_step"))
+    )
+    starts = (
+        counts.withColumn("_num_start", F.coalesce(F.sum("_num_n").over(in_coarse), none))
+        .join(steps, F.col(owner).eqNullSafe(F.col("_num_owner")) & F.col(coarse).eqNullSafe(F.col("_num_coarse")))
+        .select(F.col(group).alias("_num_group"), (F.col("_num_step") + F.col("_num_start")).alias("_num_start"))
+    )
+    own = F.row_number().over(Window.partitionBy(group).orderBy(*order))
+    return (
+        frame.join(starts, F.col(group) == F.col("_num_group"))
+        .withColumn(place, F.col("_num_start") + own)
+        .drop("_num_group", "_num_start")
+    )

@@ -113,9 +113,55 @@ FROM counted
 """
 
 
+_CHAT = r"""
+WITH messages AS (
+  SELECT DISTINCT conv_id, coalesce(turn, 9223372036854775807) AS turn, coalesce(role, 'unknown') AS role,
+    coalesce(text, '') AS text FROM conversations
+), speakers AS (
+  SELECT DISTINCT conv_id, role AS perspective FROM messages WHERE role <> 'system'
+), lines AS (
+  SELECT m.conv_id, s.perspective, m.turn, m.role = s.perspective AS own,
+    '<|im_start|>' || CASE WHEN m.role = s.perspective THEN 'assistant' WHEN m.role = 'system' THEN 'system'
+      ELSE 'user name=' || m.role END || chr(10) AS head, m.text || '<|im_end|>' || chr(10) AS body
+  FROM messages m JOIN speakers s ON m.conv_id IS NOT DISTINCT FROM s.conv_id
+), placed AS (
+  SELECT *, sum(length(head) + length(body)) OVER (PARTITION BY conv_id, perspective ORDER BY turn) AS until FROM lines
+)
+SELECT conv_id, perspective, CAST(0 AS BIGINT) AS part, count(*) AS n_turns,
+  string_agg(head || body, '' ORDER BY turn) AS rendered,
+  coalesce(string_agg(CAST(until - length(body) AS BIGINT) || ':' || CAST(until AS BIGINT), ',' ORDER BY turn)
+    FILTER (WHERE own), '') AS trained
+FROM placed GROUP BY conv_id, perspective
+"""
+
+_WARC = r"""
+WITH made AS (
+  SELECT page_id, url, coalesce(html, '') AS html,
+    CAST(('0x' || substr(md5(coalesce(CAST(page_id AS VARCHAR), '') || '|' || coalesce(url, '')), 1, 8)) AS BIGINT)
+      % (SELECT greatest(1, CAST(ceil(count(*) / 256.0) AS BIGINT)) FROM pages) AS file,
+    CAST(('0x' || substr(md5('altered' || page_id), 1, 8)) AS BIGINT) % 97 = 0 AS altered,
+    CAST(('0x' || substr(md5('missing' || page_id), 1, 8)) AS BIGINT) % 101 = 0 AS missing
+  FROM pages
+), measured AS (
+  SELECT *, strlen('WARC/1.1' || 'WARC-Type: response' || 'WARC-Target-URI: ' || coalesce(url, '')
+      || 'WARC-Date: 2026-01-01T00:00:00Z' || 'Content-Type: text/html; charset=utf-8'
+      || 'Content-Length: ' || strlen(html)) + 14 + strlen(html) + 4 AS length
+  FROM made
+), placed AS (
+  SELECT *, coalesce(sum(length) OVER (PARTITION BY file ORDER BY page_id, url
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begins FROM measured
+)
+SELECT file, CAST(begins AS BIGINT) AS "offset", CAST(length AS BIGINT) AS length,
+  CASE WHEN missing THEN 'missing' ELSE 'altered' END AS kind
+FROM placed WHERE missing OR (altered AND html <> '' AND substr(html, 1, 1) <> '~')
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_line_dedup": _LINES,
         "op4_quality_rules": _QUALITY,
+        "op6_chat_format": _CHAT,
+        "op8_warc_audit": _WARC,
         "op10_source_mix": _MIX,
     }

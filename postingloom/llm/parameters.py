@@ -9,3 +9,18 @@ SIMHASH = {"shingle": 3, "distance": 2}
 MIX = {"weights": (3, 1, 2), "percent": 150, "most": 2}
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
+
+#: Characters between parts of a credential.
+CREDENTIAL_REACH = 200
+
+#: Cosine from which vectors link; reference points, nearest of them kept, and how many must be shared.
+EMBEDDING = {"cosine": 0.95, "n_pivots": 1024, "prefix": 8, "shared": 3}
+
+#: Tokens of a run and pages that share it for it to be boilerplate.
+HTML = {"run": 10, "min_pages": 3}
+
+#: Messages of a dialogue in one row.
+CHAT = {"context": ("system",), "part_turns": 1024}
+
+#: Pages per archive file, date of the records. One record in 97 of the replica is altered, one in 101 missing.
+WARC = {"pages_per_file": 256, "date": "2026-01-01T00:00:00Z", "altered": 97, "missing": 101}

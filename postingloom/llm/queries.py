@@ -5,12 +5,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postingloom.llm import bpe, line_dedup, quality_rules, simhash, source_mix
+from postingloom.llm import (
+    bpe,
+    chat_format,
+    credential_scan,
+    embedding_dedup,
+    html_extract,
+    line_dedup,
+    quality_rules,
+    simhash,
+    source_mix,
+    warc_audit,
+)
 from postingloom.llm.common import table
-from postingloom.llm.parameters import MIX, RANK_FILE, SIMHASH
+from postingloom.llm.parameters import CHAT, CREDENTIAL_REACH, EMBEDDING, HTML, MIX, RANK_FILE, SIMHASH, WARC
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +40,21 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.without_repeats(documents).select("doc_id", "text", F.col("n_removed").cast("long").alias("n_removed"))
 
 
+def op3_credentials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = credential_scan.scan(documents, CREDENTIAL_REACH)
+
+    def counted(kind: str) -> Column:
+        return F.size(F.filter("base", lambda span: span["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *map(counted, ("assign", "access", "hex")),
+        F.sha2(credential_scan.spelled(F.col("base")), 256).alias("base_sha256"),
+        credential_scan.spelled(F.col("spans")).alias("spans"),
+    )
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return quality_rules.judged(documents).select(
@@ -43,6 +69,43 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    trained = F.transform("trained", lambda span: F.concat_ws(":", span["start"].cast("string"), span["end"].cast("string")))
+    return chat_format.perspectives(turns, **CHAT).select(
+        "conv_id",
+        "perspective",
+        "part",
+        F.col("n_turns").cast("long").alias("n_turns"),
+        "rendered",
+        F.concat_ws(",", trained).alias("trained"),
+    )
+
+
+def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), **EMBEDDING)
+
+
+def _one_in(name: str, n: int) -> Column:
+    """A fixed choice of one page in n, by its id."""
+    digits = F.substring(F.md5(F.concat(F.lit(name), F.col("page_id").cast("string"))), 1, 8)
+    return F.coalesce(F.conv(digits, 16, 10).cast("long") % n == 0, F.lit(False))
+
+
+def op8_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The archives of all pages against a replica in which some records are altered and some missing."""
+    pages = table(spark, sf_dir, "pages")
+    n_files = max(1, -(-pages.count() // WARC["pages_per_file"]))
+    primary = warc_audit.records(pages, n_files, WARC["date"])
+    rotten = F.when(_one_in("altered", WARC["altered"]), F.concat(F.lit("~"), F.expr("substring(html, 2)"))).otherwise(F.col("html"))
+    replica = warc_audit.records(pages, n_files, WARC["date"], held=rotten).where(~_one_in("missing", WARC["missing"]))
+    return warc_audit.audit(primary, replica)
+
+
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.main_text(table(spark, sf_dir, "pages"), **HTML)
+
+
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return source_mix.mix(documents, **MIX).select(
@@ -54,7 +117,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_byte_bpe": op1_byte_bpe,
         "op2_line_dedup": op2_line_dedup,
+        "op3_credentials": op3_credentials,
         "op4_quality_rules": op4_quality_rules,
         "op5_simhash": op5_simhash,
+        "op6_chat_format": op6_chat_format,
+        "op7_embeddings": op7_embeddings,
+        "op8_warc_audit": op8_warc_audit,
+        "op9_main_text": op9_main_text,
         "op10_source_mix": op10_source_mix,
     }

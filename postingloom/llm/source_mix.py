@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from postingloom.llm.common import row_key, text_or_empty, words
+from postingloom.llm.common import numbered, row_key, words
 
 #: Parts into which documents of one source and size class are dealt, so that no group of equals meets in one task.
 PARTS = 256
@@ -73,7 +73,7 @@ def mix(
     A document of a source is expected target / source_size times. Within the source, ordered by size class, part and
     size, the expected copies are added up from one random offset, and a document is taken
     once per whole number its stretch crosses, so neighbours in size share a source's copies evenly.
-    The running sums need no task to see a whole source: sums over parts give where each part begins, and only a part is ordered.
+    No task has to see a whole source for that (see ``numbered``).
 
     A null text has size 0, a missing source is a source of its own, a missing doc_id goes
     by its text. Rows that agree in id and size are interchangeable, so repeated rows give the same rows in
@@ -93,47 +93,26 @@ def mix(
         .withColumn("_group", F.concat_ws("|", "_part", "_class", label))
     )
     targets = source_targets(sized.select(F.col("_source").alias("source"), "size"), weights, percent, most).select(
-        F.col("source").alias("_of_source"), "source_size", "target"
+        F.col("source").alias("_of_source"), F.col("source_size").alias("_source_size"), F.col("target").alias("_target")
     )
-    groups = _group_starts(sized).join(targets, F.col("_source").eqNullSafe(F.col("_of_source")))
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    offset = F.conv(F.substring(F.md5(F.concat(F.lit(seed), F.coalesce("_source", F.lit("")))), 1, 8), 16, 10).cast("double")
-    starts = groups.select(
-        F.col("_group").alias("_of_group"),
-        "_start",
-        F.col("source_size").alias("_source_size"),
-        F.col("target").alias("_target"),
+    rate = F.when(F.col("_source_size") > 0, F.col("_target") / F.col("_source_size")).otherwise(F.lit(0.0))
+    offset = F.conv(F.substring(F.md5(F.concat(F.lit(seed), F.coalesce("_of_source", F.lit("")))), 1, 8), 16, 10).cast("double")
+    rates = targets.select(
+        "_of_source",
+        "_source_size",
+        "_target",
         F.floor(rate).alias("_whole"),
         (rate - F.floor(rate)).alias("_rest"),
         (offset / 4294967296.0).alias("_offset"),
     )
-    place = F.col("_start") + F.row_number().over(Window.partitionBy("_group").orderBy("size", "_id", "_text"))
-    crossed = F.floor(F.col("_offset") + place * F.col("_rest")) - F.floor(F.col("_offset") + (place - 1) * F.col("_rest"))
-    return (
-        sized.join(starts, F.col("_group") == F.col("_of_group"))
-        .withColumns({"copies": F.col("_whole") + crossed, "source_size": F.col("_source_size"), "target": F.col("_target")})
-        .drop("_id", "_text", "_source", "_class", "_part", "_group", *starts.columns)
-    )
-
-
-def _group_starts(sized: DataFrame) -> DataFrame:
-    """Documents of the source before each group, from sums over parts and over classes."""
-    counts = sized.groupBy("_source", "_class", "_part", "_group").agg(F.count("*").alias("n"))
-    before = (Window.unboundedPreceding, -1)
-    in_class = Window.partitionBy("_source", "_class").orderBy("_part").rowsBetween(*before)
-    in_source = Window.partitionBy("_source").orderBy("_class").rowsBetween(*before)
-    classes = (
-        counts.groupBy("_source", "_class")
-        .agg(F.sum("n").alias("n"))
-        .select(
-            F.col("_source").alias("_s"), F.col("_class").alias("_c"),
-            F.coalesce(F.sum("n").over(in_source), F.lit(0)).alias("_class_start"),
-        )
+    placed = numbered(sized, "_source", "_class", "_part", "_group", ["size", "_id", "_text"], "_place")
+    crossed = F.floor(F.col("_offset") + F.col("_place") * F.col("_rest")) - F.floor(
+        F.col("_offset") + (F.col("_place") - 1) * F.col("_rest")
     )
     return (
-        counts.withColumn("_part_start", F.coalesce(F.sum("n").over(in_class), F.lit(0)))
-        .join(classes, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_class") == F.col("_c")))
-        .select("_source", "_group", (F.col("_class_start") + F.col("_part_start")).alias("_start"))
+        placed.join(rates, F.col("_source").eqNullSafe(F.col("_of_source")))
+        .withColumns({"copies": F.col("_whole") + crossed, "source_size": F.col("_source_size"), "target": F.col("_target")})
+        .drop("_id", "_text", "_source", "_class", "_part", "_group", "_place", *rates.columns)
     )
 
 
