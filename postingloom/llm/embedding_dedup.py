@@ -15,6 +15,8 @@ from postingloom.llm.components import connected_components
 
 #: Vectors of a list are compared in blocks of about so many, so that no task holds a long list.
 BLOCK = 512
+#: Sampled vectors for each pivot, and the cosine below which pivots lie.
+SAMPLE, APART = 4, 0.7
 
 
 def unit(vector: str | Column) -> Column:
@@ -25,11 +27,22 @@ def unit(vector: str | Column) -> Column:
 
 
 def choose_pivots(distinct: DataFrame, n_pivots: int) -> np.ndarray:
-    """Reference points: ``n_pivots`` distinct vectors, those of the smallest hashes, as unit rows.
-
-    This sample is all of the data that the driver sees; its size is the parameter."""
-    rows = distinct.orderBy("h", "g").limit(n_pivots).select("vector").collect()
-    return _unit_rows(np.array([row[0] for row in rows], dtype=np.float64)) if rows else np.empty((0, 0))
+    """Up to ``n_pivots`` reference points as unit rows, from a sample of four times as many vectors.
+
+    The sample has the vectors of the smallest hashes; it is all of the data that the driver sees, and its size follows from the
+    parameter. A vector too close to a pivot is passed over: pivots inside a group of near copies
+    would order themselves differently for each of its members."""
+    rows = distinct.orderBy("h", "g").limit(SAMPLE * n_pivots).select("vector").collect()
+    if not rows:
+        return np.empty((0, 0))
+    sample = _unit_rows(np.array([row[0] for row in rows], dtype=np.float64))
+    chosen: list[int] = []
+    free = np.ones(len(sample), dtype=bool)
+    for k in range(len(sample)):
+        if free[k] and len(chosen) < n_pivots:
+            chosen.append(k)
+            free &= sample @ sample[k] < APART
+    return sample[chosen]
 
 
 def _unit_rows(rows: np.ndarray) -> np.ndarray:
