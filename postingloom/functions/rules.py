@@ -162,6 +162,15 @@ def run_key(extracted_at: str = "extracted_at") -> Column:
     return F.expr(f"regexp_replace({_time_text(extracted_at)}, '[^0-9A-Za-z]', '')")
 
 
+def run_time(key: Column) -> Column:
+    """The extraction time that a run key was made from, to the second where
+    that is exact; any other text stays as it is."""
+    whole = F.regexp_replace(
+        key, r"^(\d{4})(\d{2})(\d{2})T(\d{2})(\d{2})(\d{2})(\d{6})$", "$1-$2-$3T$4:$5:$6.$7"
+    )
+    return F.regexp_replace(whole, r"\.000000$", "")
+
+
 # ---- keys and measures ----------------------------------------------------
 
 def surrogate_key(*parts: str) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions import rules
+from . import quality
 from .dedup import insert_if_absent, overwrite_by_key
 
 # Columns by the sighting they belong to.
@@ -55,31 +55,34 @@ def merge_dimensions(stored: dict[str, DataFrame], run: dict[str, DataFrame], ov
     return merged
 
 
-def load_report(stored: DataFrame, folded: DataFrame, staging_rows: DataFrame) -> DataFrame:
-    """One row: postings inserted, rows that updated one, rows out of scope.
+def load_report(stored: DataFrame, folded: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """One row: postings inserted, rows that updated one, rows out of scope,
+    rows set aside. The four add up to the rows of the run.
 
-    Every relevant row beyond the first of a new key counts as an update.
+    Every accepted relevant row beyond the first of a new key counts as an
+    update. ``outcomes`` is :func:`quality.outcome_counts` of the run.
     """
     known = stored.select("job_posting_id", F.lit(True).alias("known"))
-    keyed = folded.select("job_posting_id", "sightings").join(known, "job_posting_id", "left")
-    counted = keyed.agg(
-        F.count_if(F.col("known").isNull()).alias("inserted"),
-        F.coalesce(F.sum("sightings"), F.lit(0)).alias("relevant"),
-    ).withColumn("seen", staging_rows.agg(F.count(F.lit(1))).scalar())
-    return counted.selectExpr("inserted", "relevant - inserted AS updated", "seen - relevant AS skipped")
+    keyed = folded.select("job_posting_id").join(known, "job_posting_id", "left")
+    inserted = keyed.agg(F.count_if(F.col("known").isNull()).alias("inserted"))
+    of = {name: outcomes.select(name).scalar() for name in ("relevant", "skipped", "quarantined")}
+    return inserted.select(
+        "inserted",
+        (of["relevant"] - F.col("inserted")).alias("updated"),
+        of["skipped"].alias("skipped"),
+        of["quarantined"].alias("quarantined"),
+    )
 
 
 def replay_report(staging_rows: DataFrame) -> DataFrame:
     """The load report of every run, had the runs been loaded one by one."""
     rows = staging_rows.select(
-        "extracted_at", "source", "external_id", rules.is_relevant().alias("relevant")
-    )
-    totals = rows.groupBy("extracted_at").agg(
-        F.count_if("relevant").alias("relevant"), F.count_if(~F.col("relevant")).alias("skipped")
+        "extracted_at", "source", "external_id", quality.outcome().alias("outcome")
     )
-    first_run = rows.where("relevant").groupBy("source", "external_id").agg(F.min("extracted_at").alias("extracted_at"))
+    totals = rows.groupBy("extracted_at").agg(*quality.outcome_totals())
+    first_run = rows.where("outcome = 'relevant'").groupBy("source", "external_id").agg(F.min("extracted_at").alias("extracted_at"))
     inserted = first_run.groupBy("extracted_at").agg(F.count(F.lit(1)).alias("n"))
     n = F.coalesce("n", F.lit(0))
     return totals.join(inserted, "extracted_at", "left").select(
-        "extracted_at", n.alias("inserted"), (F.col("relevant") - n).alias("updated"), "skipped"
+        "extracted_at", n.alias("inserted"), (F.col("relevant") - n).alias("updated"), "skipped", "quarantined"
     )

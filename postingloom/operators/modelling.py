@@ -60,8 +60,9 @@ def fold(relevant: DataFrame, options: ModelOptions = DEFAULT) -> DataFrame:
     are associative, so one aggregation with map-side combine gives the same
     rows, and a posting seen very often is no burden for any task. Values
     travel in structs led by the order key: the least struct is the first
-    sighting, and a NULL in it is kept as such. Sightings of equal order are
-    copies of one staged row.
+    sighting, and a NULL in it is kept as such. Sightings of equal order, as
+    documents without ordinals can bring, are told apart by a hash of their
+    content, so all that is kept of the first comes from one of them.
 
     Amounts, seniority and keys are worked out after the fold, once per posting.
     Keys are computed from natural keys, so no lookup join exists and a company
@@ -70,11 +71,12 @@ def fold(relevant: DataFrame, options: ModelOptions = DEFAULT) -> DataFrame:
     folded = (
         with_skill_mask(relevant)
         .withColumn("ord", F.struct("extracted_at", "ordinal"))
+        .withColumn("tie", F.xxhash64(*_FIRST, *_FIRST_TEXTS))
         .groupBy("source", "external_id")
         .agg(
-            F.min(F.struct("ord", *_FIRST)).alias("first"),
-            F.min(F.struct("ord", *_FIRST_TEXTS)).alias("first_texts"),
-            F.max(F.struct("ord", "title", "run_date")).alias("last"),
+            F.min(F.struct("ord", "tie", *_FIRST)).alias("first"),
+            F.min(F.struct("ord", "tie", *_FIRST_TEXTS)).alias("first_texts"),
+            F.max(F.struct("ord", "tie", "title", "run_date")).alias("last"),
             F.bit_or("skill_mask").alias("skill_mask"),
             F.count(F.lit(1)).alias("sightings"),
         )
@@ -195,15 +197,24 @@ def dates_of(staging_rows: DataFrame) -> DataFrame:
 
 # ---- a whole warehouse at once --------------------------------------------
 
+#: What dimensions are made from.
+DIMENSION_SOURCES = ["company_name", "country", "location"]
+
+
 def build_warehouse(
-    staging_rows: DataFrame, options: ModelOptions = DEFAULT, folded: DataFrame | None = None
+    staging_rows: DataFrame,
+    options: ModelOptions = DEFAULT,
+    folded: DataFrame | None = None,
+    relevant: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """All warehouse tables from all given rows, lazily.
 
     ``folded`` is the fold of the same rows if it is stored somewhere; fact,
-    bridge and skills are then read from it.
+    bridge and skills are then read from it. ``relevant`` likewise has their
+    ``DIMENSION_SOURCES``. The calendar is made from all rows.
     """
-    relevant = relevant_postings(staging_rows)
+    if relevant is None:
+        relevant = relevant_postings(staging_rows)
     if folded is None:
         folded, skills = fold(relevant, options), skills_of(relevant, options)
     else:

@@ -111,12 +111,12 @@ def place_in_feed(jobs: DataFrame) -> DataFrame:
     return jobs.select(*carried, order.alias("feed_order"))
 
 
-def extraction_counts(merged: DataFrame) -> DataFrame:
-    """Per run: postings after de-duplication, and per feed before it."""
+def counts_by_source(report: DataFrame) -> DataFrame:
+    """The extraction report as the counts of an envelope: postings after de-duplication, and per feed before it."""
     by_source = F.create_map(
         F.lit(V.SOURCE_A), F.col("count_a"), F.lit(V.SOURCE_B), F.col("count_b")
     )
-    return extraction_report(merged).select(
+    return report.select(
         "extracted_at", "job_count", by_source.alias("job_count_by_source")
     )
 

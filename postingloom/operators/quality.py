@@ -17,6 +17,7 @@ from ..functions import rules
 STAGING_LIMITS = {"source": 20, "external_id": 100, "country": 10, "work_mode": 20, "job_type": 50, "company_name": 255}
 CITY_LIMIT = 200
 
+# Limits and keys of the warehouse. Fixed values.
 LIMITS = {
     "dim_country": {"country_code": 10, "country_name": 100},
     "dim_city": {"city_name": 200},
@@ -82,6 +83,20 @@ def _rejected() -> Column:
     return always | (when_relevant & rules.is_relevant())
 
 
+def outcome() -> Column:
+    """What a load makes of a staging row: quarantined, relevant or skipped."""
+    return F.when(_rejected(), "quarantined").when(rules.is_relevant(), "relevant").otherwise("skipped")
+
+
+def outcome_totals() -> list[Column]:
+    """Rows per value of a column ``outcome``."""
+    return [F.count_if(F.col("outcome") == name).alias(name) for name in ("relevant", "skipped", "quarantined")]
+
+
+def outcome_counts(staging_rows: DataFrame) -> DataFrame:
+    return staging_rows.select(outcome().alias("outcome")).agg(*outcome_totals())
+
+
 def accepted(staging_rows: DataFrame) -> DataFrame:
     return staging_rows.where(~_rejected())
 

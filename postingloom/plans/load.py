@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import marts, merge
 from ..operators import modelling as M
@@ -20,6 +21,7 @@ def load_latest_run(
     warehouse: Warehouse,
     now: dt.datetime,
     options: M.ModelOptions = M.DEFAULT,
+    run_date: dt.date | None = None,
 ) -> dict[str, int]:
     """Fold the newest staged run into the warehouse; returns the load report.
 
@@ -27,7 +29,7 @@ def load_latest_run(
     :func:`replay` to take them all.
     """
     run_key = staging.latest_run_key(spark, staging_path)
-    return load_run(staging.read_run(spark, staging_path, run_key), warehouse, run_key, now, options)
+    return load_run(staging.read_run(spark, staging_path, run_key), warehouse, run_key, now, options, run_date)
 
 
 def load_run(
@@ -36,16 +38,28 @@ def load_run(
     run_key: str | None,
     now: dt.datetime,
     options: M.ModelOptions = M.DEFAULT,
+    run_date: dt.date | None = None,
 ) -> dict[str, int]:
+    """Fold one run into the warehouse.
+
+    ``run_date`` is the day of the load: with it, first-seen and last-seen dates
+    are that day, and the calendar has it even if the run brought nothing; without it
+    they are the days the run was staged for. Rows that cannot be stored are kept in
+    the quarantine table of the version and counted apart.
+    """
+    if run_date is not None:
+        staged = staged.withColumn("run_date", F.lit(run_date))
     published = warehouse.current()
     stored = warehouse.tables(published)
-    accepted = quality.accepted(staged)
-    folded = _folded(accepted, options)
-    run = M.build_warehouse(accepted, options, folded)
+    relevant, fold = folded(staged, options)
+    run = M.build_warehouse(staged, options, fold, relevant)
+    if run_date is not None:
+        run["dim_date"] = M.dates_of(warehouse.spark.range(1).select(F.lit(run_date).alias("run_date")))
 
-    report = merge.load_report(stored["fact_job_posting"], folded, staged).first().asDict()
+    report = merge.load_report(stored["fact_job_posting"], fold, quality.outcome_counts(staged)).first().asDict()
+    aside = quality.quarantined(staged)
     if published is None:
-        warehouse.publish(run, published, run_key, now)
+        warehouse.publish(run, published, run_key, now, quarantine=aside)
         return report
 
     tables = merge.merge_dimensions(stored, run, overwrite_country=options.country_name_mode == "name")
@@ -53,27 +67,36 @@ def load_run(
     tables["bridge_job_skill"] = merge.merge_bridge(
         stored["bridge_job_skill"], run["bridge_job_skill"], published.buckets
     )
-    warehouse.publish(tables, published, run_key, now, co_located=True)
+    warehouse.publish(tables, published, run_key, now, co_located=True, quarantine=aside)
     return report
 
 
-def _folded(accepted: DataFrame, options: M.ModelOptions) -> DataFrame:
-    """The folded postings, written once to the shared folder: three tables and
-    the report are made from them."""
-    spark = accepted.sparkSession
-    path = scratch_path(spark, "folded")
-    folded = M.fold(M.relevant_postings(accepted), options)
-    folded.write.parquet(path)
-    return spark.read.schema(folded.schema).parquet(path)
+def folded(staged: DataFrame, options: M.ModelOptions = M.DEFAULT) -> tuple[DataFrame, DataFrame]:
+    """The relevant accepted rows without their long texts, and the folded postings, each written
+    once to the shared folder: dimensions are made from the former, three tables and the report
+    from the latter."""
+    spark = staged.sparkSession
+    relevant = M.relevant_postings(quality.accepted(staged))
+    narrow = _written(spark, relevant.select(*M.DIMENSION_SOURCES), "relevant")
+    return narrow, _written(spark, M.fold(relevant, options), "folded")
+
+
+def _written(spark: SparkSession, frame: DataFrame, purpose: str) -> DataFrame:
+    path = scratch_path(spark, purpose)
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
 
 
 def replay(
     staged: DataFrame, warehouse: Warehouse, now: dt.datetime, options: M.ModelOptions = M.DEFAULT
 ) -> int:
-    """Build the warehouse from all staged runs at once, as a new version."""
-    accepted = quality.accepted(staged)
-    tables = M.build_warehouse(accepted, options, _folded(accepted, options))
-    return warehouse.publish(tables, warehouse.current(), None, now)
+    """Build the warehouse from all staged runs at once, as a new version with the
+    bucket count that ``warehouse`` was opened with."""
+    relevant, fold = folded(staged, options)
+    tables = M.build_warehouse(staged, options, fold, relevant)
+    return warehouse.publish(
+        tables, warehouse.current(), None, now, quarantine=quality.quarantined(staged), rebucket=True
+    )
 
 
 def refresh_marts(warehouse: Warehouse) -> None:

@@ -68,7 +68,6 @@ sightings AS (
          CAST(o_totalprice AS DECIMAL(12, 2)) AS price, o_orderdate, o_orderstatus,
          c_custkey, c_name, n_nationkey
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
-  WHERE (o_orderkey * 31) % 10 <> 3
 ),
 bare AS (
   SELECT n AS ordinal, CASE WHEN p % 4 = 0 THEN '{V.SOURCE_A}' ELSE '{V.SOURCE_B}' END AS source,
@@ -80,7 +79,7 @@ bare AS (
          WHEN p % 5 = 1 THEN '  City' || (p % 40) || ' , Region, X' WHEN p % 5 = 2 THEN 'City' || (p % 8 * 5)
          WHEN p % 5 = 3 THEN ', Region' END AS location,
     CASE WHEN p % 4 = 0 THEN NULL WHEN n_nationkey = 24 THEN 'us'
-         ELSE {_list(OP.COUNTRIES)}[1 + n_nationkey % {len(OP.COUNTRIES)}] END AS country,
+         ELSE {_list(V.SOURCE_B_COUNTRIES)}[1 + n_nationkey % {len(V.SOURCE_B_COUNTRIES)}] END AS country,
     CASE n % 7 WHEN 0 THEN 'None' WHEN 1 THEN '' WHEN 2 THEN NULL WHEN 3 THEN '0'
          ELSE CAST(price AS VARCHAR) END AS salary_min,
     CASE (n + 3) % 7 WHEN 0 THEN 'None' WHEN 1 THEN '' WHEN 2 THEN NULL WHEN 3 THEN 'negotiable'
@@ -413,6 +412,10 @@ def oracle_sql() -> dict[str, str]:
         "jobs_without_id": _on_feeds("SELECT source, ordinal FROM feed WHERE external_id IS NULL"),
         # staging
         "latest_run_scan": _on_postings(f"SELECT {POSTING_FIELDS}, extracted_at, ordinal FROM latest", LATEST),
+        "latest_run_with_odd_times": _on_postings(
+            "SELECT ordinal, source, external_id, '2026-09-21T06:00:00.000000' AS extracted_at FROM postings "
+            f"WHERE extracted_at = '{OP.RUN_TIMES[2]}' AND ordinal % 50 <> 0"
+        ),
         # dimensions
         "dim_country": _on_postings("SELECT * FROM dim_country", model()),
         "dim_city": _on_postings("SELECT * FROM dim_city", model()),
@@ -429,10 +432,15 @@ def oracle_sql() -> dict[str, str]:
         "bridge_upsert": _on_postings(BRIDGE_SELECT, model()),
         "load_report": _on_postings(
             "SELECT extracted_at, count(*) FILTER (WHERE rel AND nth = 1) AS inserted, "
-            "count(*) FILTER (WHERE rel AND nth > 1) AS updated, count(*) FILTER (WHERE NOT rel) AS skipped "
+            "count(*) FILTER (WHERE rel AND nth > 1) AS updated, count(*) FILTER (WHERE NOT rel) AS skipped, "
+            "CAST(0 AS BIGINT) AS quarantined "
             "FROM (SELECT *, row_number() OVER (PARTITION BY rel, source, external_id ORDER BY extracted_at, ordinal) AS nth "
             f"FROM (SELECT *, {RELEVANT} AS rel FROM postings)) GROUP BY extracted_at"
         ),
+        "fact_from_tied_documents": _on_postings(
+            "SELECT source, external_id, min(run_date) AS date_first_seen, true AS one_sighting "
+            "FROM relevant GROUP BY source, external_id", relevant()
+        ),
         # marts
         **{name: _on_postings(select, model()) for name, select in MARTS.items()},
         "top_skills": _on_postings(
@@ -448,12 +456,25 @@ def oracle_sql() -> dict[str, str]:
         "quarantined_rows": _on_postings(
             f"SELECT ordinal, source, external_id, {REASON} AS reason FROM faulty WHERE {REASON} IS NOT NULL", FAULTY
         ),
+        "load_with_faults": _on_postings(
+            "SELECT extracted_at, count(*) FILTER (WHERE NOT bad AND rel AND nth = 1) AS inserted, "
+            "count(*) FILTER (WHERE NOT bad AND rel AND nth > 1) AS updated, "
+            "count(*) FILTER (WHERE NOT bad AND NOT rel) AS skipped, count(*) FILTER (WHERE bad) AS quarantined, "
+            "count(*) FILTER (WHERE bad) AS set_aside FROM (SELECT *, row_number() OVER "
+            "(PARTITION BY bad, rel, source, external_id ORDER BY extracted_at, ordinal) AS nth "
+            f"FROM (SELECT *, {REASON} IS NOT NULL AS bad, {RELEVANT} AS rel FROM faulty)) GROUP BY extracted_at", FAULTY
+        ),
         "malformed_salaries": _on_postings(
             "SELECT ordinal, source, external_id, 'salary_max' AS field, salary_max AS text FROM postings "
             "WHERE salary_max = 'negotiable'"
         ),
         # written and read back
         "landed_feeds_roundtrip": _on_feeds(f"SELECT {POSTING_FIELDS}, extracted_at, copies FROM merged"),
+        "extract_landed_runs": _on_feeds(f"SELECT {POSTING_FIELDS}, extracted_at FROM merged"),
+        "empty_rerun_replaces_day": _on_feeds(
+            f"SELECT extracted_at, CASE WHEN extracted_at = '{OP.RUN_TIMES[2]}' THEN 0 ELSE count(*) END AS postings, "
+            f"CASE WHEN extracted_at = '{OP.RUN_TIMES[2]}' THEN 0 ELSE count(*) END AS job_count FROM merged GROUP BY extracted_at"
+        ),
         "raw_zone_roundtrip": _on_feeds(
             f"SELECT {POSTING_FIELDS}, extracted_at FROM merged WHERE extracted_at = (SELECT max(extracted_at) FROM merged)"
         ),
@@ -462,9 +483,9 @@ def oracle_sql() -> dict[str, str]:
             f"WHERE extracted_at < '{OP.RUN_TIMES[2]}' OR source = '{V.SOURCE_B}' GROUP BY ALL"
         ),
         "staging_append": _on_feeds(
-            "SELECT extracted_at, source, external_id, 2 * count(*) AS copies FROM merged GROUP BY ALL"
+            "SELECT extracted_at || '.000000' AS extracted_at, source, external_id, 2 * count(*) AS copies FROM merged GROUP BY ALL"
         ),
-        "staging_stream": _on_feeds(f"SELECT {POSTING_FIELDS}, extracted_at FROM merged"),
+        "staging_stream": _on_feeds(f"SELECT {POSTING_FIELDS}, extracted_at || '.000000' AS extracted_at FROM merged"),
         "incremental_fact": _on_postings(FACT_SELECT, model()),
         "incremental_bridge": _on_postings(BRIDGE_SELECT, model()),
         "incremental_dimensions": _on_postings(
@@ -505,11 +526,13 @@ def oracle_sql() -> dict[str, str]:
         ),
         # long texts
         "skills_in_documents": (
-            f"SELECT doc_id, skill_name FROM documents JOIN {SKILL_ROWS} ON contains(lower(text), skill_name)"
+            f"SELECT doc_id, coalesce(string_agg(skill_name, ',' ORDER BY vocab.position), '') AS skills "
+            f"FROM documents LEFT JOIN {SKILL_ROWS} ON contains(lower(text), skill_name) GROUP BY doc_id"
         ),
         "work_mode_of_documents": f"SELECT doc_id, {work_mode('lower(text)')} AS work_mode FROM documents",
         "skills_in_conversations": (
-            f"SELECT conv_id, turn, skill_name FROM conversations JOIN {SKILL_ROWS} ON contains(lower(text), skill_name)"
+            f"SELECT conv_id, turn, coalesce(string_agg(skill_name, ',' ORDER BY vocab.position), '') AS skills "
+            f"FROM conversations LEFT JOIN {SKILL_ROWS} ON contains(lower(text), skill_name) GROUP BY conv_id, turn"
         ),
     }
     return sql

@@ -213,6 +213,23 @@ def latest_run_scan(spark, folder):
     return _plain_postings(staging.latest_run(order_postings(spark, folder)), "extracted_at", "ordinal")
 
 
+@query
+def latest_run_with_odd_times(spark, folder):
+    """The newest staged run where some times are missing and some carry an offset."""
+    time, n = F.col("extracted_at"), F.col("ordinal")
+    odd = (
+        F.when(n % 50 == 0, F.lit(None))
+        .when((n % 3 == 0) & (time == RUN_TIMES[2]), F.lit("2026-09-21T08:00:00+02:00"))
+        .when((n % 3 == 1) & (time == RUN_TIMES[1]), F.lit("2026-09-14T23:00:00-03:00"))
+        .otherwise(time)
+    )
+    path = scratch_path(spark, "staging")
+    rows = order_postings(spark, folder).withColumn("extracted_at", odd)
+    staging.append(staging.to_staging(rows, LOADED_AT), path)
+    newest = staging.read_run(spark, path, staging.latest_run_key(spark, path))
+    return newest.select("ordinal", "source", "external_id", "extracted_at")
+
+
 # ---- dimensions -----------------------------------------------------------
 
 @query
@@ -262,6 +279,28 @@ def bridge_upsert(spark, folder):
     return _warehouse(spark, folder)["bridge_job_skill"]
 
 
+@query
+def fact_from_tied_documents(spark, folder):
+    """Sightings of a run numbered alike, as two documents without ordinals number theirs: what is kept of a first
+    sighting comes from one of them. A row says whether its url, salary and type occur together."""
+    rows = order_postings(spark, folder).withColumns({
+        "ordinal": F.lit(0).cast("bigint"), "url": F.concat("url", F.lit("/"), F.col("ordinal").cast("string")),
+    })
+    relevant = M.relevant_postings(rows)
+    fact = M.fold(relevant).select("source", "external_id", "url", "job_type", "salary_min", "date_first_seen")
+    seen = relevant.select(
+        F.col("url").alias("of_url"), F.col("job_type").alias("of_type"), rules.salary("salary_min").alias("of_salary")
+    ).distinct()
+    together = (
+        (F.col("url") == F.col("of_url"))
+        & F.col("job_type").eqNullSafe(F.col("of_type"))
+        & F.col("salary_min").eqNullSafe(F.col("of_salary"))
+    )
+    return fact.join(seen, together, "left").select(
+        "source", "external_id", "date_first_seen", F.col("of_url").isNotNull().alias("one_sighting")
+    )
+
+
 @query
 def load_report(spark, folder):
     return merge.replay_report(order_postings(spark, folder))
@@ -269,34 +308,40 @@ def load_report(spark, folder):
 
 # ---- marts ----------------------------------------------------------------
 
+def _marts(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """Marts over one stored fold, as a load leaves it."""
+    postings = order_postings(spark, folder)
+    return marts.all_marts(M.build_warehouse(postings, M.DEFAULT, *reversed(load.folded(postings))))
+
+
 @query
 def mart_skill_demand(spark, folder):
-    return marts.all_marts(_warehouse(spark, folder))["mart_skill_demand"]
+    return _marts(spark, folder)["mart_skill_demand"]
 
 
 @query
 def mart_seniority_distribution(spark, folder):
-    return marts.all_marts(_warehouse(spark, folder))["mart_seniority_distribution"]
+    return _marts(spark, folder)["mart_seniority_distribution"]
 
 
 @query
 def mart_geography_demand(spark, folder):
-    return marts.all_marts(_warehouse(spark, folder))["mart_geography_demand"]
+    return _marts(spark, folder)["mart_geography_demand"]
 
 
 @query
 def mart_skill_by_seniority(spark, folder):
-    return marts.all_marts(_warehouse(spark, folder))["mart_skill_by_seniority"]
+    return _marts(spark, folder)["mart_skill_by_seniority"]
 
 
 @query
 def mart_kpi_summary(spark, folder):
-    return marts.all_marts(_warehouse(spark, folder))["mart_kpi_summary"]
+    return _marts(spark, folder)["mart_kpi_summary"]
 
 
 @query
 def top_skills(spark, folder):
-    demand = marts.all_marts(_warehouse(spark, folder))["mart_skill_demand"]
+    demand = _marts(spark, folder)["mart_skill_demand"]
     return marts.top_skills(demand, 5).select("skill_name", "job_count")
 
 
@@ -323,12 +368,11 @@ def quality_report(spark, folder):
     return quality.quality_report(_published(spark, folder).tables())
 
 
-@query
-def quarantined_rows(spark, folder):
-    """Rows set aside after faults were put into the postings."""
+def _faulty(spark: SparkSession, folder: str) -> DataFrame:
+    """Postings with faults put into them."""
     n = F.col("ordinal")
     key = F.col("external_id")
-    faulty = order_postings(spark, folder).withColumns(
+    return order_postings(spark, folder).withColumns(
         {
             "external_id": F.when(n % 97 == 0, F.lit(None))
             .when(n % 89 == 0, F.repeat(F.concat(key, F.lit("-")), 60))
@@ -339,7 +383,27 @@ def quarantined_rows(spark, folder):
             "country": F.when(n % 73 == 0, "somewhere far").otherwise(F.col("country")),
         }
     )
-    return quality.quarantined(faulty).select("ordinal", "source", "external_id", "reason")
+
+
+@query
+def quarantined_rows(spark, folder):
+    """Rows set aside after faults were put into the postings."""
+    return quality.quarantined(_faulty(spark, folder)).select("ordinal", "source", "external_id", "reason")
+
+
+@query
+def load_with_faults(spark, folder):
+    """Reports of loading faulty postings run by run, and the rows in each version's quarantine table."""
+    faulty = _faulty(spark, folder)
+    warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
+    reports = []
+    for time in RUN_TIMES:
+        run = faulty.where(F.col("extracted_at") == time)
+        report = load.load_run(run, warehouse, time, LOADED_AT)
+        reports.append((time, *(report[c] for c in ("inserted", "updated", "skipped", "quarantined")), warehouse.quarantine().count()))
+    return spark.createDataFrame(
+        reports, "extracted_at string, inserted bigint, updated bigint, skipped bigint, quarantined bigint, set_aside bigint"
+    )
 
 
 @query
@@ -355,7 +419,35 @@ def landed_feeds_roundtrip(spark, folder):
     """Land the responses of both feeds as files, read and merge them."""
     a, b = _land(spark, folder)
     landed = feeds.read_source_a(spark, a, multi_line=False), feeds.read_source_b(spark, b, multi_line=False)
-    return _plain_postings(_with_run_time(N.merge_feeds(*landed)), "extracted_at", "copies")
+    return _plain_postings(N.merge_feeds(*landed), "extracted_at", "copies")
+
+
+@query
+def extract_landed_runs(spark, folder):
+    """Extract landed responses run by run, as a week's job would; read the raw zone back."""
+    a, b = _land(spark, folder)
+    root = scratch_path(spark, "raw")
+    for time in RUN_TIMES:
+        extract.extract_landed(spark, a, b, root, run=_key(time), multi_line=False)
+    return _plain_postings(raw_zone.postings_of(raw_zone.read_payloads(spark, root)), "extracted_at")
+
+
+def _key(time: str) -> str:
+    """Run key of a time without fractions."""
+    return "".join(c for c in time if c.isalnum()) + "000000"
+
+
+@query
+def empty_rerun_replaces_day(spark, folder):
+    """Extract all runs, then the newest once more with nothing landed: its day is left with no posting."""
+    root = _raw_zone(spark, folder)
+    a, b = (jobs.where("false") for jobs in _feeds(spark, folder))
+    extract.extract(a, b, root, spark.createDataFrame([(RUN_TIMES[-1],)], "extracted_at string"))
+    documents = raw_zone.read_payloads(spark, root)
+    counted = documents.groupBy("extracted_at").agg(
+        F.sum(F.size(F.coalesce("jobs", F.array()))).alias("postings"), F.max("job_count").alias("job_count")
+    )
+    return counted
 
 
 def _land(spark: SparkSession, folder: str) -> tuple[str, str]:
@@ -369,12 +461,6 @@ def _land(spark: SparkSession, folder: str) -> tuple[str, str]:
     return paths
 
 
-def _with_run_time(merged: DataFrame) -> DataFrame:
-    """Turn the run's directory name back into its extraction time."""
-    stamp = F.to_timestamp(F.substring("extracted_at", 1, 15), "yyyyMMdd'T'HHmmss")
-    return merged.withColumn("extracted_at", F.date_format(stamp, "yyyy-MM-dd'T'HH:mm:ss"))
-
-
 def _raw_zone(spark: SparkSession, folder: str) -> str:
     root = scratch_path(spark, "raw")
     extract.extract(*_feeds(spark, folder), root)
@@ -517,13 +603,11 @@ def declarative_bridge(spark, folder):
 def insert_if_absent(spark, folder):
     """Companies by the run that brought them in."""
     relevant = M.relevant_postings(order_postings(spark, folder))
-    table = None
-    for time in RUN_TIMES:
-        run = M.companies_of(relevant.where(F.col("extracted_at") == time)).select(
-            "company_name", F.lit(time).alias("first_run")
-        )
-        table = run if table is None else dedup.insert_if_absent(table, run, ["company_name"])
-    return table
+    seen = relevant.groupBy(rules.company_or_unknown().alias("company_name")).agg(F.min("extracted_at").alias("first_run"))
+    later = relevant.where(F.col("extracted_at") > RUN_TIMES[0]).groupBy(
+        rules.company_or_unknown().alias("company_name")
+    ).agg(F.min("extracted_at").alias("first_run"))
+    return dedup.insert_if_absent(seen.where(F.col("first_run") == RUN_TIMES[0]), later, ["company_name"])
 
 
 @query
@@ -537,9 +621,15 @@ def country_name_overwrite(spark, folder):
 
 # ---- long texts -----------------------------------------------------------
 
+def _skill_lists(texts: DataFrame, *keep: str) -> DataFrame:
+    """Every text with the skills it names as one text."""
+    masked = M.with_skill_mask(texts, "NULL", "text")
+    return masked.select(*keep, F.concat_ws(",", rules.skills_in_mask()).alias("skills"))
+
+
 @query
 def skills_in_documents(spark, folder):
-    return M.skill_rows(read_table(spark, folder, "documents"), "doc_id", title="NULL", description="text")
+    return _skill_lists(read_table(spark, folder, "documents"), "doc_id")
 
 
 @query
@@ -551,5 +641,4 @@ def work_mode_of_documents(spark, folder):
 
 @query
 def skills_in_conversations(spark, folder):
-    turns = read_table(spark, folder, "conversations")
-    return M.skill_rows(turns, "conv_id", "turn", title="NULL", description="text")
+    return _skill_lists(read_table(spark, folder, "conversations"), "conv_id", "turn")

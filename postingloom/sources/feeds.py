@@ -13,25 +13,33 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
+from ..functions import rules
 from ..functions import vocabulary as V
+from . import listing
 
 
-def read_source_a(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Jobs of feed A: ``run, feed_order, job``."""
-    return _jobs(_responses(spark, path, schemas.SOURCE_A_RESPONSE, ["run", "term"], multi_line), "jobs")
+def read_source_a(spark: SparkSession, path: str, multi_line: bool = True, run: str | None = None) -> DataFrame:
+    """Jobs of feed A: ``run, feed_order, job``; of one run where it is named.
 
+    A run's directory is named after its extraction time; the column has that time."""
+    return _jobs(_responses(spark, path, schemas.SOURCE_A_RESPONSE, ["run", "term"], multi_line, run), "jobs")
 
-def read_source_b(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+
+def read_source_b(spark: SparkSession, path: str, multi_line: bool = True, run: str | None = None) -> DataFrame:
     """Jobs of feed B: ``run, country, feed_order, job``; the country is not in
     the response and comes from its directory."""
     columns = ["run", "country", "term"]
-    return _jobs(_responses(spark, path, schemas.SOURCE_B_RESPONSE, columns, multi_line), "results")
+    return _jobs(_responses(spark, path, schemas.SOURCE_B_RESPONSE, columns, multi_line, run), "results")
 
 
-def _responses(spark, path, schema, directories, multi_line) -> DataFrame:
+def _responses(spark, path, schema, directories, multi_line, run) -> DataFrame:
     # Naming the directory columns in the schema keeps them text: "07" stays "07".
     full = T.StructType(schema.fields + [T.StructField(d, T.StringType()) for d in directories])
-    return spark.read.schema(full).option("multiLine", multi_line).json(path)
+    reader = spark.read.schema(full).option("multiLine", multi_line).option("basePath", path)
+    own = path if run is None else f"{path.rstrip('/')}/run={run}"
+    if run is not None and not listing.exists(spark, own):
+        return spark.createDataFrame([], full)
+    return reader.json(own).withColumn("run", rules.run_time(F.col("run")))
 
 
 def _jobs(responses: DataFrame, array: str) -> DataFrame:

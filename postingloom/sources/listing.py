@@ -6,6 +6,8 @@ much data the partitions hold.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import SparkSession
 
 
@@ -19,13 +21,24 @@ def exists(spark: SparkSession, path: str) -> bool:
     return file_system.exists(hadoop_path)
 
 
-def partitions(spark: SparkSession, path: str, column: str) -> list[str]:
-    """Values of partition ``column`` directly below ``path``, greatest first."""
-    return sorted(
-        (name.partition("=")[2] for name, is_directory in _entries(spark, path)
-         if is_directory and name.startswith(f"{column}=")),
-        reverse=True,
+def partitions(spark: SparkSession, path: str, column: str, form: str) -> list[str]:
+    """Values of partition ``column`` directly below ``path`` that have the form
+    (a pattern), greatest first. Rows without a value lie in a partition whose
+    name has no such form and sorts above every digit; it is never the newest."""
+    values = (
+        name.partition("=")[2] for name, is_directory in _entries(spark, path)
+        if is_directory and name.startswith(f"{column}=")
     )
+    return sorted((value for value in values if re.fullmatch(form, value)), reverse=True)
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    return [name for name, _ in _entries(spark, path)]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    file_system, hadoop_path = _file_system(spark, path)
+    file_system.delete(hadoop_path, True)
 
 
 def has_files(spark: SparkSession, path: str, suffix: str) -> bool:

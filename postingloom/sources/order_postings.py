@@ -31,7 +31,6 @@ DESCRIPTIONS = [
     "", "Remote PYTHON team", None,
 ]
 
-COUNTRIES = ["ch", "fr", "de", "es", "it", "nl", "at", "be", "gb", "au"]
 
 RUN_TIMES = ["2026-09-07T06:00:00", "2026-09-14T06:00:00", "2026-09-21T06:00:00"]
 
@@ -47,7 +46,7 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def order_postings(spark: SparkSession, folder: str) -> DataFrame:
     """Staging-like rows: posting columns, extracted_at, ordinal, run_date."""
-    orders = read_table(spark, folder, "orders").where("(o_orderkey * 31) % 10 <> 3")
+    orders = read_table(spark, folder, "orders")
     customers = read_table(spark, folder, "customer")
     nations = read_table(spark, folder, "nation")
     rows = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).join(
@@ -71,7 +70,7 @@ def order_postings(spark: SparkSession, folder: str) -> DataFrame:
                 WHEN p % 5 = 2 THEN concat('City', p % 8 * 5)
                 WHEN p % 5 = 3 THEN ', Region' END AS location""",
         f"""CASE WHEN p % 4 = 0 THEN NULL WHEN n_nationkey = 24 THEN 'us'
-                ELSE {_pick(COUNTRIES, f"n_nationkey % {len(COUNTRIES)}")} END AS country""",
+                ELSE {_pick(V.SOURCE_B_COUNTRIES, f"n_nationkey % {len(V.SOURCE_B_COUNTRIES)}")} END AS country""",
         """CASE n % 7 WHEN 0 THEN 'None' WHEN 1 THEN '' WHEN 2 THEN NULL WHEN 3 THEN '0'
                 ELSE CAST(price AS STRING) END AS salary_min""",
         """CASE (n + 3) % 7 WHEN 0 THEN 'None' WHEN 1 THEN '' WHEN 2 THEN NULL WHEN 3 THEN 'negotiable'

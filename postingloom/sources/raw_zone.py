@@ -3,7 +3,7 @@
 A payload document is an envelope (extraction time, feeds, counts) around an
 array of postings. Documents written here are JSON lines with one posting per
 envelope, so a day of any size is written without gathering it anywhere and is
-read back in splits. Pretty-printed documents that hold a whole day are read
+read back in splits; one more line per run states its counts. Pretty-printed documents that hold a whole day are read
 with ``multi_line=True``.
 """
 
@@ -38,23 +38,25 @@ def day_columns(day: Column) -> list[Column]:
 
 
 def payload_lines(postings: DataFrame, counts: DataFrame) -> DataFrame:
-    """Wrap each posting in its run's envelope.
+    """Wrap each posting in an envelope of its own, and state each run's counts once.
 
     ``counts`` holds one row per run: ``extracted_at``, ``job_count`` and
-    ``job_count_by_source``. These few rows reach the postings as one map, not
-    by a join: a join on the run would move all postings of a run to one task.
+    ``job_count_by_source``. They become one document per run without postings, the
+    run's manifest. So a run that found nothing has a document too, and no
+    posting has to meet the counts of its run.
     """
-    entry = F.struct("extracted_at", F.struct("job_count", "job_count_by_source"))
-    by_run = counts.agg(F.map_from_entries(F.collect_list(entry))).scalar()
     job = F.struct(*schemas.POSTING_COLUMNS, "ordinal")
-    enveloped = postings.withColumn("_run", F.try_element_at(by_run, F.col("extracted_at")))
-    return enveloped.select(
+    lines = postings.select("extracted_at", F.array(job).alias("jobs"))
+    feeds = F.reverse(F.array_sort(F.map_keys("job_count_by_source")))
+    manifests = counts.select("extracted_at", feeds.alias("sources"), "job_count", "job_count_by_source")
+    documents = lines.unionByName(manifests, allowMissingColumns=True)
+    return documents.select(
         "extracted_at",
-        F.reverse(F.array_sort(F.map_keys("_run.job_count_by_source"))).alias("sources"),
-        "_run.job_count",
-        "_run.job_count_by_source",
-        F.array(job).alias("jobs"),
-        *day_columns(F.to_date(F.substring("extracted_at", 1, 10))),
+        "sources",
+        "job_count",
+        "job_count_by_source",
+        "jobs",
+        *day_columns(F.expr("try_cast(substring(extracted_at, 1, 10) AS DATE)")),
     )
 
 
@@ -75,9 +77,9 @@ def latest_day_path(spark: SparkSession, root: str) -> str:
     Only names are listed, the greatest first; no document is opened.
     """
     root = root.rstrip("/")
-    for year in listing.partitions(spark, root, "year"):
-        for month in listing.partitions(spark, f"{root}/year={year}", "month"):
-            for day in listing.partitions(spark, f"{root}/year={year}/month={month}", "day"):
+    for year in listing.partitions(spark, root, "year", r"\d{4}"):
+        for month in listing.partitions(spark, f"{root}/year={year}", "month", r"\d{2}"):
+            for day in listing.partitions(spark, f"{root}/year={year}/month={month}", "day", r"\d{2}"):
                 path = f"{root}/year={year}/month={month}/day={day}"
                 if listing.has_files(spark, path, ".json"):
                     return path

@@ -13,21 +13,26 @@ from ..functions import rules
 from . import listing
 
 
+#: Form of a run key: the extraction time in UTC to the microsecond.
+RUN_KEY = r"\d{8}T\d{12}"
+
+
 def to_staging(
     postings: DataFrame, loaded_at: dt.datetime, run_date: dt.date | Column | None = None
 ) -> DataFrame:
     """Postings in the staging layout; keys that were absent are NULL.
 
-    ``run_date`` is the day the run is processed; by default the day of its
-    extraction.
+    The extraction time is brought to one spelling, in which the greatest text
+    is the latest time. ``run_date`` is the day the run is processed; by default
+    the day of its extraction.
     """
     if run_date is None:
-        run_date = F.to_date(F.substring("extracted_at", 1, 10))
+        run_date = F.expr("try_cast(substring(extracted_at, 1, 10) AS DATE)")
     elif not isinstance(run_date, Column):
         run_date = F.lit(run_date)
     return postings.select(
         *schemas.POSTING_COLUMNS,
-        "extracted_at",
+        rules.extraction_time_text().alias("extracted_at"),
         F.lit(loaded_at).cast("timestamp").alias("loaded_at"),
         "ordinal",
         run_date.alias("run_date"),
@@ -45,7 +50,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 def latest_run_key(spark: SparkSession, path: str) -> str | None:
     """Greatest run key, from directory names alone."""
-    for key in listing.partitions(spark, path, "run_key"):
+    for key in listing.partitions(spark, path, "run_key", RUN_KEY):
         if listing.has_files(spark, f"{path}/run_key={key}", ".parquet"):
             return key
     return None
@@ -67,7 +72,7 @@ def read_run(spark: SparkSession, path: str, run_key: str | None) -> DataFrame:
 def latest_run(staging_rows: DataFrame) -> DataFrame:
     """The newest run of rows that are not partitioned by run.
 
-    Rows without an extraction time never belong to it.
+    Times are compared in one spelling; rows without a time never belong to it.
     """
-    newest = staging_rows.agg(F.max("extracted_at")).scalar()
-    return staging_rows.where(F.col("extracted_at") == newest)
+    newest = staging_rows.agg(F.max(rules.extraction_time_text())).scalar()
+    return staging_rows.where(rules.extraction_time_text() == newest)

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import re
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -21,6 +22,10 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from . import listing
+
+#: Table of the rows a load set aside.
+QUARANTINE = "quarantine"
 
 BUCKETED = {"fact_job_posting": "job_posting_id", "bridge_job_skill": "job_posting_id"}
 
@@ -36,8 +41,8 @@ def _side_by_side(write: Callable[[str], None], names: Iterable[str]) -> None:
 
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str, buckets: int | None = None):
-        """``buckets`` is used when nothing is published yet; afterwards the
-        published number stays, since merging relies on it. At least the number
+        """``buckets`` is used when nothing is published yet and by a replay; a load
+        keeps the published number, since merging relies on it. At least the number
         of shuffle partitions keeps Spark from re-shuffling the stored side."""
         self.spark = spark
         self.root = root.rstrip("/")
@@ -85,15 +90,23 @@ class Warehouse:
         run_key: str | None,
         now: dt.datetime,
         co_located: bool = False,
+        quarantine: DataFrame | None = None,
+        rebucket: bool = False,
     ) -> int:
         """Write all tables as the version after ``published``, make it current.
 
+        ``quarantine`` holds the rows that the load set aside, kept beside the tables
+        of the version. ``rebucket`` goes over to the bucket count of this
+        object, which only tables built anew can.
+
         ``co_located`` says that the rows of fact and bridge already lie in one
         task per bucket; otherwise they are brought there first, so that each
         bucket becomes one file.
         """
         version = published.version + 1 if published else 1
-        buckets = published.buckets if published else self._buckets
+        buckets = published.buckets if published and not rebucket else self._buckets
+        if quarantine is not None:
+            quarantine.write.mode("overwrite").parquet(self._path(QUARANTINE, version))
 
         def write(name: str) -> None:
             frame, path = tables[name].select(*schemas.WAREHOUSE[name].fieldNames()), self._path(name, version)
@@ -111,6 +124,20 @@ class Warehouse:
         entry.coalesce(1).write.mode("append").json(f"{self.root}/published")
         return version
 
+    def quarantine(self, version: int | None = None) -> DataFrame:
+        """Rows that the load of a version set aside, each with its reason."""
+        return self.spark.read.parquet(self._path(QUARANTINE, version or self.current().version))
+
+    def retain(self, versions: int) -> None:
+        """Drop all but the newest ``versions`` versions and their tables."""
+        oldest = self.current().version - versions + 1
+        for name in listing.names(self.spark, self.root):
+            version = int(name[1:]) if re.fullmatch(r"v\d{6}", name) else oldest
+            if version < oldest:
+                for table in BUCKETED:
+                    self.spark.sql(f"DROP TABLE IF EXISTS {self._table(table, version)}")
+                listing.remove(self.spark, f"{self.root}/{name}")
+
     def write_marts(self, marts: dict[str, DataFrame]) -> None:
         """Keep the marts of the current version as Parquet beside its tables."""
         version = self.current().version

@@ -6,12 +6,15 @@ from conftest import plan_of
 
 import __spark_entry__ as contract
 
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+from postingloom.registry import oracles, queries  # noqa: E402
+
+QUERIES, ORACLES = queries.queries(), oracles.oracle_sql()
 
 # These write tables before they return a frame.
 WRITING = {
     "landed_feeds_roundtrip", "raw_zone_roundtrip", "raw_zone_rewrite_day", "staging_append", "staging_stream",
     "incremental_fact", "incremental_bridge", "incremental_dimensions", "published_marts", "quality_report",
+    "extract_landed_runs", "empty_rerun_replaces_day", "load_with_faults", "latest_run_with_odd_times",
 }
 
 
