@@ -42,9 +42,9 @@ def fact_keys_by_join(
 
     There is no comma guard on the city here: "Paris" finds an existing "Paris"
     of the same country. Postings are reduced to their first sighting before
-    they are joined. A name that a large share of them has makes one join
-    partition large, which adaptive execution splits; the default load computes
-    its keys instead and has no such join.
+    they are joined. The default company takes its key from one looked-up value, and
+    postings without a country, which can have neither key, pass by the joins: so
+    neither group, however large, meets in one join partition.
     """
     names = relevant.select(
         "source",
@@ -57,12 +57,21 @@ def fact_keys_by_join(
     first = names.groupBy("source", "external_id").agg(
         F.min_by(F.struct("company_name", "country_code", "city_name"), F.col("ord")).alias("f")
     ).select("source", "external_id", "f.*")
-    return (
-        first.join(dim_company, "company_name")
+    unknown = F.col("company_name") == V.UNKNOWN_COMPANY
+    default = dim_company.where(unknown).agg(F.max("company_id")).scalar()
+    employed = (
+        first.where(~unknown)
+        .join(dim_company, "company_name")
+        .unionByName(first.where(unknown).withColumn("company_id", default))
+    )
+    placed = (
+        employed.where("country_code IS NOT NULL")
         .join(dim_country.select("country_code", "country_id"), "country_code", "left")
         .join(dim_city, ["city_name", "country_id"], "left")
-        .select("source", "external_id", "company_id", "city_id")
     )
+    nowhere = employed.where("country_code IS NULL").withColumn("city_id", F.lit(None).cast("string"))
+    keys = ["source", "external_id", "company_id", "city_id"]
+    return placed.select(*keys).unionByName(nowhere.select(*keys))
 
 
 def skill_pairs_from_table(relevant: DataFrame, dim_skill: DataFrame) -> DataFrame:

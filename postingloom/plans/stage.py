@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import raw_zone, staging
@@ -33,6 +33,8 @@ def stage_path(
     multi_line: bool = False,
 ) -> int:
     """Append the postings of one raw directory, as often as it is called."""
-    payloads = raw_zone.read_payloads(spark, raw_path, multi_line)
-    staging.append(staging.to_staging(raw_zone.postings_of(payloads), loaded_at, run_date), staging_path)
-    return payloads.agg(F.coalesce(F.sum(F.size(F.coalesce("jobs", F.array()))), F.lit(0))).first()[0]
+    postings = raw_zone.postings_of(raw_zone.read_payloads(spark, raw_path, multi_line))
+    written = Observation()
+    rows = staging.to_staging(postings, loaded_at, run_date).observe(written, F.count(F.lit(1)).alias("rows"))
+    staging.append(rows, staging_path)
+    return written.get["rows"]

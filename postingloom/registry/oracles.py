@@ -311,22 +311,31 @@ _REFERENCES = [
 ]
 _CTE = {"fact_job_posting": "fact", "bridge_job_skill": "bridge"}
 
+BROKEN = f"""
+b_fact AS (
+  SELECT * REPLACE (CASE WHEN external_id LIKE '%3' THEN repeat(job_type, 9) ELSE job_type END AS job_type)
+  FROM (SELECT * FROM fact UNION ALL SELECT * FROM fact WHERE external_id LIKE '%7')
+),
+b_company AS (SELECT company_id, nullif(company_name, {_text(V.UNKNOWN_COMPANY)}) AS company_name FROM dim_company),
+b_country AS (SELECT * FROM dim_country WHERE country_code <> 'FR')"""
+_BROKEN_CTE = _CTE | {"fact_job_posting": "b_fact", "dim_company": "b_company", "dim_country": "b_country"}
+
 
-def _quality_sql() -> str:
+def _quality_sql(names: dict[str, str] = _CTE) -> str:
     rows = [
-        f"SELECT '{t}' AS table_name, '{name}' AS check_name, count(*) FILTER (WHERE {test}) AS violations FROM {_CTE.get(t, t)}"
+        f"SELECT '{t}' AS table_name, '{name}' AS check_name, count(*) FILTER (WHERE {test}) AS violations FROM {names.get(t, t)}"
         for t, name, test in _CHECKS
     ]
     for t, columns in _UNIQUE:
         complete = " AND ".join(f"{c.strip()} IS NOT NULL" for c in columns.split(","))
         rows.append(
             f"SELECT '{t}', '{columns.replace(', ', '+')} unique', count(*) FROM "
-            f"(SELECT 1 FROM {_CTE.get(t, t)} WHERE {complete} GROUP BY {columns} HAVING count(*) > 1)"
+            f"(SELECT 1 FROM {names.get(t, t)} WHERE {complete} GROUP BY {columns} HAVING count(*) > 1)"
         )
     for child, column, parent, parent_key in _REFERENCES:
         rows.append(
-            f"SELECT '{child}', '{column} in {parent}', count(*) FROM {_CTE.get(child, child)} c WHERE c.{column} IS NOT NULL "
-            f"AND NOT EXISTS (SELECT 1 FROM {_CTE.get(parent, parent)} p WHERE p.{parent_key} = c.{column})"
+            f"SELECT '{child}', '{column} in {parent}', count(*) FROM {names.get(child, child)} c WHERE c.{column} IS NOT NULL "
+            f"AND NOT EXISTS (SELECT 1 FROM {names.get(parent, parent)} p WHERE p.{parent_key} = c.{column})"
         )
     return "\nUNION ALL\n".join(rows)
 
@@ -452,6 +461,7 @@ def oracle_sql() -> dict[str, str]:
             "CAST(NULL AS DOUBLE) AS pct_remote, CAST(0 AS BIGINT) AS total_skills, CAST(NULL AS DATE) AS last_update"
         ),
         # quality
+        "quality_report_of_broken_tables": _on_postings(_quality_sql(_BROKEN_CTE), model(), DIM_DATE, BROKEN),
         "quality_report": _on_postings(_quality_sql(), model(), DIM_DATE),
         "quarantined_rows": _on_postings(
             f"SELECT ordinal, source, external_id, {REASON} AS reason FROM faulty WHERE {REASON} IS NOT NULL", FAULTY
@@ -489,16 +499,23 @@ def oracle_sql() -> dict[str, str]:
         "incremental_fact": _on_postings(FACT_SELECT, model()),
         "incremental_bridge": _on_postings(BRIDGE_SELECT, model()),
         "incremental_dimensions": _on_postings(
-            "SELECT 'country' AS dimension, country_id AS id, country_name AS name FROM dim_country "
-            "UNION ALL SELECT 'city', city_id, city_name FROM dim_city "
-            "UNION ALL SELECT 'company', company_id, company_name FROM dim_company "
-            "UNION ALL SELECT 'skill', skill_id, skill_name FROM dim_skill "
-            "UNION ALL SELECT 'date', CAST(date_id AS VARCHAR), day_name FROM dim_date",
+            "SELECT 'country' AS dimension, country_id AS id, country_name AS name, country_code AS rest FROM dim_country "
+            "UNION ALL SELECT 'city', city_id, city_name, country_id FROM dim_city "
+            "UNION ALL SELECT 'company', company_id, company_name, '' FROM dim_company "
+            "UNION ALL SELECT 'skill', skill_id, skill_name, '' FROM dim_skill "
+            "UNION ALL SELECT 'date', CAST(date_id AS VARCHAR), day_name, "
+            "concat_ws(' ', year, month, day, week_of_year) FROM dim_date",
             model(), DIM_DATE,
         ),
         "published_marts": _on_postings(
-            "SELECT 'skill' AS mart, skill_name AS label, job_count FROM (" + MARTS["mart_skill_demand"] + ") "
-            "UNION ALL SELECT 'seniority', seniority_level, job_count FROM (" + MARTS["mart_seniority_distribution"] + ")",
+            "SELECT 'mart_skill_demand' AS mart, concat_ws(' | ', skill_name, pct_du_total) AS label, job_count FROM ("
+            + MARTS["mart_skill_demand"] + ") UNION ALL SELECT 'mart_seniority_distribution', "
+            "concat_ws(' | ', seniority_level, pct_du_total), job_count FROM (" + MARTS["mart_seniority_distribution"]
+            + ") UNION ALL SELECT 'mart_geography_demand', concat_ws(' | ', country_name, city_name, source), job_count FROM ("
+            + MARTS["mart_geography_demand"] + ") UNION ALL SELECT 'mart_skill_by_seniority', "
+            "concat_ws(' | ', skill_name, seniority_level), job_count FROM (" + MARTS["mart_skill_by_seniority"]
+            + ") UNION ALL SELECT 'mart_kpi_summary', concat_ws(' | ', total_companies, pct_remote, total_skills, last_update), "
+            "total_job_postings FROM (" + MARTS["mart_kpi_summary"] + ")",
             model(),
         ),
         # one step after another
@@ -506,10 +523,10 @@ def oracle_sql() -> dict[str, str]:
         .replace("relevant AS (", "fed AS (SELECT * EXCLUDE (down, seen) FROM merged),\nrelevant AS (", 1),
         # declarative variant
         "declarative_dimensions": _on_postings(
-            "SELECT 'country' AS dimension, country_id AS id, country_name AS name FROM d_country "
-            "UNION ALL SELECT 'city', city_id, city_name FROM d_city "
-            "UNION ALL SELECT 'company', company_id, company_name FROM d_company "
-            "UNION ALL SELECT 'skill', skill_id, skill_name FROM d_skill",
+            "SELECT 'country' AS dimension, country_id AS id, country_name AS name, country_code AS rest FROM d_country "
+            "UNION ALL SELECT 'city', city_id, city_name, country_id FROM d_city "
+            "UNION ALL SELECT 'company', company_id, company_name, '' FROM d_company "
+            "UNION ALL SELECT 'skill', skill_id, skill_name, '' FROM d_skill",
             LATEST, DECLARATIVE,
         ),
         "declarative_fact": _on_postings("SELECT * FROM d_fact", LATEST, DECLARATIVE),

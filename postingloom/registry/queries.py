@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -368,6 +369,24 @@ def quality_report(spark, folder):
     return quality.quality_report(_published(spark, folder).tables())
 
 
+def _broken(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Tables that break a constraint of each kind."""
+    fact, company, country = tables["fact_job_posting"], tables["dim_company"], tables["dim_country"]
+    no_name = F.when(F.col("company_name") != V.UNKNOWN_COMPANY, F.col("company_name"))
+    return tables | {
+        "fact_job_posting": fact.unionByName(fact.where("external_id LIKE '%7'")).withColumn(
+            "job_type", F.when(F.col("external_id").endswith("3"), F.repeat("job_type", 9)).otherwise(F.col("job_type"))
+        ),
+        "dim_company": company.withColumn("company_name", no_name),
+        "dim_country": country.where("country_code <> 'FR'"),
+    }
+
+
+@query
+def quality_report_of_broken_tables(spark, folder):
+    return quality.quality_report(_broken(_published(spark, folder).tables()))
+
+
 def _faulty(spark: SparkSession, folder: str) -> DataFrame:
     """Postings with faults put into them."""
     n = F.col("ordinal")
@@ -538,15 +557,18 @@ def incremental_dimensions(spark, folder):
 
 def _dimension_rows(tables: dict[str, DataFrame]) -> DataFrame:
     columns = {
-        "dim_country": ("country", "country_id", "country_name"),
-        "dim_city": ("city", "city_id", "city_name"),
-        "dim_company": ("company", "company_id", "company_name"),
-        "dim_skill": ("skill", "skill_id", "skill_name"),
-        "dim_date": ("date", "date_id", "day_name"),
+        "dim_country": ("country", "country_id", "country_name", ["country_code"]),
+        "dim_city": ("city", "city_id", "city_name", ["country_id"]),
+        "dim_company": ("company", "company_id", "company_name", []),
+        "dim_skill": ("skill", "skill_id", "skill_name", []),
+        "dim_date": ("date", "date_id", "day_name", ["year", "month", "day", "week_of_year"]),
     }
     parts = [
-        tables[t].select(F.lit(label).alias("dimension"), F.col(key).cast("string").alias("id"), F.col(name).alias("name"))
-        for t, (label, key, name) in columns.items()
+        tables[t].select(
+            F.lit(label).alias("dimension"), F.col(key).cast("string").alias("id"), F.col(name).alias("name"),
+            F.concat_ws(" ", *[F.col(c).cast("string") for c in rest]).alias("rest"),
+        )
+        for t, (label, key, name, rest) in columns.items()
         if t in tables
     ]
     rows = parts[0]
@@ -560,10 +582,19 @@ def published_marts(spark, folder):
     """Marts kept beside a published warehouse, read back."""
     warehouse = _published(spark, folder)
     load.refresh_marts(warehouse)
-    skill, level = warehouse.read_mart("mart_skill_demand"), warehouse.read_mart("mart_seniority_distribution")
-    return skill.select(F.lit("skill").alias("mart"), F.col("skill_name").alias("label"), "job_count").unionByName(
-        level.select(F.lit("seniority").alias("mart"), F.col("seniority_level").alias("label"), "job_count")
-    )
+    labels = {
+        "mart_skill_demand": ["skill_name", "pct_du_total"],
+        "mart_seniority_distribution": ["seniority_level", "pct_du_total"],
+        "mart_geography_demand": ["country_name", "city_name", "source"],
+        "mart_skill_by_seniority": ["skill_name", "seniority_level"],
+        "mart_kpi_summary": ["total_companies", "pct_remote", "total_skills", "last_update"],
+    }
+    parts = []
+    for mart, columns in labels.items():
+        kept = warehouse.read_mart(mart).withColumnRenamed("total_job_postings", "job_count")
+        label = F.concat_ws(" | ", *[F.col(c).cast("string") for c in columns]).alias("label")
+        parts.append(kept.select(F.lit(mart).alias("mart"), label, "job_count"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 # ---- one step after another -----------------------------------------------

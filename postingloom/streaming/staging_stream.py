@@ -27,11 +27,15 @@ def stage_new_documents(
     checkpoint: str,
     loaded_at: dt.datetime,
     files_per_batch: int = 1000,
+    multi_line: bool = False,
 ) -> StreamingQuery:
-    """Start the stream over all documents present now; it ends by itself."""
+    """Start the stream over all documents present now; it ends by itself.
+
+    ``multi_line`` is for pretty-printed documents that hold a whole day."""
     payloads = (
         spark.readStream.schema(schemas.PAYLOAD)
         .option("mode", "FAILFAST")
+        .option("multiLine", multi_line)
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", files_per_batch)
         .json(raw_root)

@@ -15,6 +15,7 @@ WRITING = {
     "landed_feeds_roundtrip", "raw_zone_roundtrip", "raw_zone_rewrite_day", "staging_append", "staging_stream",
     "incremental_fact", "incremental_bridge", "incremental_dimensions", "published_marts", "quality_report",
     "extract_landed_runs", "empty_rerun_replaces_day", "load_with_faults", "latest_run_with_odd_times",
+    "quality_report_of_broken_tables",
 }
 
 
@@ -44,6 +45,20 @@ def test_columns_are_pruned_down_to_the_scan(spark, sf_dir):
     assert "o_totalprice" not in plan and "o_orderdate" not in plan
 
 
+@pytest.mark.parametrize(
+    "name, order",
+    [
+        ("mart_skill_demand", lambda r: (-r.job_count, r.skill_name)),
+        ("mart_seniority_distribution", lambda r: (-r.job_count, r.seniority_level)),
+        ("mart_geography_demand", lambda r: (-r.job_count, r.country_name, r.city_name, r.source)),
+        ("mart_skill_by_seniority", lambda r: (r.skill_name, -r.job_count, r.seniority_level)),
+    ],
+)
+def test_marts_are_in_order(spark, sf_dir, name, order):
+    rows = QUERIES[name](spark, sf_dir).collect()
+    assert rows and rows == sorted(rows, key=order)
+
+
 def test_entry(spark):
     rows = contract.entry(spark).collect()
     assert rows and set(rows[0].asDict()) == {"skill_name", "job_count", "pct_du_total"}
