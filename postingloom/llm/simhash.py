@@ -161,19 +161,19 @@ def one_of_each(documents: DataFrame, shingle: int, distance: int) -> DataFrame:
     are in different components. Of a component whose rows all lack a doc_id the row with the
     smallest fingerprint and then text stays. Columns stay as they are."""
     found = near_duplicates(documents, shingle, distance)
-    named = found.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
+    named = found.where("doc_id = component_id").select(F.col("doc_id").alias("_kept_id")).distinct()
     with_id = _smallest_text(
-        documents.join(named, F.col("doc_id").cast("long") == F.col("kept_id"), "left_semi"), F.col("doc_id").cast("long")
+        documents.join(named, F.col("doc_id").cast("long") == F.col("_kept_id"), "left_semi"), F.col("doc_id").cast("long")
     )
-    nameless = found.where("component_id is null").groupBy("root").agg(F.min("fp").alias("kept_fp"))
-    without = documents.where("doc_id is null").withColumn("own_fp", fingerprint_column("text", shingle))
-    without = _smallest_text(without.join(nameless, F.col("own_fp") == F.col("kept_fp"), "left_semi"), F.col("own_fp"))
-    return with_id.unionByName(without.drop("own_fp"))
+    nameless = found.where("component_id is null").groupBy("root").agg(F.min("fp").alias("_kept_fp"))
+    without = documents.where("doc_id is null").withColumn("_own_fp", fingerprint_column("text", shingle))
+    without = _smallest_text(without.join(nameless, F.col("_own_fp") == F.col("_kept_fp"), "left_semi"), F.col("_own_fp"))
+    return with_id.unionByName(without.drop("_own_fp"))
 
 
 def _smallest_text(documents: DataFrame, key: Column) -> DataFrame:
     place = F.row_number().over(Window.partitionBy(key).orderBy("text"))
-    return documents.withColumn("own_place", place).where("own_place = 1").drop("own_place")
+    return documents.withColumn("_own_place", place).where("_own_place = 1").drop("_own_place")
 
 
 shipped(__name__)
