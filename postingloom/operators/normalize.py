@@ -92,12 +92,16 @@ def merge_feeds(jobs_a: DataFrame, jobs_b: DataFrame) -> DataFrame:
 
 
 def _with_ordinal(postings: DataFrame, feed: int) -> DataFrame:
-    """Replace the place in the feed by one number of the same order."""
+    """Replace the place in the feed by one number of the same order.
+
+    A place that does not fit the number's digits is an error; countries outside the
+    list share their digits, and the fold tells such sightings apart."""
     place = F.col("feed_order")
     listed = place["c"] if feed == 2 else F.lit(0)
     number = F.lit(feed).cast("bigint")
     for part, width in ((listed, 100), (place["t"], 100), (place["p"], 10**8), (place["i"], 10**5)):
-        number = number * width + part
+        too_far = F.raise_error(F.lit(f"a place in the feed is beyond {width}")).cast("bigint")
+        number = number * width + F.when(part >= width, too_far).otherwise(part)
     return postings.select(
         *schemas.POSTING_COLUMNS, F.col("run").alias("extracted_at"), number.alias("ordinal"), "copies"
     )
