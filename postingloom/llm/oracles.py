@@ -134,6 +134,26 @@ SELECT conv_id, perspective, CAST(0 AS BIGINT) AS part, count(*) AS n_turns,
 FROM placed GROUP BY conv_id, perspective
 """
 
+_EMBEDDINGS = r"""
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e,
+    coalesce(len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0, false) AS usable
+  FROM embeddings
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b
+  FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id AND a.usable AND b.usable
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.95
+), reached AS (
+  SELECT vec_id AS a, vec_id AS b FROM vectors
+  UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+)
+SELECT vec_id, CAST((SELECT count(*) FROM links WHERE a = vec_id) AS BIGINT) AS n_links,
+  (SELECT min(b) FROM reached WHERE a = vec_id) AS component_id,
+  vec_id = (SELECT min(b) FROM reached WHERE a = vec_id) AS kept
+FROM vectors
+"""
+
 _WARC = r"""
 WITH made AS (
   SELECT page_id, url, coalesce(html, '') AS html,
@@ -162,6 +182,7 @@ def oracle_sql() -> dict[str, str]:
         "op2_line_dedup": _LINES,
         "op4_quality_rules": _QUALITY,
         "op6_chat_format": _CHAT,
+        "op7_embeddings": _EMBEDDINGS,
         "op8_warc_audit": _WARC,
         "op10_source_mix": _MIX,
     }
