@@ -136,15 +136,8 @@ def removed_lines(
     )
 
 
-def judged(
-    documents: DataFrame, limits: Limits = Limits(), host: str = "source", doc_id: str = "doc_id", text: str = "text"
-) -> DataFrame:
-    """``documents`` with the base statistics, removed (hashes of its lines that go), n_kept_words and kept.
-
-    kept is false where the base failed or too few words are left without the removed lines.
-    Every row comes out once. A null text has no words and fails. A missing host is a host of
-    its own. Rows that share id, text and host get the same verdict. Columns named like an
-    added one are replaced. No rows give no rows."""
+def _judged(documents: DataFrame, limits: Limits, host: str, doc_id: str, text: str) -> DataFrame:
+    """As ``judged``, with the keys of each row: _own_id, _own_text and _own_host."""
     gone = removed_lines(documents, limits, host, doc_id, text).select(
         F.col("key_id").alias("_gone_id"),
         F.col("key_text").alias("_gone_text"),
@@ -171,21 +164,33 @@ def judged(
             & (F.col("n_kept_words") >= limits.least_words)
             & (100 * F.col("n_kept_words") >= limits.kept_share * F.col("n_words")),
         )
-        .drop("_own_id", "_own_text", "_own_host", *gone.columns)
+        .drop(*gone.columns)
     )
 
 
+def judged(
+    documents: DataFrame, limits: Limits = Limits(), host: str = "source", doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """``documents`` with the base statistics, removed (hashes of its lines that go), n_kept_words and kept.
+
+    kept is false where the base failed or too few words are left without the removed lines.
+    Every row comes out once. A null text has no words and fails. A missing host is a host of
+    its own. Rows that share id, text and host get the same verdict. Columns named like an
+    added one are replaced. No rows give no rows."""
+    return _judged(documents, limits, host, doc_id, text).drop("_own_id", "_own_text", "_own_host")
+
+
 def kept_documents(
     documents: DataFrame, limits: Limits = Limits(), host: str = "source", doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """The documents that are kept, their texts without the removed lines, other columns as they are.
 
     The verdicts are worked out beside the texts and stored, so that only verdicts are shuffled on the way to them."""
-    narrow = documents.select(doc_id, text, host)
     key_id, key_text = row_key(doc_id, text)
     verdicts = stored(
-        judged(narrow, limits, host, doc_id, text).select(
-            key_id.alias("_of_id"), key_text.alias("_of_text"), F.col(host).cast("string").alias("_of_host"), "kept", "removed"
+        _judged(documents.select(doc_id, text, host), limits, host, doc_id, text).select(
+            F.col("_own_id").alias("_of_id"), F.col("_own_text").alias("_of_text"), F.col("_own_host").alias("_of_host"),
+            "kept", "removed",
         ),
         "quality-verdicts",
     )
