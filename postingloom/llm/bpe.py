@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import base64
 from array import array
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from heapq import heappop, heappush
 from itertools import accumulate
 
@@ -19,6 +19,8 @@ from postingloom.llm.common import shipped
 
 #: Pre-tokens up to this many characters are remembered, and so many of them at a time.
 REMEMBERED_CHARS, REMEMBERED = 64, 600_000
+#: Rows of a batch that are worked on at once.
+CHUNK = 500
 
 
 class RankQueue:
@@ -163,7 +165,8 @@ class Vocabulary:
 
         @F.arrow_udf("array<int>")
         def bpe_encode(texts: pa.Array) -> pa.Array:
-            return encode_batch(_encoder(sent.value), (value.as_py() for value in texts))
+            encoder = _encoder(sent.value)
+            return _by_chunks(texts, lambda chunk: encode_batch(encoder, chunk.to_pylist()))
 
         return bpe_encode(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")))
 
@@ -175,12 +178,18 @@ class Vocabulary:
 
         @F.arrow_udf("binary")
         def bpe_decode(given: pa.Array) -> pa.Array:
-            return decode_batch(_tokens(sent.value), given)
+            tokens = _tokens(sent.value)
+            return _by_chunks(given, lambda chunk: decode_batch(tokens, chunk))
 
         given = F.col(ids) if isinstance(ids, str) else ids
         return bpe_decode(F.coalesce(F.array_compact(given), F.array().cast("array<int>")))
 
 
+def _by_chunks(rows: pa.Array, work: Callable[[pa.Array], pa.Array]) -> pa.Array:
+    """The batch in pieces of CHUNK rows, which bounds what is held besides the batch itself."""
+    return pa.concat_arrays([work(rows.slice(start, CHUNK)) for start in range(0, max(1, len(rows)), CHUNK)])
+
+
 def _encoder(sent: dict) -> Encoder:
     if "encoder" not in sent:
         sent["encoder"] = Encoder(sent["ranks"], sent["pattern"])

@@ -58,6 +58,17 @@ def test_frame(spark):
         assert bytes(row.decoded) == text.encode()
 
 
+def test_batches_of_many_chunks():
+    import pyarrow as pa
+
+    texts = [["", "a b", "ünï " * 3, "x" * 50][k % 4] for k in range(2 * bpe.CHUNK + 7)]
+    encoded = bpe._by_chunks(pa.array(texts), lambda chunk: bpe.encode_batch(ENCODER, chunk.to_pylist()))
+    assert encoded.to_pylist() == [ORACLE.encode_ordinary(t) for t in texts]
+    tokens = bpe._tokens({"ranks": RANKS})
+    assert bpe._by_chunks(encoded, lambda chunk: bpe.decode_batch(tokens, chunk)).to_pylist() == [t.encode() for t in texts]
+    assert len(bpe._by_chunks(encoded.slice(0, 0), lambda chunk: bpe.decode_batch(tokens, chunk))) == 0
+
+
 def test_null_ids_and_foreign_ids(spark):
     vocabulary = bpe.Vocabulary(spark, PATH, public_tokenizers.PATTERN)
     frame = spark.createDataFrame([(None,), ([],), ([1, None],)], "token_ids array<int>")
