@@ -155,25 +155,28 @@ def near_duplicates(
 
 
 def one_of_each(documents: DataFrame, shingle: int, distance: int) -> DataFrame:
-    """The document of each component that has the smallest doc_id.
-
-    Of rows that share this doc_id the one with the smallest text stays, also where they
-    are in different components. Of a component whose rows all lack a doc_id the row with the
-    smallest fingerprint and then text stays. Columns stay as they are."""
-    found = near_duplicates(documents, shingle, distance)
-    named = found.where("doc_id = component_id").select(F.col("doc_id").alias("_kept_id")).distinct()
-    with_id = _smallest_text(
-        documents.join(named, F.col("doc_id").cast("long") == F.col("_kept_id"), "left_semi"), F.col("doc_id").cast("long")
+    """One document of each component: a row with the smallest doc_id there.
+
+    Of several such rows one with a text stays before one without, then the one with the smallest text; rows that lack a
+    doc_id go by fingerprint before text. Rows that share a doc_id but lie in different components don't
+    touch each other: a row is known by doc_id and fingerprint. Columns stay as they are."""
+    kept = (
+        near_duplicates(documents, shingle, distance)
+        .where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .select(F.col("doc_id").alias("_kept_id"), F.col("fp").alias("_kept_fp"), F.col("root").alias("_kept_root"))
+        .distinct()
+    )
+    own_id, nameless_fp = F.col("doc_id").cast("long"), F.when(F.col("doc_id").isNull(), F.col("_own_fp"))
+    place = F.row_number().over(
+        Window.partitionBy("_kept_root").orderBy(F.col("text").isNull(), nameless_fp, F.col("text"))
+    )
+    return (
+        documents.withColumn("_own_fp", fingerprint_column("text", shingle))
+        .join(kept, own_id.eqNullSafe(F.col("_kept_id")) & (F.col("_own_fp") == F.col("_kept_fp")))
+        .withColumn("_own_place", place)
+        .where("_own_place = 1")
+        .select(*documents.columns)
     )
-    nameless = found.where("component_id is null").groupBy("root").agg(F.min("fp").alias("_kept_fp"))
-    without = documents.where("doc_id is null").withColumn("_own_fp", fingerprint_column("text", shingle))
-    without = _smallest_text(without.join(nameless, F.col("_own_fp") == F.col("_kept_fp"), "left_semi"), F.col("_own_fp"))
-    return with_id.unionByName(without.drop("_own_fp"))
-
-
-def _smallest_text(documents: DataFrame, key: Column) -> DataFrame:
-    place = F.row_number().over(Window.partitionBy(key).orderBy("text"))
-    return documents.withColumn("_own_place", place).where("_own_place = 1").drop("_own_place")
 
 
 shipped(__name__)

@@ -121,6 +121,17 @@ def test_one_of_each(spark):
     )
 
 
+def test_one_of_each_where_ids_collide(spark):
+    other, shared, near = "another text that is long enough to be far", "a text that two rows have in common", "x y z w"
+    rows = [(3, shared), (5, shared), (5, other), (5, None), (3, near), (8, None), (8, ""), (None, "no id at all")]
+    kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string"), 3, 2).collect()
+    assert sorted(map(tuple, kept), key=str) == sorted(
+        [(3, shared), (5, other), (5, None), (3, near), (None, "no id at all")], key=str
+    )
+    kept = simhash.one_of_each(spark.createDataFrame([(8, None), (8, ""), (9, None)], "doc_id bigint, text string"), 3, 2)
+    assert list(map(tuple, kept.collect())) == [(8, "")]
+
+
 def test_query(spark, sf_dir):
     rows = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
     prints = [(i, slow_fingerprint(t)) for i, t in rows]
