@@ -7,6 +7,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,15 +27,18 @@ def unit(vector: str | Column) -> Column:
     return F.when(F.coalesce(finite, F.lit(False)) & F.exists(given, lambda x: x != 0.0), given)
 
 
-def choose_pivots(distinct: DataFrame, n_pivots: int) -> np.ndarray:
-    """Up to ``n_pivots`` reference points as unit rows, from a sample of four times as many vectors.
+def choose_pivots(distinct: DataFrame, n_pivots: int) -> dict[int, np.ndarray]:
+    """Up to ``n_pivots`` reference points as unit rows for each length of vectors, from a sample of four times as many of that length.
 
     The sample has the vectors of the smallest hashes; it is all of the data that the driver sees, and its size follows from the
-    parameter. A vector too close to a pivot is passed over: pivots inside a group of near copies
+    parameter and the number of lengths. A vector too close to a pivot is passed over: pivots inside a group of near copies
     would order themselves differently for each of its members."""
+    widths = sorted(row[0] for row in distinct.select(F.size("vector")).distinct().collect())
+    return {width: _apart(distinct.where(F.size("vector") == width), n_pivots) for width in widths}
+
+
+def _apart(distinct: DataFrame, n_pivots: int) -> np.ndarray:
     rows = distinct.orderBy("h", "g").limit(SAMPLE * n_pivots).select("vector").collect()
-    if not rows:
-        return np.empty((0, 0))
     sample = _unit_rows(np.array([row[0] for row in rows], dtype=np.float64))
     chosen: list[int] = []
     free = np.ones(len(sample), dtype=bool)
@@ -50,14 +54,25 @@ def _unit_rows(rows: np.ndarray) -> np.ndarray:
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
-def permutation(vector: str, pivots: np.ndarray, prefix: int) -> Column:
-    """Numbers of the ``prefix`` nearest pivots of a vector, nearest first; ties go to the lower number."""
+def permutation(vector: str, pivots: dict[int, np.ndarray], prefix: int) -> Column:
+    """Numbers of the ``prefix`` nearest pivots of a vector's length, all where there are fewer, nearest first; ties go to the lower number."""
 
     @F.arrow_udf("array<int>")
     def nearest(vectors: pa.Array) -> pa.Array:
-        order = np.argsort(-(_unit_rows(_rows(vectors)) @ pivots.T), axis=1, kind="stable")[:, :prefix]
-        ends = np.arange(len(order) + 1, dtype=np.int32) * order.shape[1]
-        return pa.ListArray.from_arrays(pa.array(ends), pa.array(order.astype(np.int32).ravel()))
+        widths = pc.list_value_length(vectors).to_numpy(zero_copy_only=False)
+        sizes = np.zeros(len(widths), np.int32)
+        orders = []
+        for width in np.unique(widths):
+            at = np.flatnonzero(widths == width)
+            own = vectors if len(at) == len(widths) else vectors.take(pa.array(at))
+            order = np.argsort(-(_unit_rows(_rows(own)) @ pivots[width].T), axis=1, kind="stable")[:, :prefix]
+            sizes[at] = order.shape[1]
+            orders.append((at, order))
+        ends = np.concatenate([np.zeros(1, np.int32), np.cumsum(sizes, dtype=np.int32)])
+        numbers = np.empty(ends[-1], np.int32)
+        for at, order in orders:
+            numbers[ends[at][:, None] + np.arange(order.shape[1])] = order
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(numbers))
 
     return nearest(vector)
 
@@ -66,23 +81,34 @@ def _rows(vectors: pa.Array) -> np.ndarray:
     return np.asarray(vectors.flatten(), dtype=np.float64).reshape(len(vectors), -1)
 
 
-def _lists(index: DataFrame, n_pivots: int, prefix: int, shared: int) -> DataFrame:
+def _lists(index: DataFrame, n_pivots: int, pivots: dict[int, np.ndarray], prefix: int, shared: int) -> DataFrame:
     """(list, node): the inverted lists, one for each set of ``shared`` pivots among a vector's nearest.
 
-    The number of a list spells its pivots, ascending, in base n_pivots."""
+    The number of a list spells its pivots, ascending, in base n_pivots; the place of the vectors' length comes before them."""
+    widths = sorted(pivots)
+    own = F.array_position(F.array(*map(F.lit, widths)), F.size("vector")) - 1 if len(widths) > 1 else F.lit(0)
     near = F.array_sort("near")
-    numbers = [
-        sum((near[place].cast("long") * n_pivots ** (shared - 1 - k) for k, place in enumerate(places)), F.lit(0).cast("long"))
-        for places in combinations(range(prefix), shared)
-    ]
-    return index.select(F.explode(F.array(*numbers)).alias("list"), "node")
-
-
-def _dealt(index: DataFrame, n_pivots: int, prefix: int, shared: int) -> DataFrame:
+    found = None
+    # Lengths with fewer pivots than the prefix have shorter ones; others share one plan.
+    for size in sorted({min(prefix, len(rows)) for rows in pivots.values()}):
+        share = min(shared, size)
+        numbers = [
+            sum(
+                (near[place].cast("long") * n_pivots ** (share - 1 - k) for k, place in enumerate(places)),
+                own.cast("long") * n_pivots**shared,
+            )
+            for places in combinations(range(size), share)
+        ]
+        lists = index.where(F.size("near") == size).select(F.explode(F.array(*numbers)).alias("list"), "node")
+        found = lists if found is None else found.unionByName(lists)
+    return found
+
+
+def _dealt(index: DataFrame, n_pivots: int, pivots: dict[int, np.ndarray], prefix: int, shared: int) -> DataFrame:
     """(list, first, second, node): each list of two vectors or more in pairs of blocks of about BLOCK vectors.
 
     A block is sent once for each pair it is part of, so a pair of vectors meets in one task and no task holds a long list."""
-    lists = _lists(index, n_pivots, prefix, shared)
+    lists = _lists(index, n_pivots, pivots, prefix, shared)
     sizes = lists.groupBy("list").agg(F.count("*").alias("n")).where("n > 1")
     n_blocks = F.ceil(F.col("n") / BLOCK)
     own = F.pmod(F.hash("node"), F.col("n_blocks"))
@@ -103,6 +129,7 @@ def _compared(group: pa.Table, cosine: float, n_pivots: int, shared: int) -> pa.
 
     Only pairs count whose smallest ``shared`` common pivots are those of the list: each pair does so in one list."""
     number = group.column("list")[0].as_py()
+    shared = min(shared, len(group.column("near")[0]))
     pivots = [number // n_pivots**k % n_pivots for k in reversed(range(shared))]
     near = np.asarray(group.column("near").combine_chunks().flatten()).reshape(len(group), -1)
     before = np.zeros((len(group), pivots[-1] + 1), np.float32)
@@ -181,15 +208,12 @@ def near_duplicates(
 
     n_links counts other rows that are linked, component_id is the smallest vec_id
     reachable, kept says whether that is the row's own. Vectors that are null, empty, zero or hold null or
-    non-finite components link with nothing, as do those whose length is not the most frequent one. A missing vec_id
+    non-finite components link with nothing. Vectors of different lengths don't link; each length has its own pivots and lists. A missing vec_id
     stays null; it names no component unless there is no other. Repeated rows count and come out each. Only the two columns are read, so further
     ones may have any name. No rows give no rows.
     """
     read = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), unit(embedding).alias("vector"))
-    widths = read.where("vector is not null").groupBy(F.size("vector").alias("width")).agg(F.count("*").alias("n"))
-    common = widths.orderBy(F.desc("n"), "width").first()
-    width = common["width"] if common else 0
-    keyed = read.withColumn("vector", F.when(F.size("vector") == width, F.col("vector"))).withColumns({
+    keyed = read.withColumns({
         "h": F.when(F.col("vector").isNotNull(), F.xxhash64("vector")),
         "g": F.when(F.col("vector").isNotNull(), F.xxhash64(F.lit(1), "vector")),
     })
@@ -201,14 +225,15 @@ def near_duplicates(
         "embedding-nodes",
     )
     pivots = choose_pivots(distinct, n_pivots)
-    # A table smaller than the sample still gives every vector a whole prefix.
-    prefix = min(prefix, len(pivots))
+    # The base in which lists are numbered; a length with fewer vectors than the prefix still gives each of them a whole, shorter one.
+    n_pivots = max(map(len, pivots.values()), default=0)
+    prefix = min(prefix, n_pivots)
     shared = min(shared, prefix)
     if shared:
         index = stored(distinct.select("node", "copies", "vector", permutation("vector", pivots, prefix).alias("near")), "embedding-index")
-        dealt = _dealt(index, len(pivots), prefix, shared)
+        dealt = _dealt(index, n_pivots, pivots, prefix, shared)
         members = dealt.join(index, "node").repartition("list", "first", "second").sortWithinPartitions("list", "first", "second")
-        found = stored(members.mapInArrow(_comparer(cosine, len(pivots), shared), _FOUND), "embedding-links")
+        found = stored(members.mapInArrow(_comparer(cosine, n_pivots, shared), _FOUND), "embedding-links")
     else:
         found = vectors.sparkSession.createDataFrame([], _FOUND)
     counts = found.groupBy(F.col("a").alias("of")).agg(F.sum("n").alias("n"))

@@ -61,6 +61,20 @@ def test_odd_vectors(spark):
     assert got == slow(rows)
 
 
+def test_vectors_of_several_lengths(spark):
+    rng = np.random.default_rng(6)
+    rows, expected = [], []
+    for width, n in ((16, 60), (24, 40), (1, 3), (2, 9)):
+        base = rng.normal(size=(n, width))
+        vectors = np.concatenate([base, base[: n // 2] + 0.01 * rng.normal(size=(n // 2, width)), base[:2]]).astype(np.float32)
+        own = [(len(rows) + k, [float(x) for x in v], 0) for k, v in enumerate(vectors)]
+        rows += own
+        expected += slow(own)
+    rng.shuffle(rows)
+    got = found(spark.createDataFrame([(int(k), v, 0) for k, v, _ in rows], SCHEMA))
+    assert got == sorted(expected, key=str)
+
+
 def test_no_rows(spark):
     assert found(spark.createDataFrame([], SCHEMA)) == []
     assert found(spark.createDataFrame([(1, None, 0)], SCHEMA)) == [(1, 0, 1)]
