@@ -1,4 +1,4 @@
-"""Run a registered query and its SQL, compare rows as multisets."""
+"""Run a registered query and its SQL, compare rows as multisets; the plan of a frame as text."""
 
 from __future__ import annotations
 
@@ -44,3 +44,7 @@ def difference(frame, con, sql: str) -> str | None:
     if sr == dr:
         return None
     return f"{sum(sr.values())} rows vs {sum(dr.values())}; only spark {list((sr - dr).items())[:2]}; only sql {list((dr - sr).items())[:2]}"
+
+
+def plan_of(frame) -> str:
+    return frame._jdf.queryExecution().executedPlan().toString()

@@ -26,7 +26,3 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def sf_dir():
     return "/root/testdata/sf0.001"
-
-
-def plan_of(frame) -> str:
-    return frame._jdf.queryExecution().executedPlan().toString()

@@ -1,8 +1,7 @@
 """Every registered query against its SQL, and the shape of its plan."""
 
 import pytest
-from compare import difference, duck
-from conftest import plan_of
+from compare import difference, duck, plan_of
 
 import __spark_entry__ as contract
 

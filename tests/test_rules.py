@@ -190,7 +190,7 @@ def test_keys_tell_parts_apart_and_pass_null_on(spark):
 
 
 def test_rules_need_no_python_worker(spark):
-    from conftest import plan_of
+    from compare import plan_of
 
     schema = "title string, description string, country string, location string, salary_min string"
     frame = with_skill_mask(spark.createDataFrame([], schema)).select(

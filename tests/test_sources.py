@@ -6,7 +6,7 @@ import json
 import os
 
 import pytest
-from conftest import plan_of
+from compare import plan_of
 from pyspark.sql import functions as F
 
 from postingloom import session
