@@ -177,6 +177,60 @@ FROM placed WHERE missing OR (altered AND html <> '' AND substr(html, 1, 1) <> '
 """
 
 
+_MANIFEST = r"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS r, doc_id, source, lang, n_chars, text, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low
+  FROM documents
+), crcs AS (
+  SELECT *, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+      flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [CAST(unicode(c) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))),
+    lambda s, e: xor(xor(s, e) >> 1, 3988292384 * (xor(s, e) % 2))), 4294967295) AS crc FROM docs
+), leaves AS (
+  SELECT r, doc_id, source,
+    sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    sha256(head || coalesce(strlen(shown) || ':' || shown, '-')) AS shown
+  FROM (SELECT *, CASE WHEN crc % 5 = 0 THEN low ELSE text END AS shown,
+      coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+        || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head
+    FROM crcs)
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM leaves
+), levels AS (
+  SELECT source, 0 AS level, list(leaf ORDER BY place) AS nodes FROM placed GROUP BY source
+  UNION ALL
+  SELECT source, level + 1,
+    list_transform(range(0, len(nodes), 16), lambda i: sha256(array_to_string(nodes[i + 1:i + 16], ''))) FROM levels WHERE len(nodes) > 1
+), subroots AS (
+  SELECT source, level, nodes[1] AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS source_place
+  FROM levels WHERE len(nodes) = 1
+), tops AS (
+  SELECT 0 AS level, list(subroot ORDER BY source_place) AS nodes FROM subroots HAVING count(*) > 0
+  UNION ALL
+  SELECT level + 1, list_transform(range(0, len(nodes), 16), lambda i: sha256(array_to_string(nodes[i + 1:i + 16], ''))) FROM tops WHERE len(nodes) > 1
+), steps AS (
+  SELECT r, l.level AS step, nodes, CAST(place // CAST(pow(16, l.level) AS BIGINT) AS BIGINT) AS pos
+  FROM placed p JOIN levels l ON p.source IS NOT DISTINCT FROM l.source WHERE len(nodes) > 1
+  UNION ALL
+  SELECT r, s.level + t.level, nodes, CAST(source_place // CAST(pow(16, t.level) AS BIGINT) AS BIGINT)
+  FROM placed p JOIN subroots s ON p.source IS NOT DISTINCT FROM s.source CROSS JOIN tops t WHERE len(nodes) > 1
+), cut AS (
+  SELECT r, step, array_to_string(nodes[pos // 16 * 16 + 1:pos], '') AS before, array_to_string(nodes[pos + 2:pos // 16 * 16 + 16], '') AS after FROM steps
+), proofs AS (
+  SELECT r, sha256(string_agg(before || after, '' ORDER BY step)) AS proof FROM cut GROUP BY r
+), folded AS (
+  SELECT r, CAST(0 AS BIGINT) AS step, shown AS digest FROM placed
+  UNION ALL
+  SELECT f.r, f.step + 1, sha256(before || digest || after) FROM folded f JOIN cut c ON f.r = c.r AND f.step = c.step
+), ends AS (
+  SELECT r, arg_max(digest, step) AS digest FROM folded GROUP BY r
+), root AS (
+  SELECT nodes[1] AS root FROM tops WHERE len(nodes) = 1
+)
+SELECT doc_id, leaf, subroot, root, coalesce(proof, sha256('')) AS proof_sha256, digest AS folded_root, digest = root AS verified
+FROM placed p JOIN subroots s ON p.source IS NOT DISTINCT FROM s.source JOIN ends USING (r) LEFT JOIN proofs USING (r) CROSS JOIN root
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_line_dedup": _LINES,
@@ -185,4 +239,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_embeddings": _EMBEDDINGS,
         "op8_warc_audit": _WARC,
         "op10_source_mix": _MIX,
+        "op11_merkle_manifest": _MANIFEST,
     }

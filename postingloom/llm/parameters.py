@@ -24,3 +24,6 @@ CHAT = {"context": ("system",), "part_turns": 1024}
 
 #: Pages per archive file, date of the records. One record in 97 of the replica is altered, one in 101 missing.
 WARC = {"pages_per_file": 256, "date": "2026-01-01T00:00:00Z", "altered": 97, "missing": 101}
+
+#: Fields of a leaf in their order, what trees are of, what orders leaves. One document in so many is tampered with.
+MANIFEST = {"fields": ["doc_id", "source", "lang", "n_chars", "text"], "source": "source", "key": "doc_id", "tampered": 5}

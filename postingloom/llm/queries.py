@@ -15,13 +15,14 @@ from postingloom.llm import (
     embedding_dedup,
     html_extract,
     line_dedup,
+    merkle_manifest,
     quality_rules,
     simhash,
     source_mix,
     warc_audit,
 )
 from postingloom.llm.common import table
-from postingloom.llm.parameters import CHAT, CREDENTIAL_REACH, EMBEDDING, HTML, MIX, RANK_FILE, SIMHASH, WARC
+from postingloom.llm.parameters import CHAT, CREDENTIAL_REACH, EMBEDDING, HTML, MANIFEST, MIX, RANK_FILE, SIMHASH, WARC
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,6 +114,16 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of all documents; the copy that is checked has every row whose id's CRC divides by five in lower case."""
+    lowered = F.translate("text", quality_rules.UPPER, quality_rules.LOWER)
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % MANIFEST["tampered"] == 0
+    held = {"text": F.when(tampered, lowered).otherwise(F.col("text"))}
+    documents = table(spark, sf_dir, "documents")
+    made = merkle_manifest.manifest(documents, MANIFEST["fields"], MANIFEST["source"], MANIFEST["key"], held)
+    return made.proofs().withColumnRenamed("key", "doc_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_byte_bpe": op1_byte_bpe,
@@ -125,4 +136,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_warc_audit": op8_warc_audit,
         "op9_main_text": op9_main_text,
         "op10_source_mix": op10_source_mix,
+        "op11_merkle_manifest": op11_merkle_manifest,
     }

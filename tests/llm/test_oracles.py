@@ -12,7 +12,7 @@ def test_query_equals_its_sql(spark, sf_dir, name):
 
 
 def test_contract_names():
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in queries.queries()}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in queries.queries()}
 
 
 @pytest.mark.parametrize("name", ["op2_line_dedup", "op4_quality_rules", "op6_chat_format"])
