@@ -82,3 +82,28 @@ def numbered(frame: DataFrame, owner: str, coarse: str, fine: str, group: str, o
         .withColumn(place, F.col("_num_start") + own)
         .drop("_num_group", "_num_start")
     )
+
+
+def placed_in_order(rows: DataFrame, owner: str, order: list[str], purpose: str) -> DataFrame:
+    """Add place, from 0 within each owner by ``order``, and n, the rows of the owner. owner is never null; ``order`` tells rows apart.
+
+    Rows are sorted over range partitions, so an owner of any size is spread over tasks; only a row per owner and
+    partition is summed up."""
+    keys = [owner, *order]
+    ranged = stored(
+        rows.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_at", F.monotonically_increasing_id()), purpose
+    ).withColumn("_part", F.shiftright("_at", 33))
+    runs = ranged.groupBy(owner, "_part").agg(F.min("_at").alias("first"), F.count("*").alias("rows"))
+    whole = Window.partitionBy(owner)
+    earlier = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = runs.select(
+        F.col(owner).alias("_of_owner"),
+        F.col("_part").alias("_of_part"),
+        (F.coalesce(F.sum("rows").over(earlier), F.lit(0).cast("long")) - F.col("first")).alias("_start"),
+        F.sum("rows").over(whole).alias("n"),
+    )
+    return (
+        ranged.join(starts, (F.col(owner) == F.col("_of_owner")) & (F.col("_part") == F.col("_of_part")))
+        .withColumn("place", F.col("_at") + F.col("_start"))
+        .drop("_at", "_part", "_of_owner", "_of_part", "_start")
+    )

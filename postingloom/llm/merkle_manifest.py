@@ -14,10 +14,10 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postingloom.llm.common import shipped, stored
+from postingloom.llm.common import placed_in_order, shipped, stored
 
 #: Nodes of a run, and runs from a block's leaves up to its root. Three make four levels of nodes, which halve evenly.
 FAN, BLOCK_HEIGHT = 16, 3
@@ -170,32 +170,6 @@ def _proved(leaves: pa.Table, block: pa.Table) -> pa.Table:
 
 # ---- trees ----------------------------------------------------------------
 
-def _placed(rows: DataFrame, order: list[str], purpose: str) -> DataFrame:
-    """Add place, from 0 within each owner by ``order``, and n, the rows of the owner.
-
-    Rows are sorted over range partitions, so an owner of any size is spread over tasks; only a row per owner and
-    partition is summed up."""
-    keys = ["owner", *order]
-    ranged = stored(
-        rows.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("at", F.monotonically_increasing_id()),
-        f"manifest-{purpose}-order",
-    ).withColumn("part", F.shiftright("at", 33))
-    runs = ranged.groupBy("owner", "part").agg(F.min("at").alias("first"), F.count("*").alias("rows"))
-    whole = Window.partitionBy("owner")
-    earlier = whole.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = runs.select(
-        F.col("owner").alias("of_owner"),
-        F.col("part").alias("of_part"),
-        (F.coalesce(F.sum("rows").over(earlier), F.lit(0).cast("long")) - F.col("first")).alias("start"),
-        F.sum("rows").over(whole).alias("n"),
-    )
-    return (
-        ranged.join(starts, (F.col("owner") == F.col("of_owner")) & (F.col("part") == F.col("of_part")))
-        .withColumn("place", F.col("at") + F.col("start"))
-        .drop("at", "part", "of_owner", "of_part", "start")
-    )
-
-
 def _blocked(leaves: DataFrame) -> DataFrame:
     return leaves.withColumns({
         "block": F.floor(F.col("place") / BLOCK).cast("long"), "slot": (F.col("place") % BLOCK).cast("int")
@@ -325,10 +299,10 @@ def manifest(
         "manifest-leaves",
     )
     # The row breaks ties between equal rows, so that these, however many, are spread over partitions too.
-    leaves = stored(_placed(read, ["key", "digest", "row"], "leaves").drop("row"), "manifest-placed")
+    leaves = stored(placed_in_order(read, "owner", ["key", "digest", "row"], "manifest-leaves-order").drop("row"), "manifest-placed")
     trees = _grown(leaves, "trees")
     roots = _tops(trees).select(F.lit("").alias("owner"), F.col("owner").alias("name"), F.col("root").alias("digest"))
-    placed = stored(_placed(roots, ["name"], "sources"), "manifest-sources")
+    placed = stored(placed_in_order(roots, "owner", ["name"], "manifest-sources-order"), "manifest-sources")
     top = _grown(placed, "top")
     return Manifest(leaves, trees, placed.select(F.col("name").alias("owner"), "place", "n", "digest"), top)
 

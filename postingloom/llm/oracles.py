@@ -231,6 +231,44 @@ FROM placed p JOIN subroots s ON p.source IS NOT DISTINCT FROM s.source JOIN end
 """
 
 
+_DIVERGENCE = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents
+), words AS (
+  SELECT r, lang, source, unnest(terms) AS term FROM docs
+), kept AS (
+  SELECT lang, term, count(*) AS total FROM words GROUP BY lang, term HAVING count(DISTINCT r) >= 10
+), langs AS (
+  SELECT lang, count(*) AS v, sum(total) AS n FROM kept GROUP BY lang
+), counts AS (
+  SELECT w.lang, w.source, w.term, count(*) AS n FROM words w JOIN kept USING (lang, term) GROUP BY ALL
+), sizes AS (
+  SELECT lang, source, sum(n) AS n FROM counts GROUP BY lang, source
+), groups AS (
+  SELECT g.lang, g.source, coalesce(s.n, 0) AS n FROM (SELECT DISTINCT lang, source FROM docs) g LEFT JOIN sizes s USING (lang, source)
+), shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    1 + CAST(1000000000 AS HUGEINT) * (coalesce(c.n, 0) + 2) // (CAST(g.n AS HUGEINT) + 2 * l.v) AS p,
+    1 + CAST(1000000000 AS HUGEINT) * (k.total + 2) // (CAST(l.n AS HUGEINT) + 2 * l.v) AS q
+  FROM groups g JOIN kept k USING (lang) JOIN langs l USING (lang) LEFT JOIN counts c USING (lang, source, term)
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(p.value, 0) AS BIGINT) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // (p + q) AS BIGINT) FROM shares WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM parts
+)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_line_dedup": _LINES,
@@ -240,4 +278,5 @@ def oracle_sql() -> dict[str, str]:
         "op8_warc_audit": _WARC,
         "op10_source_mix": _MIX,
         "op11_merkle_manifest": _MANIFEST,
+        "op12_source_divergence": _DIVERGENCE,
     }

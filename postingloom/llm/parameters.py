@@ -27,3 +27,6 @@ WARC = {"pages_per_file": 256, "date": "2026-01-01T00:00:00Z", "altered": 97, "m
 
 #: Fields of a leaf in their order, what trees are of, what orders leaves. One document in so many is tampered with.
 MANIFEST = {"fields": ["doc_id", "source", "lang", "n_chars", "text"], "source": "source", "key": "doc_id", "tampered": 5}
+
+#: Documents of a language that a term must be in, and terms reported for each source.
+DIVERGENCE = {"least_docs": 10, "top": 10}

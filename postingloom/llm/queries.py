@@ -18,11 +18,12 @@ from postingloom.llm import (
     merkle_manifest,
     quality_rules,
     simhash,
+    source_divergence,
     source_mix,
     warc_audit,
 )
 from postingloom.llm.common import table
-from postingloom.llm.parameters import CHAT, CREDENTIAL_REACH, EMBEDDING, HTML, MANIFEST, MIX, RANK_FILE, SIMHASH, WARC
+from postingloom.llm.parameters import CHAT, CREDENTIAL_REACH, DIVERGENCE, EMBEDDING, HTML, MANIFEST, MIX, RANK_FILE, SIMHASH, WARC
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,6 +125,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.proofs().withColumnRenamed("key", "doc_id")
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit(table(spark, sf_dir, "documents").select("lang", "source", "text"), **DIVERGENCE)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_byte_bpe": op1_byte_bpe,
@@ -137,4 +142,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_main_text": op9_main_text,
         "op10_source_mix": op10_source_mix,
         "op11_merkle_manifest": op11_merkle_manifest,
+        "op12_source_divergence": op12_source_divergence,
     }
