@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import math
+
+from postingloom.llm import license_scan
+from postingloom.llm.parameters import LICENCES
+
 _WORD = r"[^\x20\x09-\x0D]+"
 _BLANKS = r"[\x20\x09-\x0D]+"
 
@@ -269,6 +274,54 @@ SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10
 """
 
 
+def _licences() -> str:
+    """Every place of every template compared; no choice of rare words."""
+
+    def listed(rows: list[tuple]) -> str:
+        return ", ".join("(" + ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in row) + ")" for row in rows)
+
+    templates = list(enumerate(license_scan.TEMPLATES))
+    share, drift = LICENCES["share"], LICENCES["drift"]
+    sizes = listed([(k, t.label, len(t.passage.split()), math.ceil(share * len(t.passage.split()))) for k, t in templates])
+    postings = listed([(word, k, q) for k, t in templates for q, word in enumerate(t.passage.split())])
+    asked = listed([(k, phrase) for k, t in templates for phrase in t.phrases])
+    bases = listed(list(license_scan.PHRASES.items()))
+    return rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), words AS (
+  SELECT r, unnest(w) AS word, unnest(range(len(w))) AS pos FROM docs
+), sizes(t, label, length, needed) AS (VALUES {sizes}
+), postings(word, t, q) AS (VALUES {postings}
+), asked(t, phrase) AS (VALUES {asked}
+), bases(phrase, label) AS (VALUES {bases}
+), wanted AS (
+  SELECT phrase, string_split(phrase, ' ') AS p FROM (SELECT phrase FROM asked UNION SELECT phrase FROM bases)
+), stands AS (
+  SELECT s.r, phrase, len(p) AS n, s.pos FROM wanted JOIN words s ON s.word = p[1] JOIN docs d ON d.r = s.r
+  WHERE d.w[s.pos + 1:s.pos + len(p)] = p
+), tallied AS (
+  SELECT r, t, pos - q + d AS at, count(DISTINCT q) AS n
+  FROM words JOIN postings USING (word), range(-{drift}, {drift + 1}) AS o(d) GROUP BY ALL
+), found AS (
+  SELECT r, label, n / length AS share FROM tallied x JOIN sizes z USING (t)
+  WHERE n >= needed AND NOT EXISTS (SELECT 1 FROM asked a WHERE a.t = x.t AND NOT EXISTS (
+    SELECT 1 FROM stands s WHERE s.r = x.r AND s.phrase = a.phrase AND s.pos >= x.at - {drift} AND s.pos + s.n <= x.at + length + {drift}))
+), per_base AS (
+  SELECT r, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word, list(DISTINCT label) AS labels
+  FROM stands JOIN bases USING (phrase) GROUP BY r
+), per_found AS (
+  SELECT r, list(DISTINCT label) AS labels, max(share) AS share FROM found GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, first_word, last_word,
+  array_to_string(list_sort(coalesce(b.labels, [])), ',') AS base_labels,
+  array_to_string(list_sort(list_distinct(coalesce(b.labels, []) || coalesce(f.labels, []))), ',') AS labels,
+  CAST(CASE WHEN n_base > 0 THEN 1 ELSE coalesce(share, 0) END AS DOUBLE) AS score
+FROM docs LEFT JOIN per_base b USING (r) LEFT JOIN per_found f USING (r)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_line_dedup": _LINES,
@@ -279,4 +332,5 @@ def oracle_sql() -> dict[str, str]:
         "op10_source_mix": _MIX,
         "op11_merkle_manifest": _MANIFEST,
         "op12_source_divergence": _DIVERGENCE,
+        "op13_license_scan": _licences(),
     }

@@ -30,3 +30,6 @@ MANIFEST = {"fields": ["doc_id", "source", "lang", "n_chars", "text"], "source":
 
 #: Documents of a language that a term must be in, and terms reported for each source.
 DIVERGENCE = {"least_docs": 10, "top": 10}
+
+#: Share of a template's words that a text must have, and words by which each may be off its place.
+LICENCES = {"share": 0.8, "drift": 2}

@@ -14,6 +14,7 @@ from postingloom.llm import (
     credential_scan,
     embedding_dedup,
     html_extract,
+    license_scan,
     line_dedup,
     merkle_manifest,
     quality_rules,
@@ -23,7 +24,7 @@ from postingloom.llm import (
     warc_audit,
 )
 from postingloom.llm.common import table
-from postingloom.llm.parameters import CHAT, CREDENTIAL_REACH, DIVERGENCE, EMBEDDING, HTML, MANIFEST, MIX, RANK_FILE, SIMHASH, WARC
+from postingloom.llm.parameters import CHAT, CREDENTIAL_REACH, DIVERGENCE, EMBEDDING, HTML, LICENCES, MANIFEST, MIX, RANK_FILE, SIMHASH, WARC
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,6 +130,22 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence.audit(table(spark, sf_dir, "documents").select("lang", "source", "text"), **DIVERGENCE)
 
 
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), **LICENCES)
+    starts, base, more = F.col("bases.start"), F.col("bases.label"), F.col("templates.label")
+    best = F.coalesce(F.array_max("templates.share"), F.lit(0.0))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("bases").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        license_scan.labels(base).alias("base_labels"),
+        license_scan.labels(F.concat(base, more)).alias("labels"),
+        F.when(F.size("bases") > 0, 1.0).otherwise(best).alias("score"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_byte_bpe": op1_byte_bpe,
@@ -143,4 +160,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_source_mix": op10_source_mix,
         "op11_merkle_manifest": op11_merkle_manifest,
         "op12_source_divergence": op12_source_divergence,
+        "op13_license_scan": op13_license_scan,
     }
