@@ -7,6 +7,7 @@ All of them are built-in expressions, so they stay inside generated code.
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -63,38 +64,53 @@ def seniority_by_regex(title: str = "title") -> Column:
 
 
 # ---- skills ---------------------------------------------------------------
-# A posting's skills travel through the fold as one BIGINT with a bit per
-# vocabulary entry: a fixed-width value that ``bit_or`` unions before the
-# shuffle. 63 entries fit; the vocabulary has 21.
+# A posting's skills travel through the fold as BIGINT columns with a bit per
+# vocabulary entry, 63 entries to a column: fixed-width values that ``bit_or``
+# unions before the shuffle, however many entries there are. All entries are
+# tests in generated code; a vocabulary of thousands is data for
+# ``operators.mentions``.
 
-assert len(V.SKILLS) <= 63
+#: Entries per column; the sign bit stays free.
+MASK_BITS = 63
+
+
+def mask_names(skills: Sequence[str] = V.SKILLS) -> list[str]:
+    """The columns that hold the masks of a vocabulary."""
+    more = range(1, -(-len(skills) // MASK_BITS))
+    return ["skill_mask", *[f"skill_mask_{k}" for k in more]]
 
 
 def searchable_text(title: str = "title", description: str = "description") -> Column:
     """What skills are looked for in. Keep it in a column of its own: the tests
-    of :func:`skill_mask` read it more than twenty times."""
+    of :func:`skill_masks` read it more than twenty times."""
     return F.expr(lowered_bytes(title, description))
 
 
-def _mentions_skill(text: str, skill: str) -> str:
+def _mentions_skill(text: str, skill: str, skills: Sequence[str]) -> str:
     """A skill that contains another one ("mysql", "sql") is only looked for
     where the shorter one was found, whose test is shared."""
-    shorter = [s for s in V.SKILLS if s != skill and s in skill]
+    shorter = [s for s in skills if s != skill and s in skill]
     return " AND ".join(mentions(text, s, in_bytes=True) for s in [*shorter, skill])
 
 
-def skill_mask(text: str) -> Column:
-    """Bit ``i`` is set where the i-th skill occurs in a searchable text."""
-    return F.expr(
-        " + ".join(f"IF({_mentions_skill(text, skill)}, {1 << i}L, 0L)" for i, skill in enumerate(V.SKILLS))
-    )
+def skill_masks(text: str, skills: Sequence[str] = V.SKILLS) -> dict[str, Column]:
+    """The mask columns: bit ``i`` of column ``k`` is set where skill ``63 k + i`` occurs in a searchable text."""
+    masks = {}
+    for k, name in enumerate(mask_names(skills)):
+        own = skills[k * MASK_BITS : (k + 1) * MASK_BITS]
+        tests = [f"IF({_mentions_skill(text, skill, skills)}, {1 << i}L, 0L)" for i, skill in enumerate(own)]
+        masks[name] = F.expr(" + ".join(tests or ["0L"]))
+    return masks
 
 
-def skills_in_mask(mask: str = "skill_mask") -> Column:
-    """The skill names of a mask as an array in vocabulary order."""
+def skills_in_mask(skills: Sequence[str] = V.SKILLS) -> Column:
+    """The skill names of the mask columns as an array in vocabulary order."""
     # Stays in generated code, unlike a filter with a lambda.
-    names = ", ".join(f"IF(({mask} & {1 << i}L) != 0, {literal(skill)}, '')" for i, skill in enumerate(V.SKILLS))
-    return F.expr(f"array_remove(array({names}), '')")
+    names = mask_names(skills)
+    tests = [
+        f"IF(({names[i // MASK_BITS]} & {1 << i % MASK_BITS}L) != 0, {literal(skill)}, '')" for i, skill in enumerate(skills)
+    ]
+    return F.expr(f"array_remove(array({', '.join(tests)}), '')" if tests else "CAST(array() AS ARRAY<STRING>)")
 
 
 # ---- geography ------------------------------------------------------------

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from ..functions import rules
 from ..functions import vocabulary as V
-from ..functions.text import lowered_text
 from . import modelling as M
+from .mentions import skill_pairs
 
 OPTIONS = M.ModelOptions(
     country_name_mode="code", trim_city=False, seed_all_skills=True, blank_company_is_unknown=False
@@ -74,22 +74,9 @@ def fact_keys_by_join(
     return placed.select(*keys).unionByName(nowhere.select(*keys))
 
 
-def skill_pairs_from_table(relevant: DataFrame, dim_skill: DataFrame) -> DataFrame:
-    """(source, external_id, skill_name) with the vocabulary read from a table.
-
-    The names arrive as one array through a scalar subquery, so each text is
-    read once and no pair of text and skill is formed that does not match.
-    """
-    names = dim_skill.agg(F.array_sort(F.collect_set("skill_name"))).scalar()
-    text = F.expr(lowered_text("title", "description"))
-    found = relevant.select("source", "external_id", text.alias("text")).withColumn("names", names)
-    matched = F.filter("names", lambda name: F.col("text").contains(name))
-    return found.select("source", "external_id", F.explode(matched).alias("skill_name")).distinct()
-
-
 def bridge_by_join(relevant: DataFrame, fact: DataFrame, dim_skill: DataFrame) -> DataFrame:
     """Bridge pairs with both keys looked up."""
-    pairs = skill_pairs_from_table(relevant, dim_skill)
+    pairs = skill_pairs(relevant, dim_skill)
     keyed = pairs.join(fact.select("source", "external_id", "job_posting_id"), ["source", "external_id"])
     return keyed.join(dim_skill, "skill_name").select("job_posting_id", "skill_id")
 
@@ -101,7 +88,7 @@ def build_declarative(staging_rows: DataFrame) -> dict[str, DataFrame]:
     dim_city = cities_by_join(relevant, dim_country)
     dim_company = M.companies_of(relevant, OPTIONS)
     dim_skill = M.skills_of(relevant, OPTIONS)
-    folded = M.fold(relevant, OPTIONS).drop("company_id", "city_id", "skill_mask", "sightings")
+    folded = M.fold(relevant, OPTIONS).drop("company_id", "city_id", *rules.mask_names(OPTIONS.skills), "sightings")
     keys = fact_keys_by_join(relevant, dim_company, dim_country, dim_city)
     fact = folded.join(keys, ["source", "external_id"])
     return {

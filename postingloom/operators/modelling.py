@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +21,8 @@ class ModelOptions:
     trim_city: bool = True
     seed_all_skills: bool = False
     blank_company_is_unknown: bool = True
+    #: The vocabulary of skills, each once, of any length.
+    skills: tuple[str, ...] = tuple(V.SKILLS)
 
 
 DEFAULT = ModelOptions()
@@ -68,8 +71,9 @@ def fold(relevant: DataFrame, options: ModelOptions = DEFAULT) -> DataFrame:
     Keys are computed from natural keys, so no lookup join exists and a company
     or city that many postings share costs nothing.
     """
+    masks = rules.mask_names(options.skills)
     folded = (
-        with_skill_mask(relevant)
+        with_skill_mask(relevant, skills=options.skills)
         .withColumn("ord", F.struct("extracted_at", "ordinal"))
         .withColumn("tie", F.xxhash64(*_FIRST, *_FIRST_TEXTS))
         .groupBy("source", "external_id")
@@ -77,14 +81,14 @@ def fold(relevant: DataFrame, options: ModelOptions = DEFAULT) -> DataFrame:
             F.min(F.struct("ord", "tie", *_FIRST)).alias("first"),
             F.min(F.struct("ord", "tie", *_FIRST_TEXTS)).alias("first_texts"),
             F.max(F.struct("ord", "tie", "title", "run_date")).alias("last"),
-            F.bit_or("skill_mask").alias("skill_mask"),
+            *[F.bit_or(mask).alias(mask) for mask in masks],
             F.count(F.lit(1)).alias("sightings"),
         )
     )
     opened = folded.select(
         "source", "external_id", "first.*", *[f"first_texts.{c}" for c in _FIRST_TEXTS],
         F.col("last.ord").alias("last_ord"), F.col("last.title").alias("last_title"),
-        F.col("last.run_date").alias("last_date"), "skill_mask", "sightings",
+        F.col("last.run_date").alias("last_date"), *masks, "sightings",
     ).withColumns({"_company": _company(options), "_city": _city(options), "_code": rules.country_code()})
     return opened.select(
         rules.surrogate_key("source", "external_id").alias("job_posting_id"),
@@ -104,33 +108,36 @@ def fold(relevant: DataFrame, options: ModelOptions = DEFAULT) -> DataFrame:
         *_FIRST_TEXTS,
         F.col("ord").alias("first_ord"),
         "last_ord",
-        "skill_mask",
+        *masks,
         "sightings",
     )
 
 
-def with_skill_mask(rows: DataFrame, title: str = "title", description: str = "description") -> DataFrame:
-    """Add ``skill_mask``; the searched text is made once per row."""
+def with_skill_mask(
+    rows: DataFrame, title: str = "title", description: str = "description", skills: Sequence[str] = V.SKILLS
+) -> DataFrame:
+    """Add the columns of ``rules.mask_names``; the searched text is made once per row."""
     searched = rows.withColumn("_text", rules.searchable_text(title, description))
-    return searched.withColumn("skill_mask", rules.skill_mask("_text")).drop("_text")
+    return searched.withColumns(rules.skill_masks("_text", skills)).drop("_text")
 
 
 def skill_rows(
-    rows: DataFrame, *keep: str, title: str = "title", description: str = "description", positions: bool = False
+    rows: DataFrame, *keep: str, title: str = "title", description: str = "description", positions: bool = False,
+    skills: Sequence[str] = V.SKILLS,
 ) -> DataFrame:
     """One row per mentioned skill: columns ``keep`` and ``skill_name``; with
     ``positions`` also the place in the list of mentioned skills."""
-    masked, names = with_skill_mask(rows, title, description), rules.skills_in_mask()
+    masked, names = with_skill_mask(rows, title, description, skills), rules.skills_in_mask(skills)
     if positions:
         return masked.select(*keep, F.posexplode(names).alias("position", "skill_name"))
     return masked.select(*keep, F.explode(names).alias("skill_name"))
 
 
-def bridge_of(folded: DataFrame) -> DataFrame:
+def bridge_of(folded: DataFrame, skills: Sequence[str] = V.SKILLS) -> DataFrame:
     """(posting, skill) pairs. Unique as they stand: one row per posting goes
     in, and a mask names a skill once."""
     return folded.select(
-        "job_posting_id", F.explode(rules.skills_in_mask()).alias("skill_name")
+        "job_posting_id", F.explode(rules.skills_in_mask(skills)).alias("skill_name")
     ).select("job_posting_id", rules.surrogate_key("skill_name").alias("skill_id"))
 
 
@@ -164,27 +171,27 @@ def companies_of(relevant: DataFrame, options: ModelOptions = DEFAULT) -> DataFr
     return names.select(rules.surrogate_key("company_name").alias("company_id"), "company_name")
 
 
-def skill_seed(spark: SparkSession) -> DataFrame:
+def skill_seed(spark: SparkSession, skills: Sequence[str] = V.SKILLS) -> DataFrame:
     """The whole vocabulary as a relation."""
-    names = spark.sql(f"VALUES {', '.join(f'({literal(s)})' for s in V.SKILLS)} AS vocabulary(skill_name)")
+    names = spark.sql(f"VALUES {', '.join(f'({literal(s)})' for s in skills)} AS vocabulary(skill_name)")
     return names.select(rules.surrogate_key("skill_name").alias("skill_id"), "skill_name")
 
 
 def skills_of(relevant: DataFrame, options: ModelOptions = DEFAULT) -> DataFrame:
     """Skills that were detected at all.
 
-    The masks are united first, in one value; names are only spelled out from
-    that value.
+    The masks are united first, in one row; names are only spelled out from
+    that row.
     """
     if options.seed_all_skills:
-        return skill_seed(relevant.sparkSession)
-    return skills_in(with_skill_mask(relevant))
+        return skill_seed(relevant.sparkSession, options.skills)
+    return skills_in(with_skill_mask(relevant, skills=options.skills), options.skills)
 
 
-def skills_in(masks: DataFrame) -> DataFrame:
-    """Skill rows for all bits that occur in ``skill_mask``."""
-    united = masks.agg(F.bit_or("skill_mask").alias("skill_mask"))
-    names = united.select(F.explode(rules.skills_in_mask()).alias("skill_name"))
+def skills_in(masks: DataFrame, skills: Sequence[str] = V.SKILLS) -> DataFrame:
+    """Skill rows for all bits that occur in the mask columns."""
+    united = masks.agg(*[F.bit_or(mask).alias(mask) for mask in rules.mask_names(skills)])
+    names = united.select(F.explode(rules.skills_in_mask(skills)).alias("skill_name"))
     return names.select(rules.surrogate_key("skill_name").alias("skill_id"), "skill_name")
 
 
@@ -218,13 +225,15 @@ def build_warehouse(
     if folded is None:
         folded, skills = fold(relevant, options), skills_of(relevant, options)
     else:
-        skills = skill_seed(relevant.sparkSession) if options.seed_all_skills else skills_in(folded)
+        skills = (
+            skill_seed(relevant.sparkSession, options.skills) if options.seed_all_skills else skills_in(folded, options.skills)
+        )
     return {
         "dim_country": countries_of(relevant, options),
         "dim_city": cities_of(relevant, options),
         "dim_company": companies_of(relevant, options),
         "dim_skill": skills,
         "dim_date": dates_of(staging_rows),
-        "fact_job_posting": folded.drop("skill_mask", "sightings"),
-        "bridge_job_skill": bridge_of(folded),
+        "fact_job_posting": folded.drop(*rules.mask_names(options.skills), "sightings"),
+        "bridge_job_skill": bridge_of(folded, options.skills),
     }

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions import rules
 from ..functions import vocabulary as V
-from ..operators import declarative, dedup, marts, merge, quality
+from ..operators import declarative, dedup, marts, mentions, merge, quality
 from ..operators import modelling as M
 from ..operators import normalize as N
 from ..plans import extract, load, stage
@@ -95,7 +95,7 @@ def skill_lists(spark, folder):
 @query
 def skill_theta_join(spark, folder):
     relevant = M.relevant_postings(order_postings(spark, folder))
-    return declarative.skill_pairs_from_table(relevant, M.skill_seed(spark))
+    return mentions.skill_pairs(relevant, M.skill_seed(spark))
 
 
 @query

@@ -211,6 +211,28 @@ def test_options_change_names_cities_skills_and_companies(spark):
     assert "" in {r.company_name for r in tables["dim_company"].collect()}
 
 
+@pytest.mark.parametrize("n", [70, 200])
+def test_a_vocabulary_of_any_length(spark, tmp_path, n):
+    """Run by run with more skills than one mask holds: pairs add up as in the row loop."""
+    skills = tuple(f"tool{k:03d}" for k in range(n))
+    rnd = random.Random(n)
+    rows = [
+        (*r[:11], " ".join(rnd.choices([*skills, "filler"], k=rnd.randrange(6))), *r[12:])
+        for r in sightings(n, runs=2, rows=40)
+    ]
+    options, pairs = M.ModelOptions(skills=skills), set()
+    warehouse = Warehouse(spark, str(tmp_path / "warehouse"))
+    for run in runs_of(rows):
+        load.load_run(spark.createDataFrame(run, SCHEMA), warehouse, run[0][14], NOW, options)
+        for r in run:
+            title = (r[2] or "").lower()
+            if any(w in title for w in V.ROLE_WORDS) and not any(w in title for w in V.OFF_TOPIC_WORDS):
+                pairs |= {(r[0], r[1], s) for s in skills if s in r[11]}
+    _, found = opened(warehouse.tables())
+    assert len(found) == len(set(found)) and set(found) == pairs
+    assert {r.skill_name for r in warehouse.tables()["dim_skill"].collect()} == {s for _, _, s in pairs}
+
+
 def test_marts_of_an_empty_warehouse(spark):
     tables = {n: spark.createDataFrame([], s) for n, s in schemas.WAREHOUSE.items()}
     frames = marts.all_marts(tables)

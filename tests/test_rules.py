@@ -21,6 +21,20 @@ def test_light_title_filter_drops_only_noise(spark):
     assert noisy == [True, False, False, False, True, False]
 
 
+@pytest.mark.parametrize("n", [63, 64, 70, 200])
+def test_more_skills_than_bits_of_a_number(spark, n):
+    """Each skill alone, all of them, none; names that contain others."""
+    skills = [f"skill{k:03d}" for k in range(n - 2)] + ["skill", "l00"]
+    texts = [*skills, " ".join(skills), "nothing", None]
+    rows = spark.createDataFrame([("", t, k) for k, t in enumerate(texts)], "title string, description string, k int")
+    masked = with_skill_mask(rows, skills=skills)
+    assert [c for c in masked.columns if c.startswith("skill_mask")] == rules.mask_names(skills)
+    assert len(rules.mask_names(skills)) == -(-n // 63)
+    found = {r.k: r.s for r in masked.select("k", rules.skills_in_mask(skills).alias("s")).collect()}
+    for k, text in enumerate(texts):
+        assert found[k] == [s for s in skills if s in (text or "")]
+
+
 @pytest.mark.parametrize(
     "title, expected",
     [
