@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -76,13 +76,17 @@ def load_report(stored: DataFrame, folded: DataFrame, outcomes: DataFrame) -> Da
 
 def replay_report(staging_rows: DataFrame) -> DataFrame:
     """The load report of every run, had the runs been loaded one by one."""
-    rows = staging_rows.select(
-        "extracted_at", "source", "external_id", quality.outcome().alias("outcome")
-    )
-    totals = rows.groupBy("extracted_at").agg(*quality.outcome_totals())
-    first_run = rows.where("outcome = 'relevant'").groupBy("source", "external_id").agg(F.min("extracted_at").alias("extracted_at"))
-    inserted = first_run.groupBy("extracted_at").agg(F.count(F.lit(1)).alias("n"))
-    n = F.coalesce("n", F.lit(0))
-    return totals.join(inserted, "extracted_at", "left").select(
-        "extracted_at", n.alias("inserted"), (F.col("relevant") - n).alias("updated"), "skipped", "quarantined"
+    rows = staging_rows.select("extracted_at", "source", "external_id", quality.outcome().alias("outcome"))
+    per_run = rows.groupBy("source", "external_id", "extracted_at").agg(*quality.outcome_totals())
+    seen = F.when(F.col("relevant") > 0, F.col("extracted_at"))
+    first = F.min(seen).over(Window.partitionBy("source", "external_id"))
+    return (
+        per_run.withColumn("is_first", F.coalesce(seen == first, F.lit(False)))
+        .groupBy("extracted_at")
+        .agg(
+            F.count_if("is_first").alias("inserted"),
+            (F.sum("relevant") - F.count_if("is_first")).alias("updated"),
+            F.sum("skipped").alias("skipped"),
+            F.sum("quarantined").alias("quarantined"),
+        )
     )

@@ -52,7 +52,10 @@ def _city(options: ModelOptions) -> Column:
 _FIRST = [
     "title", "company_name", "country", "location", "work_mode", "salary_min", "salary_max", "job_type", "run_date",
 ]
-_FIRST_TEXTS = ["url", "description"]
+LONG_TEXTS = ["url", "description"]
+
+#: All that the fold reads.
+FOLDED = ["source", "external_id", "extracted_at", "ordinal", *_FIRST, *LONG_TEXTS]
 
 
 def fold(relevant: DataFrame, options: ModelOptions = DEFAULT) -> DataFrame:
@@ -75,18 +78,18 @@ def fold(relevant: DataFrame, options: ModelOptions = DEFAULT) -> DataFrame:
     folded = (
         with_skill_mask(relevant, skills=options.skills)
         .withColumn("ord", F.struct("extracted_at", "ordinal"))
-        .withColumn("tie", F.xxhash64(*_FIRST, *_FIRST_TEXTS))
+        .withColumn("tie", F.xxhash64(*_FIRST, *LONG_TEXTS))
         .groupBy("source", "external_id")
         .agg(
             F.min(F.struct("ord", "tie", *_FIRST)).alias("first"),
-            F.min(F.struct("ord", "tie", *_FIRST_TEXTS)).alias("first_texts"),
+            F.min(F.struct("ord", "tie", *LONG_TEXTS)).alias("first_texts"),
             F.max(F.struct("ord", "tie", "title", "run_date")).alias("last"),
             *[F.bit_or(mask).alias(mask) for mask in masks],
             F.count(F.lit(1)).alias("sightings"),
         )
     )
     opened = folded.select(
-        "source", "external_id", "first.*", *[f"first_texts.{c}" for c in _FIRST_TEXTS],
+        "source", "external_id", "first.*", *[f"first_texts.{c}" for c in LONG_TEXTS],
         F.col("last.ord").alias("last_ord"), F.col("last.title").alias("last_title"),
         F.col("last.run_date").alias("last_date"), *masks, "sightings",
     ).withColumns({"_company": _company(options), "_city": _city(options), "_code": rules.country_code()})
@@ -105,7 +108,7 @@ def fold(relevant: DataFrame, options: ModelOptions = DEFAULT) -> DataFrame:
         F.lit(None).cast("date").alias("publication_date_id"),
         F.col("run_date").alias("date_first_seen"),
         F.col("last_date").alias("date_last_seen"),
-        *_FIRST_TEXTS,
+        *LONG_TEXTS,
         F.col("ord").alias("first_ord"),
         "last_ord",
         *masks,

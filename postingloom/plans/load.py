@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..operators import marts, merge
 from ..operators import modelling as M
 from ..operators import quality
-from ..session import scratch_path
+from ..session import written
 from ..sources import staging
 from ..sources.warehouse import Warehouse
 
@@ -51,13 +51,15 @@ def load_run(
         staged = staged.withColumn("run_date", F.lit(run_date))
     published = warehouse.current()
     stored = warehouse.tables(published)
-    relevant, fold = folded(staged, options)
-    run = M.build_warehouse(staged, options, fold, relevant)
+    rows, fold = folded(staged, options)
+    run = M.build_warehouse(rows, options, fold, rows.where("outcome = 'relevant'"))
     if run_date is not None:
         run["dim_date"] = M.dates_of(warehouse.spark.range(1).select(F.lit(run_date).alias("run_date")))
 
-    report = merge.load_report(stored["fact_job_posting"], fold, quality.outcome_counts(staged)).first().asDict()
-    aside = quality.quarantined(staged)
+    outcomes = rows.agg(*quality.outcome_totals())
+    report = merge.load_report(stored["fact_job_posting"], fold, outcomes).first().asDict()
+    # Most runs set nothing aside; the staged rows are then not read again.
+    aside = quality.quarantined(staged if report["quarantined"] else staged.where("false"))
     if published is None:
         warehouse.publish(run, published, run_key, now, quarantine=aside)
         return report
@@ -72,19 +74,12 @@ def load_run(
 
 
 def folded(staged: DataFrame, options: M.ModelOptions = M.DEFAULT) -> tuple[DataFrame, DataFrame]:
-    """The relevant accepted rows without their long texts, and the folded postings, each written
-    once to the shared folder: dimensions are made from the former, three tables and the report
-    from the latter."""
-    spark = staged.sparkSession
+    """The outcome of every row with the few columns that dimensions are made from, and the folded postings, each written
+    once to the shared folder. Dimensions, the calendar and the report's counts are made from the former, three
+    tables and the rest of the report from the latter; so the staged rows are read twice."""
+    rows = staged.select(quality.outcome().alias("outcome"), "run_date", *M.DIMENSION_SOURCES)
     relevant = M.relevant_postings(quality.accepted(staged))
-    narrow = _written(spark, relevant.select(*M.DIMENSION_SOURCES), "relevant")
-    return narrow, _written(spark, M.fold(relevant, options), "folded")
-
-
-def _written(spark: SparkSession, frame: DataFrame, purpose: str) -> DataFrame:
-    path = scratch_path(spark, purpose)
-    frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    return written(rows, "outcomes"), written(M.fold(relevant, options), "folded")
 
 
 def replay(
@@ -92,8 +87,8 @@ def replay(
 ) -> int:
     """Build the warehouse from all staged runs at once, as a new version with the
     bucket count that ``warehouse`` was opened with."""
-    relevant, fold = folded(staged, options)
-    tables = M.build_warehouse(staged, options, fold, relevant)
+    rows, fold = folded(staged, options)
+    tables = M.build_warehouse(rows, options, fold, rows.where("outcome = 'relevant'"))
     return warehouse.publish(
         tables, warehouse.current(), None, now, quarantine=quality.quarantined(staged), rebucket=True
     )

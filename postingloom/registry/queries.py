@@ -20,7 +20,7 @@ from ..operators import declarative, dedup, marts, mentions, merge, quality
 from ..operators import modelling as M
 from ..operators import normalize as N
 from ..plans import extract, load, stage
-from ..session import scratch_path
+from ..session import scratch_path, written
 from ..sources import feeds, raw_zone, staging
 from ..sources.order_postings import (
     RUN_TIMES, order_postings, read_table, source_a_jobs, source_b_jobs,
@@ -309,15 +309,26 @@ def load_report(spark, folder):
 
 # ---- marts ----------------------------------------------------------------
 
-def _marts(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """Marts over one stored fold, as a load leaves it."""
-    postings = order_postings(spark, folder)
-    return marts.all_marts(M.build_warehouse(postings, M.DEFAULT, *reversed(load.folded(postings))))
+#: What marts read of a folded posting.
+_MART_COLUMNS = ["job_posting_id", "source", "company_id", "city_id", "work_mode", "seniority_level", "date_last_seen"]
+
+
+def _marts(spark: SparkSession, folder: str, store: str = "") -> dict[str, DataFrame]:
+    """Marts over the fold of all runs, with what is read more than once stored: the short columns of the
+    ``fold``, or those that ``dimensions`` are made from."""
+    relevant = M.relevant_postings(quality.accepted(order_postings(spark, folder)))
+    fold = M.fold(relevant).select(*_MART_COLUMNS, *rules.mask_names())
+    if store == "fold":
+        fold = written(fold, "folded")
+    narrow = relevant.select(*M.DIMENSION_SOURCES, "run_date")
+    if store == "dimensions":
+        narrow = written(narrow, "relevant")
+    return marts.all_marts(M.build_warehouse(narrow, M.DEFAULT, fold, narrow))
 
 
 @query
 def mart_skill_demand(spark, folder):
-    return _marts(spark, folder)["mart_skill_demand"]
+    return _marts(spark, folder, "fold")["mart_skill_demand"]
 
 
 @query
@@ -327,22 +338,22 @@ def mart_seniority_distribution(spark, folder):
 
 @query
 def mart_geography_demand(spark, folder):
-    return _marts(spark, folder)["mart_geography_demand"]
+    return _marts(spark, folder, "dimensions")["mart_geography_demand"]
 
 
 @query
 def mart_skill_by_seniority(spark, folder):
-    return _marts(spark, folder)["mart_skill_by_seniority"]
+    return _marts(spark, folder, "fold")["mart_skill_by_seniority"]
 
 
 @query
 def mart_kpi_summary(spark, folder):
-    return _marts(spark, folder)["mart_kpi_summary"]
+    return _marts(spark, folder, "fold")["mart_kpi_summary"]
 
 
 @query
 def top_skills(spark, folder):
-    demand = _marts(spark, folder)["mart_skill_demand"]
+    demand = _marts(spark, folder, "fold")["mart_skill_demand"]
     return marts.top_skills(demand, 5).select("skill_name", "job_count")
 
 
@@ -609,23 +620,23 @@ def feeds_to_kpis(spark, folder):
 
 # ---- declarative variant --------------------------------------------------
 
-def _declarative(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return declarative.build_declarative(staging.latest_run(order_postings(spark, folder)))
+def _declarative(spark: SparkSession, folder: str, *tables: str) -> dict[str, DataFrame]:
+    return declarative.build_declarative(staging.latest_run(order_postings(spark, folder)), tables)
 
 
 @query
 def declarative_dimensions(spark, folder):
-    return _dimension_rows(_declarative(spark, folder))
+    return _dimension_rows(_declarative(spark, folder, "dim_country", "dim_city", "dim_company", "dim_skill"))
 
 
 @query
 def declarative_fact(spark, folder):
-    return _plain_fact(_declarative(spark, folder)["fact_job_posting"]).drop("publication_date_id")
+    return _plain_fact(_declarative(spark, folder, "fact_job_posting")["fact_job_posting"]).drop("publication_date_id")
 
 
 @query
 def declarative_bridge(spark, folder):
-    return _declarative(spark, folder)["bridge_job_skill"]
+    return _declarative(spark, folder, "bridge_job_skill")["bridge_job_skill"]
 
 
 # ---- upserts on their own -------------------------------------------------

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
@@ -46,3 +46,10 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A new, unused path in the shared folder."""
     return f"{shared_folder(spark)}/postingloom/{purpose}-{uuid.uuid4().hex}"
+
+
+def written(frame: DataFrame, purpose: str) -> DataFrame:
+    """The frame, written once to the shared folder and read from there."""
+    path = scratch_path(frame.sparkSession, purpose)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)

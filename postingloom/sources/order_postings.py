@@ -44,9 +44,17 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """The rows, dealt by ``key`` over all cores if they would be read by fewer tasks than there are cores.
+
+    A file of one row group is read by one task, which would then work out all rules alone."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores, key) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def order_postings(spark: SparkSession, folder: str) -> DataFrame:
     """Staging-like rows: posting columns, extracted_at, ordinal, run_date."""
-    orders = read_table(spark, folder, "orders")
+    orders = spread(read_table(spark, folder, "orders"), "o_orderkey")
     customers = read_table(spark, folder, "customer")
     nations = read_table(spark, folder, "nation")
     rows = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).join(

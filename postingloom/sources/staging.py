@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -72,7 +72,9 @@ def read_run(spark: SparkSession, path: str, run_key: str | None) -> DataFrame:
 def latest_run(staging_rows: DataFrame) -> DataFrame:
     """The newest run of rows that are not partitioned by run.
 
-    Times are compared in one spelling; rows without a time never belong to it.
-    """
-    newest = staging_rows.agg(F.max(rules.extraction_time_text())).scalar()
-    return staging_rows.where(rules.extraction_time_text() == newest)
+    Times are compared in one spelling, which is worked out for each distinct text and not for each row; rows without
+    a time never belong to it. What is sent to all tasks are the spellings of one instant: its offsets and fractions."""
+    times = staging_rows.select("extracted_at").distinct().withColumn("time", rules.extraction_time_text())
+    newest = F.max("time").over(Window.partitionBy())  # over one row per text
+    spellings = times.withColumn("newest", newest).where("time = newest").select("extracted_at")
+    return staging_rows.join(F.broadcast(spellings), "extracted_at", "left_semi").select(*staging_rows.columns)
