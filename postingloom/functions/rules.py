@@ -187,6 +187,11 @@ def run_time(key: Column) -> Column:
     return F.regexp_replace(whole, r"\.000000$", "")
 
 
+def publication_day(text: str = "publication_date") -> Column:
+    """The day that a publication time begins with; NULL for other texts and for days that don't exist."""
+    return F.expr(f"CASE WHEN {text} RLIKE '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}' THEN try_cast(substring({text}, 1, 10) AS DATE) END")
+
+
 # ---- keys and measures ----------------------------------------------------
 
 def surrogate_key(*parts: str) -> Column:

@@ -23,14 +23,18 @@ def skill_demand(fact: DataFrame, bridge: DataFrame, dim_skill: DataFrame) -> Da
     A bridge pair is unique, so counting pairs counts distinct postings and the
     bridge is not shuffled. Shares add up to more than 100.
     """
-    per_skill = bridge.groupBy("skill_id").agg(F.count(F.lit(1)).alias("n"))
+    return demand_of(bridge.groupBy("skill_id").agg(F.count(F.lit(1)).alias("n")), _rows_in(fact), dim_skill)
+
+
+def demand_of(per_skill: DataFrame, total: Column, dim_skill: DataFrame) -> DataFrame:
+    """The mart from (skill_id, n)."""
     # skill_id and skill_name are both unique; grouping again costs a few rows
     # and holds even if a name should ever carry two ids.
     counted = (
         per_skill.join(dim_skill, "skill_id")
         .groupBy("skill_name")
         .agg(F.sum("n").alias("job_count"))
-        .withColumn("total", _rows_in(fact))
+        .withColumn("total", total)
     )
     return counted.select(
         "skill_name", "job_count", rules.percent_of("job_count", "total").alias("pct_du_total")
@@ -44,7 +48,11 @@ def top_skills(demand: DataFrame, k: int) -> DataFrame:
 
 def seniority_distribution(fact: DataFrame) -> DataFrame:
     """Postings per seniority level; the window runs over the group rows only."""
-    counted = fact.groupBy("seniority_level").agg(F.count(F.lit(1)).alias("job_count"))
+    return levels_of(fact.groupBy("seniority_level").agg(F.count(F.lit(1)).alias("job_count")))
+
+
+def levels_of(counted: DataFrame) -> DataFrame:
+    """The mart from (seniority_level, job_count)."""
     total = F.sum("job_count").over(Window.partitionBy())
     return (
         counted.withColumn("total", total)
@@ -64,7 +72,11 @@ def geography_demand(fact: DataFrame, dim_city: DataFrame, dim_country: DataFram
     no country either. Groups are formed on the stored names; labels for
     missing ones are put on afterwards.
     """
-    per_city = fact.groupBy("city_id", "source").agg(F.count(F.lit(1)).alias("n"))
+    return places_of(fact.groupBy("city_id", "source").agg(F.count(F.lit(1)).alias("n")), dim_city, dim_country)
+
+
+def places_of(per_city: DataFrame, dim_city: DataFrame, dim_country: DataFrame) -> DataFrame:
+    """The mart from (city_id, source, n)."""
     named = per_city.join(dim_city, "city_id", "left").join(dim_country, "country_id", "left")
     counted = named.groupBy("country_name", "city_name", "source").agg(F.sum("n").alias("job_count"))
     return counted.select(
@@ -82,7 +94,11 @@ def skill_by_seniority(fact: DataFrame, bridge: DataFrame, dim_skill: DataFrame)
     bucketed; the skill names join the group rows.
     """
     pairs = bridge.join(fact.select("job_posting_id", "seniority_level"), "job_posting_id")
-    per_group = pairs.groupBy("skill_id", "seniority_level").agg(F.count(F.lit(1)).alias("n"))
+    return skill_levels_of(pairs.groupBy("skill_id", "seniority_level").agg(F.count(F.lit(1)).alias("n")), dim_skill)
+
+
+def skill_levels_of(per_group: DataFrame, dim_skill: DataFrame) -> DataFrame:
+    """The mart from (skill_id, seniority_level, n)."""
     return (
         per_group.join(dim_skill, "skill_id")
         .groupBy("skill_name", "seniority_level")
@@ -101,7 +117,13 @@ def kpi_summary(fact: DataFrame, dim_skill: DataFrame) -> DataFrame:
         F.count_distinct("company_id").alias("total_companies"),
         F.count_if(F.col("work_mode") == "remote").alias("remote"),
         F.max("date_last_seen").alias("last_update"),
-    ).withColumn("total_skills", _rows_in(dim_skill))
+    )
+    return kpis_of(figures, dim_skill)
+
+
+def kpis_of(figures: DataFrame, dim_skill: DataFrame) -> DataFrame:
+    """The mart from one row (total_job_postings, total_companies, remote, last_update)."""
+    figures = figures.withColumn("total_skills", _rows_in(dim_skill))
     return figures.select(
         "total_job_postings",
         "total_companies",

@@ -21,6 +21,8 @@ class ModelOptions:
     trim_city: bool = True
     seed_all_skills: bool = False
     blank_company_is_unknown: bool = True
+    #: Publication days as keys of the calendar, which then has them; without it the key stays NULL.
+    publication_dates: bool = False
     #: The vocabulary of skills, each once, of any length.
     skills: tuple[str, ...] = tuple(V.SKILLS)
 
@@ -55,7 +57,7 @@ _FIRST = [
 LONG_TEXTS = ["url", "description"]
 
 #: All that the fold reads.
-FOLDED = ["source", "external_id", "extracted_at", "ordinal", *_FIRST, *LONG_TEXTS]
+FOLDED = ["source", "external_id", "extracted_at", "ordinal", *_FIRST, *LONG_TEXTS, "publication_date"]
 
 
 def fold(relevant: DataFrame, options: ModelOptions = DEFAULT) -> DataFrame:
@@ -75,13 +77,14 @@ def fold(relevant: DataFrame, options: ModelOptions = DEFAULT) -> DataFrame:
     or city that many postings share costs nothing.
     """
     masks = rules.mask_names(options.skills)
+    kept = [*_FIRST, "publication_date"] if options.publication_dates else _FIRST
     folded = (
         with_skill_mask(relevant, skills=options.skills)
         .withColumn("ord", F.struct("extracted_at", "ordinal"))
-        .withColumn("tie", F.xxhash64(*_FIRST, *LONG_TEXTS))
+        .withColumn("tie", F.xxhash64(*kept, *LONG_TEXTS))
         .groupBy("source", "external_id")
         .agg(
-            F.min(F.struct("ord", "tie", *_FIRST)).alias("first"),
+            F.min(F.struct("ord", "tie", *kept)).alias("first"),
             F.min(F.struct("ord", "tie", *LONG_TEXTS)).alias("first_texts"),
             F.max(F.struct("ord", "tie", "title", "run_date")).alias("last"),
             *[F.bit_or(mask).alias(mask) for mask in masks],
@@ -105,7 +108,7 @@ def fold(relevant: DataFrame, options: ModelOptions = DEFAULT) -> DataFrame:
         rules.salary("salary_max").alias("salary_max"),
         "job_type",
         rules.seniority().alias("seniority_level"),
-        F.lit(None).cast("date").alias("publication_date_id"),
+        (rules.publication_day() if options.publication_dates else F.lit(None).cast("date")).alias("publication_date_id"),
         F.col("run_date").alias("date_first_seen"),
         F.col("last_date").alias("date_last_seen"),
         *LONG_TEXTS,
@@ -198,10 +201,13 @@ def skills_in(masks: DataFrame, skills: Sequence[str] = V.SKILLS) -> DataFrame:
     return names.select(rules.surrogate_key("skill_name").alias("skill_id"), "skill_name")
 
 
-def dates_of(staging_rows: DataFrame) -> DataFrame:
+def dates_of(staging_rows: DataFrame, published: DataFrame | None = None) -> DataFrame:
     """Calendar rows of the run days. A run without postings of interest has
-    its day in the calendar all the same."""
-    days = staging_rows.select("run_date").where("run_date IS NOT NULL").distinct()
+    its day in the calendar all the same. ``published`` are postings whose publication days are in it too."""
+    days = staging_rows.select("run_date")
+    if published is not None:
+        days = days.union(published.select(rules.publication_day()))
+    days = days.where("run_date IS NOT NULL").distinct()
     return days.select(*rules.calendar_fields("run_date"))
 
 
@@ -211,6 +217,10 @@ def dates_of(staging_rows: DataFrame) -> DataFrame:
 DIMENSION_SOURCES = ["company_name", "country", "location"]
 
 
+def dimension_sources(options: ModelOptions) -> list[str]:
+    return [*DIMENSION_SOURCES, "publication_date"] if options.publication_dates else DIMENSION_SOURCES
+
+
 def build_warehouse(
     staging_rows: DataFrame,
     options: ModelOptions = DEFAULT,
@@ -221,7 +231,7 @@ def build_warehouse(
 
     ``folded`` is the fold of the same rows if it is stored somewhere; fact,
     bridge and skills are then read from it. ``relevant`` likewise has their
-    ``DIMENSION_SOURCES``. The calendar is made from all rows.
+    ``dimension_sources``. The calendar is made from all rows.
     """
     if relevant is None:
         relevant = relevant_postings(staging_rows)
@@ -236,7 +246,7 @@ def build_warehouse(
         "dim_city": cities_of(relevant, options),
         "dim_company": companies_of(relevant, options),
         "dim_skill": skills,
-        "dim_date": dates_of(staging_rows),
+        "dim_date": dates_of(staging_rows, relevant if options.publication_dates else None),
         "fact_job_posting": folded.drop(*rules.mask_names(options.skills), "sightings"),
         "bridge_job_skill": bridge_of(folded, options.skills),
     }

@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules
+from ..session import written
 
-# Text limits of staging columns, and of warehouse columns filled from them.
+# Text limits of staging columns, and of warehouse columns filled from them. Fixed values.
 STAGING_LIMITS = {"source": 20, "external_id": 100, "country": 10, "work_mode": 20, "job_type": 50, "company_name": 255}
 CITY_LIMIT = 200
 
@@ -127,41 +128,59 @@ def malformed_salaries(staging_rows: DataFrame) -> DataFrame:
 # ---- after the load -------------------------------------------------------
 
 def quality_report(tables: dict[str, DataFrame]) -> DataFrame:
-    """``table_name, check_name, violations``, one row per constraint."""
-    parts = []
-    for name, table in tables.items():
-        parts.append(_column_checks(name, table))
-        parts += [_unique_check(name, table, key) for key in UNIQUE[name]]
-    for child, column, parent, key in REFERENCES:
-        parts.append(_reference_check(child, tables[child], column, parent, tables[parent], key))
+    """``table_name, check_name, violations``, one row per constraint.
+
+    Each table is read once for all its checks: what is checked of a row becomes a few (check, key) pairs, which are counted in
+    one aggregate and stored. Uniqueness is told from the counts, references by joining the values of one
+    table with the keys of another."""
+    seen = {name: written(_checked(name, table), f"checks-{name}") for name, table in tables.items()}
+    parts = [_table_checks(name, pairs) for name, pairs in seen.items()]
+    parts += [_reference_check(child, seen[child], column, parent, seen[parent], key) for child, column, parent, key in REFERENCES]
     return reduce(DataFrame.unionByName, parts)
 
 
-def _column_checks(name: str, table: DataFrame) -> DataFrame:
-    """All NOT NULL and length checks of a table in one aggregate."""
-    checks = [F.count_if(F.col(c).isNull()).alias(f"{c} not null") for c in REQUIRED[name]]
-    checks += [F.count_if(F.length(c) > n).alias(f"{c} length") for c, n in LIMITS.get(name, {}).items()]
-    counted = table.agg(*checks)
-    return counted.unpivot([], counted.columns, "check_name", "violations").select(
-        F.lit(name).alias("table_name"), "check_name", "violations"
-    )
+def _column_tests(name: str) -> dict[str, Column]:
+    tests = {f"{c} not null": F.col(c).isNull() for c in REQUIRED[name]}
+    return tests | {f"{c} length": F.length(c) > n for c, n in LIMITS.get(name, {}).items()}
+
+
+def _keys(name: str) -> dict[str, list[str]]:
+    """Columns whose values are counted: keys, and references to other tables."""
+    counted = [*UNIQUE[name], *[[column] for child, column, _, _ in REFERENCES if child == name]]
+    return {"+".join(key): key for key in counted}
 
 
-def _unique_check(name: str, table: DataFrame, key: list[str]) -> DataFrame:
-    """Keys that occur more than once; NULLs are no duplicates of each other."""
-    complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in key])
-    repeated = table.where(complete).groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return repeated.agg(F.count(F.lit(1)).alias("violations")).select(
-        F.lit(name).alias("table_name"), F.lit(f"{'+'.join(key)} unique").alias("check_name"), "violations"
+def _checked(name: str, table: DataFrame) -> DataFrame:
+    """(check, key, n): rows with each value of each key, and rows that fail a test of their columns, under an empty key.
+
+    Keys with a NULL are left out: NULLs are no duplicates of each other, and a missing reference is none."""
+    pairs = []
+    for check, key in _keys(name).items():
+        complete = reduce(Column.__and__, [F.col(c).isNotNull() for c in key])
+        values = F.array(*[F.col(c).cast("string") for c in key])
+        pairs.append(F.when(complete, F.struct(F.lit(check).alias("check"), values.alias("key"))))
+    nothing = F.array().cast("array<string>")
+    for check, fails in _column_tests(name).items():
+        pairs.append(F.when(fails, F.struct(F.lit(check).alias("check"), nothing.alias("key"))))
+    found = table.select(F.explode(F.array(*pairs)).alias("pair")).where("pair IS NOT NULL")
+    return found.groupBy("pair.check", "pair.key").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _table_checks(name: str, pairs: DataFrame) -> DataFrame:
+    """Violations of the column tests, and keys that occur more than once."""
+    checks = [F.coalesce(F.sum(F.when(F.col("check") == test, F.col("n"))), F.lit(0)).alias(test) for test in _column_tests(name)]
+    for key in UNIQUE[name]:
+        check = "+".join(key)
+        checks.append(F.count_if((F.col("check") == check) & (F.col("n") > 1)).alias(f"{check} unique"))
+    counted = pairs.agg(*checks)
+    return counted.unpivot([], counted.columns, "check_name", "violations").select(
+        F.lit(name).alias("table_name"), "check_name", "violations"
     )
 
 
-def _reference_check(child_name, child, column, parent_name, parent, key) -> DataFrame:
-    """Rows whose reference leads nowhere. References are reduced to distinct
-    values first, so a value that many rows share is joined once."""
-    values = child.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    targets = parent.select(F.col(key).alias(column))
-    dangling = values.join(targets, column, "left_anti")
+def _reference_check(child_name: str, child: DataFrame, column: str, parent_name: str, parent: DataFrame, key: str) -> DataFrame:
+    """Rows whose reference leads nowhere. A value that many rows share is joined once."""
+    dangling = child.where(F.col("check") == column).join(parent.where(F.col("check") == key).select("key"), "key", "left_anti")
     return dangling.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("violations")).select(
         F.lit(child_name).alias("table_name"),
         F.lit(f"{column} in {parent_name}").alias("check_name"),

@@ -16,7 +16,7 @@ def stage_latest_day(
     staging_path: str,
     loaded_at: dt.datetime,
     run_date: dt.date | None = None,
-    multi_line: bool = False,
+    multi_line: bool | None = None,
 ) -> int:
     """Append the newest day's postings; returns how many there were."""
     return stage_path(
@@ -30,7 +30,7 @@ def stage_path(
     staging_path: str,
     loaded_at: dt.datetime,
     run_date: dt.date | None = None,
-    multi_line: bool = False,
+    multi_line: bool | None = None,
 ) -> int:
     """Append the postings of one raw directory, as often as it is called."""
     postings = raw_zone.postings_of(raw_zone.read_payloads(spark, raw_path, multi_line))

@@ -438,6 +438,15 @@ def oracle_sql() -> dict[str, str]:
         "dim_date": _on_postings("SELECT * FROM dim_date", DIM_DATE),
         # facts
         "fact_upsert": _on_postings(FACT_SELECT, model()),
+        "publication_dates": _on_postings(
+            f"SELECT {key('source', 'external_id')} AS job_posting_id, day AS publication_date_id, "
+            "CAST(week(day) AS INTEGER) AS week_of_year, dayname(day) AS day_name "
+            "FROM (SELECT *, CAST(substr(publication_date, 1, 10) AS DATE) AS day FROM ranked WHERE up = 1)", model()
+        ),
+        "streamed_fact": _on_postings(FACT_SELECT, model()),
+        "raw_zone_of_both_forms": _on_feeds(
+            "SELECT source, external_id, title, url FROM merged WHERE extracted_at = (SELECT max(extracted_at) FROM merged)"
+        ),
         "bridge_upsert": _on_postings(BRIDGE_SELECT, model()),
         "load_report": _on_postings(
             "SELECT extracted_at, count(*) FILTER (WHERE rel AND nth = 1) AS inserted, "
@@ -552,4 +561,5 @@ def oracle_sql() -> dict[str, str]:
             f"FROM conversations LEFT JOIN {SKILL_ROWS} ON contains(lower(text), skill_name) GROUP BY conv_id, turn"
         ),
     }
+    sql["marts_kept_current"] = sql["published_marts"]
     return sql

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions import rules
 from ..functions import vocabulary as V
-from ..operators import declarative, dedup, marts, mentions, merge, quality
+from ..operators import declarative, dedup, mart_state, marts, mentions, merge, quality
 from ..operators import modelling as M
 from ..operators import normalize as N
 from ..plans import extract, load, stage
@@ -26,6 +26,7 @@ from ..sources.order_postings import (
     RUN_TIMES, order_postings, read_table, source_a_jobs, source_b_jobs,
 )
 from ..sources.warehouse import Warehouse
+from ..streaming.load_stream import load_new_rows
 from ..streaming.staging_stream import stage_new_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -275,6 +276,15 @@ def fact_upsert(spark, folder):
     return _plain_fact(_warehouse(spark, folder)["fact_job_posting"])
 
 
+@query
+def publication_dates(spark, folder):
+    """Postings with the day they were published as a key of the calendar."""
+    tables = M.build_warehouse(order_postings(spark, folder), M.ModelOptions(publication_dates=True))
+    fact = tables["fact_job_posting"].select("job_posting_id", "publication_date_id")
+    days = tables["dim_date"].select("date_id", "week_of_year", "day_name")
+    return fact.join(days, F.col("publication_date_id") == F.col("date_id"), "left").drop("date_id")
+
+
 @query
 def bridge_upsert(spark, folder):
     return _warehouse(spark, folder)["bridge_job_skill"]
@@ -556,6 +566,40 @@ def incremental_fact(spark, folder):
     return _plain_fact(_load_run_by_run(spark, folder).tables()["fact_job_posting"])
 
 
+@query
+def streamed_fact(spark, folder):
+    """Fact after loading what was staged by the file stream, a few files at a time; equals the replay."""
+    path = scratch_path(spark, "staging")
+    staging.append(staging.to_staging(order_postings(spark, folder), LOADED_AT), path)
+    warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
+    running = load_new_rows(spark, path, warehouse, scratch_path(spark, "stream-state"), LOADED_AT, files_per_batch=8)
+    running.awaitTermination()
+    return _plain_fact(warehouse.tables()["fact_job_posting"])
+
+
+@query
+def raw_zone_of_both_forms(spark, folder):
+    """The newest raw day, half of it in lines and half in documents spread over many lines, staged without a hint."""
+    root, table = _raw_zone(spark, folder), scratch_path(spark, "staging")
+    day = raw_zone.latest_day_path(spark, root)
+    documents = raw_zone.read_payloads(spark, day, multi_line=False)
+    postings = documents.where(F.size("jobs") > 0).withColumn("number", F.col("jobs")[0]["ordinal"])
+    text = F.to_json(F.struct("extracted_at", "jobs"), {"pretty": "true", "ignoreNullFields": "false"})
+    mixed = scratch_path(spark, "raw-mixed")
+    postings.where("number % 2 = 0").select("extracted_at", "jobs").write.json(f"{mixed}/lines")
+    # Documents of some 2,000 postings, each in a file of its own.
+    odd = postings.where("number % 2 = 1")
+    n_documents = max(1, odd.count() // 2000)
+    spread = odd.groupBy("extracted_at", F.pmod(F.xxhash64("number"), F.lit(n_documents)).alias("part")).agg(
+        F.flatten(F.collect_list("jobs")).alias("jobs")
+    )
+    spread.select(F.concat(F.lit("part="), F.col("part").cast("string")).alias("file"), text.alias("value")).write.partitionBy(
+        "file"
+    ).text(f"{mixed}/spread")
+    stage.stage_path(spark, mixed, table, LOADED_AT)
+    return staging.read(spark, table).select("source", "external_id", "title", "url")
+
+
 @query
 def incremental_bridge(spark, folder):
     return _load_run_by_run(spark, folder).tables()["bridge_job_skill"]
@@ -593,6 +637,21 @@ def published_marts(spark, folder):
     """Marts kept beside a published warehouse, read back."""
     warehouse = _published(spark, folder)
     load.refresh_marts(warehouse)
+    return _mart_rows(warehouse.read_mart)
+
+
+@query
+def marts_kept_current(spark, folder):
+    """Marts from counts that each of three loads has brought forward by what it changed."""
+    postings = order_postings(spark, folder)
+    warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
+    for time in RUN_TIMES:
+        load.load_run(postings.where(F.col("extracted_at") == time), warehouse, time, LOADED_AT, keep_marts=True)
+    kept = mart_state.marts_of(warehouse.mart_state(), warehouse.tables())
+    return _mart_rows(kept.__getitem__)
+
+
+def _mart_rows(mart_of: Callable[[str], DataFrame]) -> DataFrame:
     labels = {
         "mart_skill_demand": ["skill_name", "pct_du_total"],
         "mart_seniority_distribution": ["seniority_level", "pct_du_total"],
@@ -602,7 +661,7 @@ def published_marts(spark, folder):
     }
     parts = []
     for mart, columns in labels.items():
-        kept = warehouse.read_mart(mart).withColumnRenamed("total_job_postings", "job_count")
+        kept = mart_of(mart).withColumnRenamed("total_job_postings", "job_count")
         label = F.concat_ws(" | ", *[F.col(c).cast("string") for c in columns]).alias("label")
         parts.append(kept.select(F.lit(mart).alias("mart"), label, "job_count"))
     return reduce(DataFrame.unionByName, parts)

@@ -3,13 +3,14 @@
 A payload document is an envelope (extraction time, feeds, counts) around an
 array of postings. Documents written here are JSON lines with one posting per
 envelope, so a day of any size is written without gathering it anywhere and is
-read back in splits; one more line per run states its counts. Pretty-printed documents that hold a whole day are read
-with ``multi_line=True``.
+read back in splits; one more line per run states its counts. Documents written elsewhere may be spread over many lines
+and hold a whole day; which form a file has is told from its first line.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,14 +87,47 @@ def latest_day_path(spark: SparkSession, root: str) -> str:
     raise EmptyRawZone(f"no document in the raw zone {root}")
 
 
-def read_payloads(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """Payload documents below ``path``. Broken documents fail the read."""
-    return (
-        spark.read.schema(schemas.PAYLOAD)
-        .option("multiLine", multi_line)
-        .option("mode", "FAILFAST")
-        .option("recursiveFileLookup", "true")
-        .json(path)
+def spread_documents(spark: SparkSession, path: str) -> list[str]:
+    """The files below ``path`` whose first line is not a whole document: each holds one, spread over its lines.
+
+    Only the first split of a file is looked at, and its lines are reduced in the map tasks. What comes back are file names, as
+    few as whole-day documents are."""
+    line = F.trim("value")
+    heads = (
+        spark.read.option("recursiveFileLookup", "true")
+        .text(path)
+        .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+        .withColumn("at", F.monotonically_increasing_id())
+        .where((F.col("start") == 0) & (line != ""))
+    )
+    whole = line.startswith("{") & line.endswith("}")
+    # The place and the answer in one number, so that the least one has the answer of the first line.
+    first = heads.groupBy("file").agg(F.min(F.col("at") * 2 + whole.cast("long")).alias("first"))
+    return [row.file for row in first.where("first % 2 = 0").select("file").collect()]
+
+
+def read_payloads(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
+    """Payload documents below ``path``, as lines or spread over many, also side by side. Broken documents fail the read.
+
+    ``multi_line`` says which form all files have, if that is known; then none is looked at before."""
+
+    def reader(spread: bool):
+        options = {"multiLine": spread, "mode": "FAILFAST", "recursiveFileLookup": "true"}
+        return spark.read.schema(schemas.PAYLOAD).options(**options)
+
+    if multi_line is not None:
+        return reader(multi_line).json(path)
+    spread = spread_documents(spark, path)
+    if not spread:
+        return reader(False).json(path)
+    lines = (
+        spark.read.option("recursiveFileLookup", "true")
+        .text(path)
+        .where(~F.col("_metadata.file_path").isin(spread) & (F.trim("value") != ""))
+    )
+    parsed = F.from_json("value", schemas.PAYLOAD, {"mode": "FAILFAST"})
+    return lines.select(parsed.alias("document")).select("document.*").unionByName(
+        reader(True).json([unquote(file) for file in spread])  # their names come as URIs
     )
 
 

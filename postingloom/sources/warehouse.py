@@ -27,9 +27,13 @@ from . import listing
 #: Table of the rows a load set aside.
 QUARANTINE = "quarantine"
 
+#: Counts that marts are kept current by.
+MART_STATE = "mart_state"
+MART_STATE_SCHEMA = "kind string, a string, b string, n bigint"
+
 BUCKETED = {"fact_job_posting": "job_posting_id", "bridge_job_skill": "job_posting_id"}
 
-LOG_SCHEMA = "version bigint, run_key string, published_at timestamp, buckets int"
+LOG_SCHEMA = "version bigint, run_key string, published_at timestamp, buckets int, batch string"
 
 
 def _side_by_side(write: Callable[[str], None], names: Iterable[str]) -> None:
@@ -50,15 +54,23 @@ class Warehouse:
 
     # ---- log
 
-    def current(self) -> Row | None:
-        """The newest line of the publication log."""
+    def _log(self) -> DataFrame | None:
         try:
-            log = self.spark.read.schema(LOG_SCHEMA).json(f"{self.root}/published")
+            return self.spark.read.schema(LOG_SCHEMA).json(f"{self.root}/published")
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
                 return None
             raise
-        return log.orderBy(F.desc("version")).first()
+
+    def current(self) -> Row | None:
+        """The newest line of the publication log."""
+        log = self._log()
+        return None if log is None else log.orderBy(F.desc("version")).first()
+
+    def has_batch(self, batch: str) -> bool:
+        """Whether some version was made from this part of a stream."""
+        log = self._log()
+        return log is not None and not log.where(F.col("batch") == batch).isEmpty()
 
     # ---- read
 
@@ -92,9 +104,14 @@ class Warehouse:
         co_located: bool = False,
         quarantine: DataFrame | None = None,
         rebucket: bool = False,
+        batch: str | None = None,
+        mart_state: DataFrame | None = None,
     ) -> int:
         """Write all tables as the version after ``published``, make it current.
 
+        ``batch`` names the part of a stream that the version was made from. ``mart_state`` are the counts of
+        ``operators.mart_state`` that go with the version.
+
         ``quarantine`` holds the rows that the load set aside, kept beside the tables
         of the version. ``rebucket`` goes over to the bucket count of this
         object, which only tables built anew can.
@@ -105,8 +122,9 @@ class Warehouse:
         """
         version = published.version + 1 if published else 1
         buckets = published.buckets if published and not rebucket else self._buckets
-        if quarantine is not None:
-            quarantine.write.mode("overwrite").parquet(self._path(QUARANTINE, version))
+        for name, beside in ((QUARANTINE, quarantine), (MART_STATE, mart_state)):
+            if beside is not None:
+                beside.write.mode("overwrite").parquet(self._path(name, version))
 
         def write(name: str) -> None:
             frame, path = tables[name].select(*schemas.WAREHOUSE[name].fieldNames()), self._path(name, version)
@@ -120,7 +138,7 @@ class Warehouse:
             frame.write.mode("overwrite").format("parquet").bucketBy(buckets, key).option("path", path).saveAsTable(table)
 
         _side_by_side(write, schemas.WAREHOUSE)
-        entry = self.spark.createDataFrame([(version, run_key, now, buckets)], LOG_SCHEMA)
+        entry = self.spark.createDataFrame([(version, run_key, now, buckets, batch)], LOG_SCHEMA)
         entry.coalesce(1).write.mode("append").json(f"{self.root}/published")
         return version
 
@@ -128,6 +146,13 @@ class Warehouse:
         """Rows that the load of a version set aside, each with its reason."""
         return self.spark.read.parquet(self._path(QUARANTINE, version or self.current().version))
 
+    def mart_state(self, published: Row | None = None) -> DataFrame | None:
+        """The counts kept beside a version, by default the newest; None if it has none."""
+        line = published or self.current()
+        if line is None or not listing.exists(self.spark, self._path(MART_STATE, line.version)):
+            return None
+        return self.spark.read.schema(MART_STATE_SCHEMA).parquet(self._path(MART_STATE, line.version))
+
     def retain(self, versions: int) -> None:
         """Drop all but the newest ``versions`` versions and their tables."""
         oldest = self.current().version - versions + 1

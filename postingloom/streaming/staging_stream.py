@@ -31,7 +31,7 @@ def stage_new_documents(
 ) -> StreamingQuery:
     """Start the stream over all documents present now; it ends by itself.
 
-    ``multi_line`` is for pretty-printed documents that hold a whole day."""
+    ``multi_line`` is for documents spread over many lines; all files of a stream have one form."""
     payloads = (
         spark.readStream.schema(schemas.PAYLOAD)
         .option("mode", "FAILFAST")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from postingloom import schemas
 from postingloom.functions import vocabulary as V
-from postingloom.operators import marts, merge
+from postingloom.operators import mart_state, marts, merge
 from postingloom.operators import modelling as M
 from postingloom.plans import load
 from postingloom.sources import staging
@@ -265,3 +265,52 @@ def test_views_answer_sql(spark):
     marts.create_views(M.build_warehouse(spark.createDataFrame(sightings(11, runs=1), SCHEMA)))
     a = spark.sql("SELECT total_job_postings FROM mart_kpi_summary").first()[0]
     assert a == spark.sql("SELECT count(*) FROM fact_job_posting").first()[0] > 0
+
+
+def test_publication_days_are_keys_of_the_calendar(spark, tmp_path):
+    texts = ["2026-08-30T10:00:00", "2026-08-31", "2026-02-30", "soon", "", None, "2026", "2026-08-30 and more"]
+    rows = [(*r[:10], texts[k % len(texts)], *r[11:]) for k, r in enumerate(sightings(12, runs=2))]
+    day = {texts[0]: dt.date(2026, 8, 30), texts[1]: dt.date(2026, 8, 31), texts[7]: dt.date(2026, 8, 30)}
+    first = {}
+    for r in rows:
+        title = (r[2] or "").lower()
+        if any(w in title for w in V.ROLE_WORDS) and not any(w in title for w in V.OFF_TOPIC_WORDS):
+            first.setdefault((r[0], r[1]), day.get(r[10]))
+    options = M.ModelOptions(publication_dates=True)
+    warehouse = Warehouse(spark, str(tmp_path / "warehouse"))
+    for run in runs_of(rows):
+        load.load_run(spark.createDataFrame(run, SCHEMA), warehouse, run[0][14], NOW, options, run_date=run[0][16])
+    tables = warehouse.tables()
+    found = {(r.source, r.external_id): r.publication_date_id for r in tables["fact_job_posting"].collect()}
+    assert found == first and any(first.values())
+    days = {r.date_id for r in tables["dim_date"].collect()}
+    assert {d for d in first.values() if d} <= days and {r[16] for r in rows} <= days
+    off = M.build_warehouse(spark.createDataFrame(rows, SCHEMA))
+    assert off["fact_job_posting"].where("publication_date_id IS NOT NULL").count() == 0
+    assert {r.date_id for r in off["dim_date"].collect()} == {r[16] for r in rows}
+
+
+def test_marts_kept_current_equal_recomputed_ones(spark, tmp_path):
+    """After each of four runs, after a run loaded again and after an older one; counts follow the run alone."""
+    runs = runs_of(sightings(13))
+    warehouse = Warehouse(spark, str(tmp_path / "warehouse"))
+    for run in [runs[1], runs[2], runs[2], runs[0], runs[3]]:
+        load.load_run(spark.createDataFrame(run, SCHEMA), warehouse, run[0][14], NOW, keep_marts=True)
+        tables = warehouse.tables()
+        kept, again = mart_state.marts_of(warehouse.mart_state(), tables), marts.all_marts(tables)
+        for name in again:
+            assert list(map(tuple, kept[name].collect())) == list(map(tuple, again[name].collect())), name
+    none = {n: spark.createDataFrame([], s) for n, s in schemas.WAREHOUSE.items()}
+    assert mart_state.difference(warehouse.tables(), none).count() == 0
+    same = mart_state.difference(warehouse.tables(), {**none, "fact_job_posting": warehouse.tables()["fact_job_posting"]})
+    assert same.count() == 0
+
+
+def test_marts_start_from_a_version_without_counts(spark, tmp_path):
+    first, second, *_ = runs_of(sightings(14))
+    warehouse = Warehouse(spark, str(tmp_path / "warehouse"))
+    load.load_run(spark.createDataFrame(first, SCHEMA), warehouse, first[0][14], NOW)
+    assert warehouse.mart_state() is None
+    load.load_run(spark.createDataFrame(second, SCHEMA), warehouse, second[0][14], NOW, keep_marts=True)
+    kept = mart_state.marts_of(warehouse.mart_state(), warehouse.tables())["mart_skill_demand"].collect()
+    assert kept == marts.all_marts(warehouse.tables())["mart_skill_demand"].collect()

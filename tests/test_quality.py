@@ -1,6 +1,7 @@
 """Rows set aside before a load, constraints checked after it."""
 
 import pytest
+from compare import plan_of
 from pyspark.sql import functions as F
 
 from postingloom.operators import modelling as M
@@ -81,3 +82,11 @@ def test_report_counts_violations(spark, rows):
         ("bridge_job_skill", "skill_id in dim_skill"): with_sql,
         ("dim_company", "company_name not null"): 1,
     }
+
+
+@pytest.mark.parametrize("name", sorted(quality.REQUIRED))
+def test_one_scan_for_all_checks_of_a_table(spark, rows, tmp_path, name):
+    path = f"{tmp_path}/{name}"
+    M.build_warehouse(rows)[name].write.parquet(path)
+    plan = plan_of(quality._checked(name, spark.read.parquet(path)))
+    assert plan.count("FileScan") == 1

@@ -14,7 +14,7 @@ WRITING = {
     "landed_feeds_roundtrip", "raw_zone_roundtrip", "raw_zone_rewrite_day", "staging_append", "staging_stream",
     "incremental_fact", "incremental_bridge", "incremental_dimensions", "published_marts", "quality_report",
     "extract_landed_runs", "empty_rerun_replaces_day", "load_with_faults", "latest_run_with_odd_times",
-    "quality_report_of_broken_tables",
+    "quality_report_of_broken_tables", "streamed_fact", "marts_kept_current", "raw_zone_of_both_forms",
 }
 
 

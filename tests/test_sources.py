@@ -9,7 +9,7 @@ import pytest
 from compare import plan_of
 from pyspark.sql import functions as F
 
-from postingloom import session
+from postingloom import schemas, session
 from postingloom.operators import marts, merge
 from postingloom.operators import modelling as M
 from postingloom.operators import normalize as N
@@ -234,3 +234,54 @@ def test_streamed_staging_is_loaded(spark, tmp_path, sf_dir):
     warehouse = Warehouse(spark, f"{tmp_path}/warehouse")
     report = load.load_latest_run(spark, table, warehouse, NOW)
     assert report["inserted"] == warehouse.tables()["fact_job_posting"].count() > 0
+
+
+def test_a_day_of_both_forms_needs_no_hint(spark, tmp_path):
+    """Lines, a pretty-printed document, one on a single line, an empty file and a blank first line, side by side."""
+    job = lambda n: {"source": "adzuna", "external_id": str(n), "title": "Data Engineer"}
+    envelope = lambda *numbers: {"extracted_at": "2026-09-07T06:00:00", "jobs": [job(n) for n in numbers]}
+    day = tmp_path / "raw" / "year=2026" / "month=09" / "day=07"
+    day.mkdir(parents=True)
+    (day / "a.json").write_text("".join(json.dumps(envelope(n)) + "\n" for n in range(50)))
+    (day / "b.json").write_text(json.dumps(envelope(50, 51, 52), indent=2))
+    (day / "c.json").write_text(json.dumps(envelope(53, 54)))
+    (day / "d.json").write_text("")
+    (day / "e.json").write_text("\n  \n" + json.dumps(envelope(55), indent=2) + "\n")
+    (day / "f.json").write_text(json.dumps({"extracted_at": "2026-09-07T06:00:00", "jobs": []}, indent=2))
+    assert sorted(os.path.basename(f) for f in raw_zone.spread_documents(spark, str(day))) == ["b.json", "e.json", "f.json"]
+    table = f"{tmp_path}/staging"
+    assert stage.stage_latest_day(spark, f"{tmp_path}/raw", table, NOW) == 56
+    assert sorted(int(r.external_id) for r in staging.read(spark, table).collect()) == list(range(56))
+
+
+def test_a_broken_line_fails_the_read_in_either_form(spark, tmp_path):
+    whole = json.dumps({"extracted_at": "2026-09-07T06:00:00", "jobs": []})
+    for name, text in (("one", whole + "\n" + whole[:-4] + "\n"), ("both", whole + "\n" + whole[:-4] + "\n")):
+        folder = tmp_path / name
+        folder.mkdir()
+        (folder / "a.json").write_text(text)
+        if name == "both":
+            (folder / "b.json").write_text(json.dumps(json.loads(whole), indent=2))
+        with pytest.raises(Exception, match="(?i)malformed"):
+            raw_zone.read_payloads(spark, str(folder)).collect()
+
+
+def test_a_batch_delivered_twice_changes_nothing(spark, tmp_path):
+    from postingloom.streaming.load_stream import batch_loader
+
+    rows = spark.createDataFrame(
+        [("adzuna", str(n), "Data Engineer", "2026-09-07T06:00:00", n, dt.date(2026, 9, 7), "20260907T060000000000") for n in range(9)],
+        "source string, external_id string, title string, extracted_at string, ordinal bigint, run_date date, run_key string",
+    )
+    missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.STAGING.fields if f.name not in rows.columns]
+    staged = rows.select("*", *missing)
+    warehouse = Warehouse(spark, f"{tmp_path}/warehouse")
+    once, other = batch_loader(warehouse, "s", NOW), batch_loader(warehouse, "t", NOW)
+    once(staged.where("ordinal < 6"), 0)
+    assert warehouse.current().version == 1
+    once(staged.where("ordinal < 6"), 0)
+    assert warehouse.current().version == 1 and warehouse.tables()["fact_job_posting"].count() == 6
+    once(staged.where("ordinal >= 4"), 1)
+    other(staged, 0)
+    assert warehouse.current().version == 3 and warehouse.tables()["fact_job_posting"].count() == 9
+
