@@ -98,57 +98,48 @@ def parts_column(text: str | Column) -> Column:
     return credential_parts(text_or_empty(text))
 
 
-def linked(found: DataFrame, reach: int) -> DataFrame:
-    """Weak candidates of (key_id, key_text, parts) whose other parts lie in the same scope, at most ``reach`` characters away.
+def linked(found: DataFrame) -> DataFrame:
+    """Weak candidates of (key_id, key_text, parts) beside which the other parts stand in the same scope.
 
-    A weak identifier needs a secret, a weak secret an identifier or an endpoint, an endpoint both others.
-    This is an interval join over bins of ``reach`` characters. Each bin keeps, per role, the
-    first start and last end of its parts, which decide whether a stretch meets
-    any; so a scope full of parts gives one row per bin and no pairs.
+    A weak identifier needs a secret, a weak secret an identifier or an endpoint, an endpoint both others; parts that
+    overlap a candidate don't count. Some part of a role stands clear of a stretch if the first end of that role in the scope lies before
+    it or the last start behind it. So the interval join needs two numbers per scope and role, and a scope
+    full of parts, however long, gives no pairs.
     """
     flat = found.select("key_id", "key_text", F.explode("parts").alias("part")).select("key_id", "key_text", "part.*").distinct()
     place = ["key_id", "key_text", "scope"]
-    bins = (
+    others = (
         flat.where("role <> ''")
-        .withColumn("bin", F.explode(F.sequence(F.floor(F.col("start") / reach), F.floor((F.col("end") - 1) / reach))))
-        .groupBy(*place, "bin", "role")
-        .agg(F.min("start").alias("first"), F.max("end").alias("last"))
+        .groupBy(*place, "role")
+        .agg(F.min("end").alias("first_end"), F.max("start").alias("last_start"))
         .withColumnRenamed("role", "other")
     )
-    weak = flat.where("weak").withColumn(
-        "bin",
-        F.explode(F.sequence(F.floor((F.col("start") - reach) / reach), F.floor((F.col("end") + reach) / reach))),
-    )
-    met = weak.join(bins, [*place, "bin"]).where(
-        (F.col("other") != F.col("role")) & (F.col("first") <= F.col("end") + reach) & (F.col("last") >= F.col("start") - reach)
-    )
-    others = F.collect_set("other")
-    needed = (
-        F.when(F.col("role") == "identifier", F.array_contains("others", "secret"))
-        .when(F.col("role") == "secret", F.size("others") > 0)
-        .otherwise(F.size("others") == 2)
+    met = flat.where("weak").join(others, place).where(
+        (F.col("other") != F.col("role")) & ((F.col("first_end") <= F.col("start")) | (F.col("last_start") >= F.col("end")))
     )
+    has_secret, n = F.max((F.col("other") == "secret").cast("int")), F.count_distinct("other")
+    needed = F.when(F.col("role") == "identifier", F.col("has_secret") == 1).when(F.col("role") == "secret", F.col("n") > 0).otherwise(F.col("n") == 2)
     return (
         met.groupBy("key_id", "key_text", "kind", "start", "end", "role")
-        .agg(others.alias("others"))
+        .agg(has_secret.alias("has_secret"), n.alias("n"))
         .where(needed)
         .groupBy("key_id", "key_text")
         .agg(F.collect_list(F.struct("kind", "start", "end")).alias("linked"))
     )
 
 
-def scan(documents: DataFrame, reach: int = 200, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def scan(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, base, spans), one row per row of ``documents``: arrays of (kind, start, end).
 
     Starts count code points, ends are exclusive, and spans are ordered by start, kind and end. base has the matches
-    of the three fixed patterns; spans adds linked weak candidates. A null or empty text has none. A missing
+    of the three fixed patterns; spans adds weak candidates whose other parts stand in the same scope (up to a blank line), however far away. A null or empty text has none. A missing
     doc_id stays null; repeated rows come out repeated. Only doc_id and text are read, so further columns may have
     any name. No rows give no rows."""
     key_id, key_text = row_key(doc_id, text)
     found = stored(
         documents.select(F.col(doc_id).alias("doc_id"), key_id, key_text, parts_column(text).alias("parts")), "credential-parts"
     )
-    spans = linked(found.where(F.exists("parts", lambda part: part["weak"])), reach).select(
+    spans = linked(found.where(F.exists("parts", lambda part: part["weak"]))).select(
         F.col("key_id").alias("of_id"), F.col("key_text").alias("of_text"), "linked"
     )
     base = F.transform(

@@ -10,9 +10,6 @@ MIX = {"weights": (3, 1, 2), "percent": 150, "most": 2}
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 
-#: Characters between parts of a credential.
-CREDENTIAL_REACH = 200
-
 #: Cosine from which vectors link; reference points, nearest of them kept, and how many must be shared.
 EMBEDDING = {"cosine": 0.95, "n_pivots": 1024, "prefix": 8, "shared": 3}
 

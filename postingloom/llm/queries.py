@@ -24,7 +24,7 @@ from postingloom.llm import (
     warc_audit,
 )
 from postingloom.llm.common import table
-from postingloom.llm.parameters import CHAT, CREDENTIAL_REACH, DIVERGENCE, EMBEDDING, HTML, LICENCES, MANIFEST, MIX, RANK_FILE, SIMHASH, WARC
+from postingloom.llm.parameters import CHAT, DIVERGENCE, EMBEDDING, HTML, LICENCES, MANIFEST, MIX, RANK_FILE, SIMHASH, WARC
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,7 +45,7 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_credentials(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = credential_scan.scan(documents, CREDENTIAL_REACH)
+    found = credential_scan.scan(documents)
 
     def counted(kind: str) -> Column:
         return F.size(F.filter("base", lambda span: span["kind"] == kind)).cast("long").alias(f"n_{kind}")
