@@ -15,7 +15,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postingloom.llm.common import shipped
+from postingloom.llm.common import bounded_batches, shipped
 
 #: Pre-tokens up to this many characters are remembered, and so many of them at a time.
 REMEMBERED_CHARS, REMEMBERED = 64, 600_000
@@ -156,6 +156,7 @@ class Vocabulary:
         missing = [byte for byte in range(256) if bytes([byte]) not in ranks]
         if missing:
             raise ValueError(f"bytes without a rank: {missing[:5]}")
+        bounded_batches(spark)
         # A worker keeps the value between tasks, and in it what it makes of the ranks.
         self.sent = spark.sparkContext.broadcast({"ranks": ranks, "pattern": pattern})
 
@@ -187,6 +188,7 @@ class Vocabulary:
 
 def _by_chunks(rows: pa.Array, work: Callable[[pa.Array], pa.Array]) -> pa.Array:
     """The batch in pieces of CHUNK rows, which bounds what is held besides the batch itself."""
+    pa.default_memory_pool().release_unused()  # what the batch before has left
     return pa.concat_arrays([work(rows.slice(start, CHUNK)) for start in range(0, max(1, len(rows)), CHUNK)])
 
 

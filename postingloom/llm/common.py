@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import sys
 
 from pyspark import cloudpickle
@@ -14,6 +15,9 @@ from postingloom.session import scratch_path
 WORD = r"[^\x20\x09-\x0D]+"
 BLANKS = r"[\x20\x09-\x0D]+"
 
+#: Bytes of a batch that goes to a Python worker; a row that is larger goes by itself.
+BATCH_BYTES = 4 << 20
+
 #: Stands for a missing id where ids are ordered: after all others.
 LAST_ID = 2**63 - 1
 
@@ -32,6 +36,16 @@ def stored(frame: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Lower the session's bound of bytes that a Python worker is handed at once to BATCH_BYTES.
+
+    A batch is held several times over, by executor and worker; rows alone don't bound it where texts are long."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    n, unit = re.fullmatch(r"(\d+)([bkmgt]?)b?", spark.conf.get(name, "64m").lower()).groups()
+    if int(n) << {"": 0, "b": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit] > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def shipped(module: str) -> None:
     """Send the module's functions to Python workers by value, so that workers need no path to the package."""
     cloudpickle.register_pickle_by_value(sys.modules[module])

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from postingloom.llm.common import shipped, stored, text_or_empty
+from postingloom.llm.common import bounded_batches, shipped, stored, text_or_empty
 from postingloom.llm.components import connected_components
 
 SEED = 42
@@ -139,6 +139,7 @@ def near_duplicates(
     has a null component_id; root, a fingerprint, tells components apart. Repeated rows come out repeated. No rows give no rows.
     Only doc_id and text are read, so further columns may have any name.
     """
+    bounded_batches(documents.sparkSession)
     prints = stored(
         documents.select(F.col(doc_id).cast("long").alias("doc_id"), fingerprint_column(text, shingle).alias("fp")),
         "simhash-fingerprints",
