@@ -8,6 +8,7 @@ import sys
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType, NullType
 
 from postingloom.session import scratch_path
 
@@ -59,12 +60,26 @@ def words(column: str | Column) -> Column:
     return F.regexp_extract_all(text_or_empty(column), F.lit(WORD), F.lit(0))
 
 
-def row_key(id_column: str, text_column: str) -> list[Column]:
+def helper_prefix(frame: DataFrame) -> str:
+    """Underscores that no column of the frame begins with, to name helper columns that clash with none."""
+    return "_" * (1 + max((len(name) - len(name.lstrip("_")) for name in frame.columns), default=0))
+
+
+def digest_number(column: Column) -> Column:
+    """The first 60 bits of a string's MD5 as a long; SQL has them too."""
+    return F.conv(F.substring(F.md5(column), 1, 15), 16, 10).cast("long")
+
+
+def row_key(frame: DataFrame, id_column: str, text_column: str) -> list[Column]:
     """Id and text hash: rows that share both are copies of one row and get the same result.
 
-    The hash keeps rows without an id apart, so that a missing id is no hot key."""
+    The hash keeps rows without an id apart, so that a missing id is no hot key. Ids that are no whole numbers
+    go by 60 bits of their digest."""
+    own_id = F.col(id_column)
+    if not isinstance(frame.select(id_column).schema[0].dataType, IntegralType | NullType):
+        own_id = digest_number(own_id.cast("string"))
     return [
-        F.coalesce(F.col(id_column).cast("long"), F.lit(LAST_ID)).alias("key_id"),
+        F.coalesce(own_id.cast("long"), F.lit(LAST_ID)).alias("key_id"),
         F.xxhash64(text_or_empty(text_column)).alias("key_text"),
     ]
 
@@ -75,26 +90,27 @@ def numbered(frame: DataFrame, owner: str, coarse: str, fine: str, group: str, o
     ``group`` spells owner, coarse and fine in one text that is never null. Groups are counted, sums over the groups of a coarse step
     and over the coarse steps of an owner give where each group begins, and only the rows of a
     group are ordered in one task; so no task needs to see all rows of an owner."""
-    counts = frame.groupBy(owner, coarse, fine, group).agg(F.count("*").alias("_num_n"))
+    own = helper_prefix(frame) + "num_"
+    counts = frame.groupBy(owner, coarse, fine, group).agg(F.count("*").alias(f"{own}n"))
     before = (Window.unboundedPreceding, -1)
     in_coarse = Window.partitionBy(owner, coarse).orderBy(fine).rowsBetween(*before)
     in_owner = Window.partitionBy(owner).orderBy(coarse).rowsBetween(*before)
     none = F.lit(0).cast("long")
     steps = (
         counts.groupBy(owner, coarse)
-        .agg(F.sum("_num_n").alias("_num_n"))
-        .select(F.col(owner).alias("_num_owner"), F.col(coarse).alias("_num_coarse"), F.coalesce(F.sum("_num_n").over(in_owner), none).alias("_num_step"))
+        .agg(F.sum(f"{own}n").alias(f"{own}n"))
+        .select(F.col(owner).alias(f"{own}owner"), F.col(coarse).alias(f"{own}coarse"), F.coalesce(F.sum(f"{own}n").over(in_owner), none).alias(f"{own}step"))
     )
     starts = (
-        counts.withColumn("_num_start", F.coalesce(F.sum("_num_n").over(in_coarse), none))
-        .join(steps, F.col(owner).eqNullSafe(F.col("_num_owner")) & F.col(coarse).eqNullSafe(F.col("_num_coarse")))
-        .select(F.col(group).alias("_num_group"), (F.col("_num_step") + F.col("_num_start")).alias("_num_start"))
+        counts.withColumn(f"{own}start", F.coalesce(F.sum(f"{own}n").over(in_coarse), none))
+        .join(steps, F.col(owner).eqNullSafe(F.col(f"{own}owner")) & F.col(coarse).eqNullSafe(F.col(f"{own}coarse")))
+        .select(F.col(group).alias(f"{own}group"), (F.col(f"{own}step") + F.col(f"{own}start")).alias(f"{own}start"))
     )
-    own = F.row_number().over(Window.partitionBy(group).orderBy(*order))
+    row = F.row_number().over(Window.partitionBy(group).orderBy(*order))
     return (
-        frame.join(starts, F.col(group) == F.col("_num_group"))
-        .withColumn(place, F.col("_num_start") + own)
-        .drop("_num_group", "_num_start")
+        frame.join(starts, F.col(group) == F.col(f"{own}group"))
+        .withColumn(place, F.col(f"{own}start") + row)
+        .drop(f"{own}group", f"{own}start")
     )
 
 

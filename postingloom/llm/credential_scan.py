@@ -135,7 +135,7 @@ def scan(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     of the three fixed patterns; spans adds weak candidates whose other parts stand in the same scope (up to a blank line), however far away. A null or empty text has none. A missing
     doc_id stays null; repeated rows come out repeated. Only doc_id and text are read, so further columns may have
     any name. No rows give no rows."""
-    key_id, key_text = row_key(doc_id, text)
+    key_id, key_text = row_key(documents, doc_id, text)
     found = stored(
         documents.select(F.col(doc_id).alias("doc_id"), key_id, key_text, parts_column(text).alias("parts")), "credential-parts"
     )

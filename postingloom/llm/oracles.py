@@ -53,7 +53,8 @@ FROM measured
 
 _LINES = rf"""
 WITH docs AS (
-  SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id, 9223372036854775807) AS id, text,
+  SELECT row_number() OVER () AS r, doc_id, text,
+    row(coalesce(doc_id, 9223372036854775807), substr(md5(coalesce(text, '')), 1, 15)) AS id,
     string_split(coalesce(text, ''), chr(10)) AS ls FROM documents
 ), lines AS (
   SELECT r, id, i, regexp_replace(ls[i], '^{_BLANKS}|{_BLANKS}$', '', 'g') AS line

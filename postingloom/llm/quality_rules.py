@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postingloom.llm.common import BLANKS, WORD, row_key, stored, text_or_empty
+from postingloom.llm.common import BLANKS, WORD, helper_prefix, row_key, stored, text_or_empty
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -58,16 +58,17 @@ def base_statistics(documents: DataFrame, limits: Limits = Limits(), text: str =
             cast(size(lines) - size(array_distinct(lines)) as bigint))[0] as n_dup_lines,
         cast(length(regexp_replace({own}, r'{BLANKS}', '')) as bigint) as word_chars,
         cast(length(regexp_replace({own}, r'[^#*$%&|<>]+', '')) as bigint) as n_symbols)"""
+    made = f"{helper_prefix(documents)}statistics"
     return (
-        documents.withColumn("_statistics", F.expr(statistics))
+        documents.withColumn(made, F.expr(statistics))
         .withColumns({
-            "n_words": F.col("_statistics.words.n_words"),
-            "word_chars": F.col("_statistics.word_chars"),
-            "n_symbols": F.col("_statistics.n_symbols"),
-            "n_dup_lines": F.col("_statistics.n_dup_lines"),
-            "n_repeat_words": F.col("_statistics.words.n_repeat_words"),
+            "n_words": F.col(f"{made}.words.n_words"),
+            "word_chars": F.col(f"{made}.word_chars"),
+            "n_symbols": F.col(f"{made}.n_symbols"),
+            "n_dup_lines": F.col(f"{made}.n_dup_lines"),
+            "n_repeat_words": F.col(f"{made}.words.n_repeat_words"),
         })
-        .drop("_statistics")
+        .drop(made)
         .withColumn(
             "base_failed",
             (F.col("n_words") < limits.least_words)
@@ -83,7 +84,7 @@ def normalised(line: Column) -> Column:
 
 def _lines(documents: DataFrame, host: str, doc_id: str, text: str) -> DataFrame:
     """Host, key of the row, place, hash and words of every line with a word."""
-    key_id, key_text = row_key(doc_id, text)
+    key_id, key_text = row_key(documents, doc_id, text)
     lines = F.filter(F.transform(F.split(text_or_empty(text), "\n"), normalised), lambda line: line != "")
     hashed = F.transform(
         lines,
@@ -137,27 +138,28 @@ def removed_lines(
 
 
 def _judged(documents: DataFrame, limits: Limits, host: str, doc_id: str, text: str) -> DataFrame:
-    """As ``judged``, with the keys of each row: _own_id, _own_text and _own_host."""
+    """As ``judged``, with the keys of each row: own_id, own_text and own_host behind the prefix of the documents."""
+    own = helper_prefix(documents)
     gone = removed_lines(documents, limits, host, doc_id, text).select(
-        F.col("key_id").alias("_gone_id"),
-        F.col("key_text").alias("_gone_text"),
-        F.col("host").alias("_gone_host"),
-        F.col("removed").alias("_removed"),
-        F.col("n_removed_words").alias("_n_removed_words"),
+        F.col("key_id").alias(f"{own}gone_id"),
+        F.col("key_text").alias(f"{own}gone_text"),
+        F.col("host").alias(f"{own}gone_host"),
+        F.col("removed").alias(f"{own}removed"),
+        F.col("n_removed_words").alias(f"{own}n_removed_words"),
     )
-    key_id, key_text = row_key(doc_id, text)
-    n_kept = F.col("n_words") - F.coalesce("_n_removed_words", F.lit(0))
+    key_id, key_text = row_key(documents, doc_id, text)
+    n_kept = F.col("n_words") - F.coalesce(f"{own}n_removed_words", F.lit(0))
     return (
         base_statistics(documents, limits, text)
-        .withColumns({"_own_id": key_id, "_own_text": key_text, "_own_host": F.col(host).cast("string")})
+        .withColumns({f"{own}own_id": key_id, f"{own}own_text": key_text, f"{own}own_host": F.col(host).cast("string")})
         .join(
             gone,
-            (F.col("_own_id") == F.col("_gone_id"))
-            & (F.col("_own_text") == F.col("_gone_text"))
-            & F.col("_own_host").eqNullSafe(F.col("_gone_host")),
+            (F.col(f"{own}own_id") == F.col(f"{own}gone_id"))
+            & (F.col(f"{own}own_text") == F.col(f"{own}gone_text"))
+            & F.col(f"{own}own_host").eqNullSafe(F.col(f"{own}gone_host")),
             "left",
         )
-        .withColumns({"removed": F.coalesce("_removed", F.array().cast("array<bigint>")), "n_kept_words": n_kept})
+        .withColumns({"removed": F.coalesce(f"{own}removed", F.array().cast("array<bigint>")), "n_kept_words": n_kept})
         .withColumn(
             "kept",
             ~F.col("base_failed")
@@ -175,9 +177,10 @@ def judged(
 
     kept is false where the base failed or too few words are left without the removed lines.
     Every row comes out once. A null text has no words and fails. A missing host is a host of
-    its own. Rows that share id, text and host get the same verdict. Columns named like an
-    added one are replaced. No rows give no rows."""
-    return _judged(documents, limits, host, doc_id, text).drop("_own_id", "_own_text", "_own_host")
+    its own. Rows that share id, text and host get the same verdict; a text of any length is worked on in one
+    row. Columns named like an added one are replaced, others may have any name. No rows give no rows."""
+    own = helper_prefix(documents)
+    return _judged(documents, limits, host, doc_id, text).drop(f"{own}own_id", f"{own}own_text", f"{own}own_host")
 
 
 def kept_documents(
@@ -186,25 +189,29 @@ def kept_documents(
     """The documents that are kept, their texts without the removed lines, other columns as they are.
 
     The verdicts are worked out beside the texts and stored, so that only verdicts are shuffled on the way to them."""
-    key_id, key_text = row_key(doc_id, text)
+    own, given = helper_prefix(documents), documents.select(doc_id, text, host)
+    their = helper_prefix(given)
+    key_id, key_text = row_key(documents, doc_id, text)
     verdicts = stored(
-        _judged(documents.select(doc_id, text, host), limits, host, doc_id, text).select(
-            F.col("_own_id").alias("_of_id"), F.col("_own_text").alias("_of_text"), F.col("_own_host").alias("_of_host"),
+        _judged(given, limits, host, doc_id, text).select(
+            F.col(f"{their}own_id").alias("of_id"), F.col(f"{their}own_text").alias("of_text"), F.col(f"{their}own_host").alias("of_host"),
             "kept", "removed",
         ),
         "quality-verdicts",
     )
-    kept = verdicts.where("kept").select("_of_id", "_of_text", "_of_host", F.col("removed").alias("_removed")).distinct()
+    kept = verdicts.where("kept").select(
+        *(F.col(name).alias(own + name) for name in ("of_id", "of_text", "of_host", "removed"))
+    ).distinct()
     return (
-        documents.withColumns({"_own_id": key_id, "_own_text": key_text})
+        documents.withColumns({f"{own}own_id": key_id, f"{own}own_text": key_text})
         .join(
             kept,
-            (F.col("_own_id") == F.col("_of_id"))
-            & (F.col("_own_text") == F.col("_of_text"))
-            & F.col(host).cast("string").eqNullSafe(F.col("_of_host")),
+            (F.col(f"{own}own_id") == F.col(f"{own}of_id"))
+            & (F.col(f"{own}own_text") == F.col(f"{own}of_text"))
+            & F.col(host).cast("string").eqNullSafe(F.col(f"{own}of_host")),
         )
-        .withColumn(text, without_removed(F.col(text), F.col("_removed")))
-        .drop("_own_id", "_own_text", *kept.columns)
+        .withColumn(text, without_removed(F.col(text), F.col(f"{own}removed")))
+        .drop(f"{own}own_id", f"{own}own_text", *kept.columns)
     )
 
 

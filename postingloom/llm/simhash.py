@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from postingloom.llm.common import bounded_batches, shipped, stored, text_or_empty
+from postingloom.llm.common import bounded_batches, helper_prefix, shipped, stored, text_or_empty
 from postingloom.llm.components import connected_components
 
 SEED = 42
@@ -131,17 +131,22 @@ def _midpoints(listed: DataFrame, distance: int) -> DataFrame:
 def near_duplicates(
     documents: DataFrame, shingle: int, distance: int, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """(doc_id, fp, component_id, root), one row per row of ``documents``.
+    """(doc_id, fp, component_id, root, text_hash), one row per row of ``documents``.
 
     component_id is the smallest doc_id that links of at most ``distance`` bits reach.
     A null text counts as empty; empty texts have fingerprint zero and link like any
     other. A missing doc_id is null in the result, and a component of such rows alone
-    has a null component_id; root, a fingerprint, tells components apart. Repeated rows come out repeated. No rows give no rows.
+    has a null component_id; root, a fingerprint, tells components apart; text_hash tells
+    texts of one id apart. Repeated rows come out repeated. No rows give no rows.
     Only doc_id and text are read, so further columns may have any name.
     """
     bounded_batches(documents.sparkSession)
     prints = stored(
-        documents.select(F.col(doc_id).cast("long").alias("doc_id"), fingerprint_column(text, shingle).alias("fp")),
+        documents.select(
+            F.col(doc_id).cast("long").alias("doc_id"),
+            F.xxhash64(text_or_empty(text)).alias("text_hash"),
+            fingerprint_column(text, shingle).alias("fp"),
+        ),
         "simhash-fingerprints",
     )
     least = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
@@ -152,7 +157,7 @@ def near_duplicates(
     named = placed.join(placed.groupBy("root").agg(F.min("least").alias("component_id")), "root").select(
         F.col("fp").alias("of"), "component_id", "root"
     )
-    return prints.join(named, prints.fp == named.of).select("doc_id", "fp", "component_id", "root")
+    return prints.join(named, prints.fp == named.of).select("doc_id", "fp", "component_id", "root", "text_hash")
 
 
 def one_of_each(documents: DataFrame, shingle: int, distance: int) -> DataFrame:
@@ -160,22 +165,26 @@ def one_of_each(documents: DataFrame, shingle: int, distance: int) -> DataFrame:
 
     Of several such rows one with a text stays before one without, then the one with the smallest text; rows that lack a
     doc_id go by fingerprint before text. Rows that share a doc_id but lie in different components don't
-    touch each other: a row is known by doc_id and fingerprint. Columns stay as they are."""
+    touch each other: a row is known by doc_id and text. Columns stay as they are and may have any name."""
+    own = helper_prefix(documents)
     kept = (
         near_duplicates(documents, shingle, distance)
         .where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .select(F.col("doc_id").alias("_kept_id"), F.col("fp").alias("_kept_fp"), F.col("root").alias("_kept_root"))
+        .select(*(F.col(name).alias(own + name) for name in ("doc_id", "text_hash", "fp", "root")))
         .distinct()
     )
-    own_id, nameless_fp = F.col("doc_id").cast("long"), F.when(F.col("doc_id").isNull(), F.col("_own_fp"))
+    nameless_fp = F.when(F.col("doc_id").isNull(), F.col(f"{own}fp"))
     place = F.row_number().over(
-        Window.partitionBy("_kept_root").orderBy(F.col("text").isNull(), nameless_fp, F.col("text"))
+        Window.partitionBy(f"{own}root").orderBy(F.col("text").isNull(), nameless_fp, F.col("text"))
     )
     return (
-        documents.withColumn("_own_fp", fingerprint_column("text", shingle))
-        .join(kept, own_id.eqNullSafe(F.col("_kept_id")) & (F.col("_own_fp") == F.col("_kept_fp")))
-        .withColumn("_own_place", place)
-        .where("_own_place = 1")
+        documents.join(
+            kept,
+            F.col("doc_id").cast("long").eqNullSafe(F.col(f"{own}doc_id"))
+            & (F.xxhash64(text_or_empty("text")) == F.col(f"{own}text_hash")),
+        )
+        .withColumn(f"{own}place", place)
+        .where(F.col(f"{own}place") == 1)
         .select(*documents.columns)
     )
 

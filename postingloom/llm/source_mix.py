@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from postingloom.llm.common import numbered, row_key, words
+from postingloom.llm.common import helper_prefix, numbered, row_key, words
 
 #: Parts into which documents of one source and size class are dealt, so that no group of equals meets in one task.
 PARTS = 256
@@ -77,47 +77,50 @@ def mix(
 
     A null text has size 0, a missing source is a source of its own, a missing doc_id goes
     by its text. Rows that agree in id and size are interchangeable, so repeated rows give the same rows in
-    every run. The offset depends on seed and source alone. Columns named like an added one are replaced. No rows give no rows.
+    every run. The offset depends on seed and source alone. Columns named like an added one are replaced, others may have any
+    name. A text of any length is one number, its size. No rows give no rows.
     """
-    own_id, own_text = row_key(doc_id, text)
+    own = helper_prefix(documents)
+    own_id, own_text = row_key(documents, doc_id, text)
     size = word_count(text)
     tens = F.length(F.col("size").cast("string"))
-    label = F.coalesce(F.concat(F.lit("s"), F.col("_source")), F.lit("n"))
-    name = F.coalesce(F.col(doc_id).cast("string"), F.col("_text").cast("string"))
+    label = F.coalesce(F.concat(F.lit("s"), F.col(f"{own}source")), F.lit("n"))
+    name = F.coalesce(F.col(doc_id).cast("string"), F.col(f"{own}text").cast("string"))
     sized = (
-        documents.withColumns({"size": size, "_id": own_id, "_text": own_text, "_source": F.col(source).cast("string")})
+        documents.withColumns({"size": size, f"{own}id": own_id, f"{own}text": own_text, f"{own}source": F.col(source).cast("string")})
         .withColumns({
-            "_class": tens * 100 + F.substring(F.col("size").cast("string"), 1, 2).cast("int"),
-            "_part": F.conv(F.substring(F.md5(name), 1, 2), 16, 10).cast("int"),
+            f"{own}class": tens * 100 + F.substring(F.col("size").cast("string"), 1, 2).cast("int"),
+            f"{own}part": F.conv(F.substring(F.md5(name), 1, 2), 16, 10).cast("int"),
         })
-        .withColumn("_group", F.concat_ws("|", "_part", "_class", label))
+        .withColumn(f"{own}group", F.concat_ws("|", f"{own}part", f"{own}class", label))
     )
-    targets = source_targets(sized.select(F.col("_source").alias("source"), "size"), weights, percent, most).select(
-        F.col("source").alias("_of_source"), F.col("source_size").alias("_source_size"), F.col("target").alias("_target")
+    targets = source_targets(sized.select(F.col(f"{own}source").alias("source"), "size"), weights, percent, most).select(
+        F.col("source").alias(f"{own}of_source"), F.col("source_size").alias(f"{own}source_size"), F.col("target").alias(f"{own}target")
     )
-    rate = F.when(F.col("_source_size") > 0, F.col("_target") / F.col("_source_size")).otherwise(F.lit(0.0))
-    offset = F.conv(F.substring(F.md5(F.concat(F.lit(seed), F.coalesce("_of_source", F.lit("")))), 1, 8), 16, 10).cast("double")
+    rate = F.when(F.col(f"{own}source_size") > 0, F.col(f"{own}target") / F.col(f"{own}source_size")).otherwise(F.lit(0.0))
+    offset = F.conv(F.substring(F.md5(F.concat(F.lit(seed), F.coalesce(f"{own}of_source", F.lit("")))), 1, 8), 16, 10).cast("double")
     rates = targets.select(
-        "_of_source",
-        "_source_size",
-        "_target",
-        F.floor(rate).alias("_whole"),
-        (rate - F.floor(rate)).alias("_rest"),
-        (offset / 4294967296.0).alias("_offset"),
+        f"{own}of_source",
+        f"{own}source_size",
+        f"{own}target",
+        F.floor(rate).alias(f"{own}whole"),
+        (rate - F.floor(rate)).alias(f"{own}rest"),
+        (offset / 4294967296.0).alias(f"{own}offset"),
     )
-    placed = numbered(sized, "_source", "_class", "_part", "_group", ["size", "_id", "_text"], "_place")
-    crossed = F.floor(F.col("_offset") + F.col("_place") * F.col("_rest")) - F.floor(
-        F.col("_offset") + (F.col("_place") - 1) * F.col("_rest")
+    placed = numbered(sized, f"{own}source", f"{own}class", f"{own}part", f"{own}group", ["size", f"{own}id", f"{own}text"], f"{own}place")
+    crossed = F.floor(F.col(f"{own}offset") + F.col(f"{own}place") * F.col(f"{own}rest")) - F.floor(
+        F.col(f"{own}offset") + (F.col(f"{own}place") - 1) * F.col(f"{own}rest")
     )
     return (
-        placed.join(rates, F.col("_source").eqNullSafe(F.col("_of_source")))
-        .withColumns({"copies": F.col("_whole") + crossed, "source_size": F.col("_source_size"), "target": F.col("_target")})
-        .drop("_id", "_text", "_source", "_class", "_part", "_group", "_place", *rates.columns)
+        placed.join(rates, F.col(f"{own}source").eqNullSafe(F.col(f"{own}of_source")))
+        .withColumns({"copies": F.col(f"{own}whole") + crossed, "source_size": F.col(f"{own}source_size"), "target": F.col(f"{own}target")})
+        .drop(f"{own}id", f"{own}text", f"{own}source", f"{own}class", f"{own}part", f"{own}group", f"{own}place", *rates.columns)
     )
 
 
 def taken(mixed: DataFrame) -> DataFrame:
     """The mix itself: every document as often as its copies say."""
+    copy = f"{helper_prefix(mixed)}copy"
     return mixed.where("copies > 0").withColumn(
-        "_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
-    ).drop("_copy")
+        copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
+    ).drop(copy)

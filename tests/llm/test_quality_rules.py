@@ -78,3 +78,15 @@ def test_odd_rows(spark):
 @pytest.mark.parametrize("text", ["a b c d e f g h i j " * 3_000])
 def test_long_repetitive_text(documents, text):
     assert base(documents((1, text, "s")))[1][4] == 30_000
+
+
+def test_columns_named_like_helpers_and_ids_that_are_no_numbers(spark):
+    names = ["_statistics", "_own_id", "_gone_id", "_removed", "_of_id", "_n_removed_words", "key_id", "line"]
+    rows = [(f"d-{k}", "shared line of many\n" + " ".join(f"w{k}x{n}" for n in range(30)), "h", *names) for k in range(20)]
+    frame = spark.createDataFrame(rows, ["doc_id", "text", "source", *names])
+    kept = quality_rules.kept_documents(frame)
+    assert kept.columns == frame.columns
+    found = kept.collect()
+    assert sorted(r.doc_id for r in found) == sorted(r[0] for r in rows) and not any("shared" in r.text for r in found)
+    assert {tuple(r[name] for name in names) for r in found} == {tuple(names)}
+    assert quality_rules.judged(frame).columns[: len(frame.columns)] == frame.columns

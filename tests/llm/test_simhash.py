@@ -121,6 +121,14 @@ def test_one_of_each(spark):
     )
 
 
+def test_one_of_each_with_columns_named_like_helpers(spark):
+    names = ["_root", "_fp", "_doc_id", "_place", "root", "fp", "text_hash", "component_id"]
+    frame = spark.createDataFrame([(k, "one text that has a copy" if k < 3 else f"own {k} x", *names) for k in range(5)], ["doc_id", "text", *names])
+    kept = simhash.one_of_each(frame, 3, 2)
+    assert kept.columns == frame.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 3, 4]
+
+
 def test_one_of_each_where_ids_collide(spark):
     other, shared, near = "another text that is long enough to be far", "a text that two rows have in common", "x y z w"
     rows = [(3, shared), (5, shared), (5, other), (5, None), (3, near), (8, None), (8, ""), (None, "no id at all")]

@@ -60,3 +60,18 @@ def test_odd_rows(spark):
     empty = spark.createDataFrame([(1, None, "a"), (2, None, "b")], "doc_id bigint, text string, source string")
     assert {(r.source_size, r.copies * r.size) for r in source_mix.mix(empty, **MIX).collect()} == {(0, 0)}
     assert source_mix.mix(frame.limit(0), **MIX).count() == 0
+
+
+def test_columns_named_like_helpers(spark):
+    names = ["_id", "_text", "_source", "_class", "_part", "_group", "_place", "_target", "_copy", "_num_n", "place"]
+    frame = spark.createDataFrame([(k, "w " * (1 + k % 5), "ab"[k % 2], *names) for k in range(40)], ["doc_id", "text", "source", *names])
+    mixed = source_mix.mix(frame, **MIX)
+    assert sorted(mixed.columns) == sorted([*frame.columns, "size", "source_size", "target", "copies"])
+    plain = source_mix.mix(frame.select("doc_id", "text", "source"), **MIX)
+    assert sorted((r.doc_id, r.copies) for r in mixed.collect()) == sorted((r.doc_id, r.copies) for r in plain.collect())
+    assert {tuple(r[name] for name in names) for r in source_mix.taken(mixed).collect()} == {tuple(names)}
+
+
+def test_ids_that_are_no_numbers(spark):
+    frame = spark.createDataFrame([(f"a-{k}", "w " * (1 + k % 5), "ab"[k % 2]) for k in range(40)], "doc_id string, text string, source string")
+    assert source_mix.mix(frame, **MIX).select("doc_id").distinct().count() == 40
