@@ -105,11 +105,18 @@ def skill_masks(text: str, skills: Sequence[str] = V.SKILLS) -> dict[str, Column
 
 def skills_in_mask(skills: Sequence[str] = V.SKILLS) -> Column:
     """The skill names of the mask columns as an array in vocabulary order."""
+    return _in_mask([literal(skill) for skill in skills], skills)
+
+
+def skill_ids_in_mask(skills: Sequence[str] = V.SKILLS) -> Column:
+    """The keys of the skills in the mask columns. Each is worked out once, not once per row."""
+    return _in_mask([_surrogate_key(literal(skill)) for skill in skills], skills)
+
+
+def _in_mask(values: list[str], skills: Sequence[str]) -> Column:
     # Stays in generated code, unlike a filter with a lambda.
     names = mask_names(skills)
-    tests = [
-        f"IF(({names[i // MASK_BITS]} & {1 << i % MASK_BITS}L) != 0, {literal(skill)}, '')" for i, skill in enumerate(skills)
-    ]
+    tests = [f"IF(({names[i // MASK_BITS]} & {1 << i % MASK_BITS}L) != 0, {value}, '')" for i, value in enumerate(values)]
     return F.expr(f"array_remove(array({', '.join(tests)}), '')" if tests else "CAST(array() AS ARRAY<STRING>)")
 
 
@@ -163,19 +170,21 @@ def extraction_time_text(text: str = "extracted_at") -> Column:
     kept as it is. With one spelling, the greatest text is also the latest
     time. Counted from the epoch, so the session's time zone plays no part.
     """
-    return F.expr(_time_text(text))
+    return F.expr(f"coalesce({_utc_text(text)}, {text})")
 
 
-def _time_text(text: str) -> str:
+def _utc_text(text: str) -> str:
     zoned = f"IF({text} RLIKE '(Z|[+-][0-9][0-9]:?[0-9][0-9])$', {text}, concat({text}, 'Z'))"
-    seconds = f"CAST(CAST(unix_micros(try_to_timestamp({zoned})) AS DECIMAL(18,0)) / 1000000 AS DECIMAL(18,6))"
-    utc = f"timestamp_ntz'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, {seconds})"
-    return f"coalesce(date_format({utc}, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\"), {text})"
+    utc = f"timestampadd(MICROSECOND, unix_micros(try_to_timestamp({zoned})), timestamp_ntz'1970-01-01 00:00:00')"
+    return f"date_format({utc}, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\")"
 
 
 def run_key(extracted_at: str = "extracted_at") -> Column:
     """Directory-friendly form of the extraction time; sorts like the time."""
-    return F.expr(f"regexp_replace({_time_text(extracted_at)}, '[^0-9A-Za-z]', '')")
+    # The one spelling has no other signs than these; any other text is searched.
+    return F.expr(
+        f"coalesce(translate({_utc_text(extracted_at)}, '-:.+', ''), regexp_replace({extracted_at}, '[^0-9A-Za-z]', ''))"
+    )
 
 
 def run_time(key: Column) -> Column:
@@ -200,8 +209,12 @@ def surrogate_key(*parts: str) -> Column:
     128 bits of SHA-256: the same on every run and every executor, so foreign
     keys are projections and need no lookup join.
     """
+    return F.expr(_surrogate_key(*parts))
+
+
+def _surrogate_key(*parts: str) -> str:
     natural = ", '\\u0000', ".join(parts)
-    return F.expr(f"substring(sha2(concat({natural}), 256), 1, 32)")
+    return f"substring(sha2(concat({natural}), 256), 1, 32)"
 
 
 def percent_of(part: str, total: str) -> Column:

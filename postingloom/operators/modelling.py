@@ -82,7 +82,8 @@ def fold(relevant: DataFrame, options: ModelOptions = DEFAULT) -> DataFrame:
         with_skill_mask(relevant, skills=options.skills)
         .withColumn("ord", F.struct("extracted_at", "ordinal"))
         .withColumn("tie", F.xxhash64(*kept, *LONG_TEXTS))
-        .groupBy("source", "external_id")
+        # Rows are sorted by what tells most of them apart first.
+        .groupBy("external_id", "source")
         .agg(
             F.min(F.struct("ord", "tie", *kept)).alias("first"),
             F.min(F.struct("ord", "tie", *LONG_TEXTS)).alias("first_texts"),
@@ -142,9 +143,7 @@ def skill_rows(
 def bridge_of(folded: DataFrame, skills: Sequence[str] = V.SKILLS) -> DataFrame:
     """(posting, skill) pairs. Unique as they stand: one row per posting goes
     in, and a mask names a skill once."""
-    return folded.select(
-        "job_posting_id", F.explode(rules.skills_in_mask(skills)).alias("skill_name")
-    ).select("job_posting_id", rules.surrogate_key("skill_name").alias("skill_id"))
+    return folded.select("job_posting_id", F.explode(rules.skill_ids_in_mask(skills)).alias("skill_id"))
 
 
 # ---- dimensions -----------------------------------------------------------

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..operators import mart_state, marts, merge
 from ..operators import modelling as M
 from ..operators import quality
-from ..session import written
+from ..session import side_by_side, written
 from ..sources import staging
 from ..sources.warehouse import Warehouse
 
@@ -61,11 +61,15 @@ def load_run(
         day = warehouse.spark.range(1).select(F.lit(run_date).alias("run_date"))
         run["dim_date"] = M.dates_of(day, relevant if options.publication_dates else None)
 
-    outcomes = rows.agg(*quality.outcome_totals())
-    report = merge.load_report(stored["fact_job_posting"], fold, outcomes).first().asDict()
-    # Most runs set nothing aside; the staged rows are then not read again.
-    aside = quality.quarantined(staged if report["quarantined"] else staged.where("false"))
-    beside = {"quarantine": aside, "batch": batch}
+    report = {}
+
+    def set_aside() -> DataFrame:
+        outcomes = rows.agg(*quality.outcome_totals())
+        report.update(merge.load_report(stored["fact_job_posting"], fold, outcomes).first().asDict())
+        # Most runs set nothing aside; the staged rows are then not read again.
+        return quality.quarantined(staged if report["quarantined"] else staged.where("false"))
+
+    beside = {"quarantine": set_aside, "batch": batch}
     if published is None:
         if keep_marts:
             beside["mart_state"] = mart_state.counts(run["fact_job_posting"], run["bridge_job_skill"])
@@ -89,10 +93,12 @@ def load_run(
 def folded(staged: DataFrame, options: M.ModelOptions = M.DEFAULT) -> tuple[DataFrame, DataFrame]:
     """The outcome of every row with the few columns that dimensions are made from, and the folded postings, each written
     once to the shared folder. Dimensions, the calendar and the report's counts are made from the former, three
-    tables and the rest of the report from the latter; so the staged rows are read twice."""
+    tables and the rest of the report from the latter; so the staged rows are read twice, at the same time."""
     rows = staged.select(quality.outcome().alias("outcome"), "run_date", *M.dimension_sources(options))
     relevant = M.relevant_postings(quality.accepted(staged))
-    return written(rows, "outcomes"), written(M.fold(relevant, options), "folded")
+    fold = M.fold(relevant, options)
+    fold, rows = side_by_side([lambda: written(fold, "folded"), lambda: written(rows, "outcomes")])
+    return rows, fold
 
 
 def replay(

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,6 +51,13 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/postingloom/{purpose}-{uuid.uuid4().hex}"
 
 
+def side_by_side(steps: Iterable[Callable[[], Any]]) -> list[Any]:
+    """Run independent steps as concurrent Spark jobs, so that one fills the cores another leaves idle; their
+    results in order. Any failure is raised."""
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        return [done.result() for done in [pool.submit(step) for step in steps]]
+
+
 def written(frame: DataFrame, purpose: str) -> DataFrame:
     """The frame, written once to the shared folder and read from there."""
     path = scratch_path(frame.sparkSession, purpose)

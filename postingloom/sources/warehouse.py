@@ -14,14 +14,15 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import re
-from collections.abc import Callable, Iterable
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable
+from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..session import side_by_side
 from . import listing
 
 #: Table of the rows a load set aside.
@@ -36,13 +37,6 @@ BUCKETED = {"fact_job_posting": "job_posting_id", "bridge_job_skill": "job_posti
 LOG_SCHEMA = "version bigint, run_key string, published_at timestamp, buckets int, batch string"
 
 
-def _side_by_side(write: Callable[[str], None], names: Iterable[str]) -> None:
-    """Run independent writes as concurrent Spark jobs; any failure is raised."""
-    with ThreadPoolExecutor(max_workers=4) as pool:
-        for done in [pool.submit(write, name) for name in names]:
-            done.result()
-
-
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str, buckets: int | None = None):
         """``buckets`` is used when nothing is published yet and by a replay; a load
@@ -79,9 +73,13 @@ class Warehouse:
         empty ones if nothing is published."""
         line = published or self.current()
         if line is None:
-            return {n: self.spark.createDataFrame([], s) for n, s in schemas.WAREHOUSE.items()}
+            return {name: self._empty(name) for name in schemas.WAREHOUSE}
         return {name: self._read(name, line.version, line.buckets) for name in schemas.WAREHOUSE}
 
+    def _empty(self, name: str) -> DataFrame:
+        columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.WAREHOUSE[name].fields]
+        return self.spark.range(1).where("false").select(*columns)
+
     def _read(self, name: str, version: int, buckets: int) -> DataFrame:
         if name not in BUCKETED:
             return self.spark.read.schema(schemas.WAREHOUSE[name]).parquet(self._path(name, version))
@@ -102,7 +100,7 @@ class Warehouse:
         run_key: str | None,
         now: dt.datetime,
         co_located: bool = False,
-        quarantine: DataFrame | None = None,
+        quarantine: DataFrame | Callable[[], DataFrame] | None = None,
         rebucket: bool = False,
         batch: str | None = None,
         mart_state: DataFrame | None = None,
@@ -112,8 +110,8 @@ class Warehouse:
         ``batch`` names the part of a stream that the version was made from. ``mart_state`` are the counts of
         ``operators.mart_state`` that go with the version.
 
-        ``quarantine`` holds the rows that the load set aside, kept beside the tables
-        of the version. ``rebucket`` goes over to the bucket count of this
+        ``quarantine`` holds the rows that the load set aside, or makes them while the tables are written; they are
+        kept beside the tables of the version. ``rebucket`` goes over to the bucket count of this
         object, which only tables built anew can.
 
         ``co_located`` says that the rows of fact and bridge already lie in one
@@ -122,10 +120,6 @@ class Warehouse:
         """
         version = published.version + 1 if published else 1
         buckets = published.buckets if published and not rebucket else self._buckets
-        for name, beside in ((QUARANTINE, quarantine), (MART_STATE, mart_state)):
-            if beside is not None:
-                beside.write.mode("overwrite").parquet(self._path(name, version))
-
         def write(name: str) -> None:
             frame, path = tables[name].select(*schemas.WAREHOUSE[name].fieldNames()), self._path(name, version)
             if name not in BUCKETED:
@@ -137,7 +131,14 @@ class Warehouse:
             self.spark.sql(f"DROP TABLE IF EXISTS {table}")
             frame.write.mode("overwrite").format("parquet").bucketBy(buckets, key).option("path", path).saveAsTable(table)
 
-        _side_by_side(write, schemas.WAREHOUSE)
+        def write_beside(name: str, beside: DataFrame | Callable[[], DataFrame]) -> None:
+            frame = beside if isinstance(beside, DataFrame) else beside()
+            frame.write.mode("overwrite").parquet(self._path(name, version))
+
+        # The large tables first; the others fit in where these leave cores idle.
+        steps = [partial(write, name) for name in sorted(schemas.WAREHOUSE, key=lambda name: name not in BUCKETED)]
+        besides = ((QUARANTINE, quarantine), (MART_STATE, mart_state))
+        side_by_side(steps + [partial(write_beside, name, beside) for name, beside in besides if beside is not None])
         entry = self.spark.createDataFrame([(version, run_key, now, buckets, batch)], LOG_SCHEMA)
         entry.coalesce(1).write.mode("append").json(f"{self.root}/published")
         return version
@@ -166,7 +167,7 @@ class Warehouse:
     def write_marts(self, marts: dict[str, DataFrame]) -> None:
         """Keep the marts of the current version as Parquet beside its tables."""
         version = self.current().version
-        _side_by_side(lambda name: marts[name].write.mode("overwrite").parquet(self._path(name, version)), marts)
+        side_by_side(partial(marts[name].write.mode("overwrite").parquet, self._path(name, version)) for name in marts)
 
     def read_mart(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self._path(name, self.current().version))
