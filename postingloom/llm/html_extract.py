@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from html import unescape
+from zlib import crc32
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from postingloom.llm.common import shipped, stored, text_or_empty
+from postingloom.llm.common import shipped, stored_by, text_or_empty
 
 #: Elements whose content is never shown as text. Fixed values.
 HIDDEN = frozenset("script style noscript template svg math iframe object canvas video audio head title select datalist".split())
@@ -132,9 +135,18 @@ def blocks(html: str) -> tuple[list[str], list[str]]:
     An article or main inside chrome switches the text on again: always inside a form or a layout wrapper,
     and a main wherever it is. An article inside other chrome may be a teaser or a comment, so it
     counts where there is none that less chrome surrounds. Nothing inside a hidden element counts."""
-    article: list[tuple[int, str]] = []  # how much chrome is around it, and the block
-    outside: list[str] = []
+    article, outside, _ = _blocks(html)
+    return [text for _, text in article], [text for _, text in outside]
+
+
+def _blocks(html: str) -> tuple[list[tuple[int, str]], list[tuple[int, str]], list[str]]:
+    """The blocks of :func:`blocks`, each with its place among all shown blocks, and the latter, chrome included. Chrome inside
+    a block follows it."""
+    article: list[tuple[int, int, str]] = []  # how much chrome is around it, its place, and the block
+    outside: list[tuple[int, str]] = []
+    shown: list[str] = []
     run: list[str] = []
+    chrome: list[str] = []
     open_tags: list[tuple[str, tuple[int, ...]]] = []  # name, and the counts around it
     # Depths of the open tags by name, and of those that are blocks: no closing tag walks what is open.
     depths: dict[str, list[int]] = {}
@@ -149,9 +161,15 @@ def blocks(html: str) -> tuple[list[str], list[str]]:
             run.clear()
             if text:
                 if n_main:
-                    article.append((n_around, text))
+                    article.append((n_around, len(shown), text))
                 else:
-                    outside.append(text)
+                    outside.append((len(shown), text))
+                shown.append(text)
+        if chrome:
+            text = " ".join(unescape("".join(chrome)).split())
+            chrome.clear()
+            if text:
+                shown.append(text)
 
     def leave(depth: int) -> None:
         nonlocal n_chrome, n_apart, n_around, n_unseen, n_main
@@ -165,8 +183,8 @@ def blocks(html: str) -> tuple[list[str], list[str]]:
     while at < end:
         found = _TOKEN.search(html, at)
         stop = found.start() if found else end
-        if stop > at and not n_chrome and not n_unseen:
-            run.append(html[at:stop])
+        if stop > at and not n_unseen:
+            (chrome if n_chrome else run).append(html[at:stop])
         if not found:
             break
         at = max(found.end(), stop + 1)
@@ -211,27 +229,43 @@ def blocks(html: str) -> tuple[list[str], list[str]]:
             n_chrome = n_apart = 0
             n_main += 1
     flush()
-    nearest = min((around for around, _ in article), default=0)
-    return [text for around, text in article if around == nearest], outside
+    nearest = min((around for around, _, _ in article), default=0)
+    return [(at, text) for around, at, text in article if around == nearest], outside, shown
+
+
+def stream(html: str) -> tuple[bool, list[str], list[tuple[int, int]]]:
+    """Whether a page has an article, all its shown words in page order, chrome included, and the (start, number) of those that
+    are its main text: the article, or without one what is no chrome."""
+    article, outside, shown = _blocks(html)
+    own = {at for at, _ in article or outside}
+    words: list[str] = []
+    spans: list[tuple[int, int]] = []
+    for at, text in enumerate(shown):
+        start = len(words)
+        words += text.split(" ")
+        if at in own:
+            spans.append((start, len(words) - start))
+    return bool(article), words, spans
 
 
 def parsed(html: str | Column) -> Column:
-    """struct(has_article, article, outside) of an html column; null html is empty."""
+    """struct(has_article, words, own) of an html column; null html is empty. words are joined by blanks."""
 
-    @F.arrow_udf("has_article boolean, article string, outside array<string>")
-    def page_blocks(pages: pa.Array) -> pa.Array:
-        found = [blocks(page.as_py()) for page in pages]
+    @F.arrow_udf("has_article boolean, words string, own array<struct<start int, n int>>")
+    def page_streams(pages: pa.Array) -> pa.Array:
+        found = [stream(page.as_py()) for page in pages]
+        span = pa.struct([("start", pa.int32()), ("n", pa.int32())])
         return pa.StructArray.from_arrays(
             [
-                pa.array([bool(article) for article, _ in found], pa.bool_()),
-                pa.array([" ".join(article) for article, _ in found], pa.string()),
-                pa.array([outside for _, outside in found], pa.list_(pa.string())),
+                pa.array([has_article for has_article, _, _ in found], pa.bool_()),
+                pa.array([" ".join(words) for _, words, _ in found], pa.string()),
+                pa.array([[{"start": start, "n": n} for start, n in own] for _, _, own in found], pa.list_(span)),
             ],
-            names=["has_article", "article", "outside"],
+            names=["has_article", "words", "own"],
         )
 
     # Said to be nondeterministic so that a filter on the result does not parse once more.
-    return page_blocks.asNondeterministic()(text_or_empty(html))
+    return page_streams.asNondeterministic()(text_or_empty(html))
 
 
 def host_of(url: str | Column) -> Column:
@@ -240,69 +274,117 @@ def host_of(url: str | Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(given, F.lit("")), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
+def window_marks(words: list[str], run: int, host: str | None = None) -> np.ndarray:
+    """A mark for each window of ``run`` words: the least hash of the shorter windows of half as many words inside it.
+
+    Equal windows of a host have equal marks, and neighbouring windows mostly share theirs, so a page has far fewer marks than words."""
+    inner = max(1, run // 2)
+    n = len(words) - run + 1
+    if n <= 0:
+        return np.zeros(0, np.int64)
+    hashes = np.fromiter((crc32(word.encode()) for word in words), np.uint64, len(words))
+    grams = np.full(len(words) - inner + 1, crc32((host or "").encode()), np.uint64)
+    for k in range(inner):
+        grams = (grams ^ hashes[k : k + len(grams)]) * np.uint64(0x9E3779B97F4A7C15)
+        grams ^= grams >> np.uint64(29)
+    least = grams[:n].copy()
+    for k in range(1, run - inner + 1):
+        np.minimum(least, grams[k : k + n], out=least)
+    return least.view(np.int64)
+
+
+def _marks_of(run: int) -> Callable[[Column, Column], Column]:
+    @F.arrow_udf("array<bigint>")
+    def distinct_marks(streams: pa.Array, hosts: pa.Array) -> pa.Array:
+        found = [np.unique(window_marks(s.as_py().split(" "), run, h.as_py())) for s, h in zip(streams, hosts)]
+        return pa.array(found, pa.list_(pa.int64()))
+
+    return distinct_marks
+
+
+def _suffixes_of(run: int) -> Callable[[Column, Column, Column], Column]:
+    @F.arrow_udf("array<struct<place int, prefix string>>")
+    def marked_suffixes(streams: pa.Array, hosts: pa.Array, marked: pa.Array) -> pa.Array:
+        rows = []
+        for text, host, marks in zip(streams, hosts, marked):
+            words = text.as_py().split(" ")
+            places = np.flatnonzero(np.isin(window_marks(words, run, host.as_py()), np.array(marks.as_py(), np.int64)))
+            rows.append([{"place": int(at), "prefix": " ".join(words[at : at + run])} for at in places])
+        return pa.array(rows, pa.list_(pa.struct([("place", pa.int32()), ("prefix", pa.string())])))
+
+    return marked_suffixes
+
+
+def _pages_of(*group: str) -> Column:
+    """Distinct pages among the rows of equal ``group``."""
+    whole = Window.partitionBy(*group)
+    return F.max(F.dense_rank().over(whole.orderBy("page"))).over(whole)
+
+
 def repeated_places(streams: DataFrame, run: int, pages: int) -> DataFrame:
-    """(key, covered) from (key, host, tokens): token places that repeated runs of the host cover.
-
-    This is no suffix array, and nothing is sorted: hashes of all windows of ``run`` tokens are grouped per host in its place.
-    Whatever ``pages`` of the given streams or more share at that length is a repeat; longer repeats are covered by
-    their overlapping beginnings.
-    A host of any size is spread over all tasks, and counts combine before they are shuffled.
-    Streams of equal tokens are copies of one page and count once."""
-    window = F.transform(
-        F.array("tokens"),
-        lambda tokens: F.when(
-            F.size(tokens) >= run,
-            F.transform(
-                F.sequence(F.lit(0), F.size(tokens) - run), lambda i: F.xxhash64(F.array_join(F.slice(tokens, i + 1, run), " "))
-            ),
-        ),
-    )[0]
-    suffixes = streams.select(
-        "key", F.xxhash64("tokens").alias("page"), F.xxhash64("host").alias("of"), F.posexplode(window).alias("place", "start")
-    )
-    repeated = (
-        suffixes.groupBy("of", "start").agg(F.count_distinct("page").alias("n")).where(F.col("n") >= pages).drop("n")
+    """(page, covered) from (page, host, words): word places that runs of ``run`` words or more, shared by ``pages`` pages of the host, cover.
+
+    A suffix array of each host: the suffixes of all its pages are sorted, over range partitions, by host and their first ``run`` words.
+    Neighbours that have at least ``run`` words in common thus have equal keys and lie in one partition, and no deeper order
+    is needed: a longer run is covered by its overlapping beginnings. page is one for streams of equal words
+    and host, so copies count once.
+
+    A suffix enters the array only if its mark (:func:`window_marks`) is on ``pages`` pages of the host. Any other begins
+    no such run, since all places of a run have the same mark; so this leaves out no repeat."""
+    words, host = F.col("words"), F.col("host")
+    marks = streams.select("page", F.explode(_marks_of(run)(words, host)).alias("mark"))
+    shared = marks.withColumn("n", _pages_of("mark")).where(F.col("n") >= pages)
+    marked = shared.groupBy("page").agg(F.collect_set("mark").alias("marks")).withColumnRenamed("page", "of_page")
+    suffixes = (
+        streams.join(marked, F.col("page") == F.col("of_page"))
+        .select("page", "host", F.explode(_suffixes_of(run)(words, host, F.col("marks"))).alias("suffix"))
+        .select("page", "host", "suffix.place", "suffix.prefix")
     )
+    array = suffixes.repartitionByRange("host", "prefix").sortWithinPartitions("host", "prefix", "page")
+    repeats = array.withColumn("n", _pages_of("host", "prefix")).where(F.col("n") >= pages)
     covers = F.flatten(F.transform(F.collect_set("place"), lambda place: F.sequence(place, place + run - 1)))
-    return suffixes.join(repeated, ["of", "start"]).groupBy("key").agg(F.array_distinct(covers).alias("covered"))
+    return repeats.groupBy("page").agg(F.array_distinct(covers).alias("covered"))
 
 
 def main_text(
     pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", run: int = 10, min_pages: int = 3
 ) -> DataFrame:
-    """(page_id, url, text, n_chars), one row per row of ``pages``.
+    """(page_id, url, text, n_chars, n_repeated), one row per row of ``pages``.
 
-    A page with an article or main element gives the blocks of that, whole, whatever other
-    pages repeat. Other pages give the blocks that are not chrome, without runs of ``run`` tokens or more that
-    ``min_pages`` pages of the host share. Null or empty html gives an empty text; a null url
+    The suffix array of each host is made of all shown words of all its pages, menus and articles included; n_repeated
+    is the number of a page's words that repeated runs cover. A page with an article or main element gives the blocks
+    of that, whole, whatever other pages repeat. Other pages give the blocks that are not chrome, without the words that runs of
+    ``run`` words or more on ``min_pages`` pages of the host cover. Null or empty html gives an empty text; a null url
     is a host of its own; page_id is passed through, null or repeated. Only these three
     columns are read, so further ones may have any name. No rows give no rows."""
     read = pages.select(
         F.col(page_id).alias("page_id"),
         F.col(url).alias("url"),
-        F.xxhash64(text_or_empty(html)).alias("key"),
+        host_of(url).alias("host"),
         parsed(html).alias("found"),
     )
-    whole = read.where("found.has_article").select("page_id", "url", F.col("found.article").alias("text"))
-    rest = stored(
-        read.where("not found.has_article").select(
-            "page_id",
-            "url",
-            F.xxhash64("page_id", "url", "key").alias("key"),
-            host_of("url").alias("host"),
-            F.split(F.array_join("found.outside", " "), " ").alias("tokens"),
+    rows = stored_by(
+        read.select(
+            "page_id", "url", "host", F.xxhash64("host", "found.words").alias("page"), "found.words", "found.has_article", "found.own"
         ),
+        "page",
         "html-streams",
     )
-    covered = repeated_places(rest, run, min_pages).withColumnRenamed("key", "of_key")
-    kept = F.transform(
-        F.array_except(F.sequence(F.lit(0), F.size("tokens") - 1), F.coalesce("covered", F.array().cast("array<int>"))),
-        lambda i: F.get("tokens", i),
-    )
-    unique = rest.join(covered, F.col("key") == F.col("of_key"), "left").select(
-        "page_id", "url", F.array_join(kept, " ").alias("text")
+    covered = repeated_places(rows.select("page", "host", "words"), run, min_pages).withColumnRenamed("page", "of_page")
+    own = F.flatten(F.transform("own", lambda span: F.sequence(span["start"], span["start"] + span["n"] - 1)))
+    none = F.array().cast("array<int>")
+    kept = F.when(F.col("has_article"), F.col("at")).otherwise(F.array_except("at", F.coalesce("covered", none)))
+    return (
+        rows.join(covered, F.col("page") == F.col("of_page"), "left")
+        .withColumns({"at": own, "tokens": F.split("words", " ")})
+        .select(
+            "page_id",
+            "url",
+            F.array_join(F.transform(kept, lambda i: F.get("tokens", i)), " ").alias("text"),
+            F.coalesce(F.size("covered"), F.lit(0)).cast("long").alias("n_repeated"),
+        )
+        .select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_repeated")
     )
-    return whole.unionByName(unique).withColumn("n_chars", F.length("text").cast("long"))
 
 
 shipped(__name__)

@@ -122,3 +122,68 @@ def test_query(spark, sf_dir):
         expected = " ".join(unescape(re.sub("<[^>]*>", " ", inner)).split())
         row = found[page_id]
         assert (row.url, row.text, row.n_chars) == (url, expected, len(expected))
+
+
+def _page(k, body, host="a.example.com"):
+    return (k, f"http://{host}/{k}", body, None)
+
+
+def test_repeats_count_over_all_pages_of_a_host(spark):
+    """What a page without an article shares with menus and articles of other pages goes; they themselves stay whole."""
+    notice = "Subscribe to our letter for more about all the news of this town today and tomorrow"
+    rows = [
+        _page(1, f"<nav>{notice}</nav><article>first own</article>"),
+        _page(2, f"<article>second {notice} own</article>"),
+        _page(3, f"<p>third {notice} own</p>"),
+        _page(4, f"<p>fourth {notice} own</p>", "b.example.com"),
+        _page(5, f"<footer>{notice}</footer><p>fifth</p>", "b.example.com"),
+    ]
+    found = {r.page_id: (r.text, r.n_repeated) for r in main_text(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert found == {
+        1: ("first own", 16), 2: (f"second {notice} own", 16), 3: ("third own", 16), 4: (f"fourth {notice} own", 0), 5: ("fifth", 0),
+    }
+
+
+def test_suffix_array_against_brute_force(spark):
+    import random
+
+    from postingloom.llm.html_extract import repeated_places
+
+    draw, run, n_pages = random.Random(3), 4, 3
+    streams = []
+    for k in range(60):
+        words = [draw.choice("abcd") for _ in range(draw.choice([0, 2, 3, 5, 12, 20]))]
+        streams.append((k, f"h{k % 3}", " ".join(words)))
+    streams += [(k + 100, host, f"x{k} p q r s t y{k}") for k, host in enumerate(["h0", "h0", "h0", "h1", "h1", None, "h2"])]
+    pages_with: dict = {}
+    for page, host, text in streams:
+        words = text.split(" ")
+        for at in range(len(words) - run + 1):
+            pages_with.setdefault((host, *words[at : at + run]), set()).add(page)
+    expected = {}
+    for page, host, text in streams:
+        words = text.split(" ")
+        for at in range(len(words) - run + 1):
+            if len(pages_with[host, *words[at : at + run]]) >= n_pages:
+                expected.setdefault(page, set()).update(range(at, at + run))
+    frame = spark.createDataFrame(streams, "page bigint, host string, words string")
+    found = {r.page: r.covered for r in repeated_places(frame, run, n_pages).collect()}
+    assert {page: set(places) for page, places in found.items()} == expected and 10 < len(expected) < 60
+    assert all(len(places) == len(set(places)) for places in found.values())
+
+
+def test_suffixes_are_sorted_over_range_partitions(spark):
+    from postingloom.llm.html_extract import repeated_places
+
+    frame = spark.createDataFrame([(1, "h", "a b")], "page bigint, host string, words string")
+    assert "rangepartitioning(host" in repeated_places(frame, 2, 1)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_equal_windows_have_equal_marks():
+    from postingloom.llm.html_extract import window_marks
+
+    words = [f"w{k}" for k in range(30)]
+    marks = window_marks(words, 10)
+    assert len(marks) == 21 and len(set(marks.tolist())) < 15
+    assert window_marks(["x", *words[5:15], "y", "z"], 10)[1] == marks[5]
+    assert [len(window_marks(words[:n], 10)) for n in (0, 9, 10)] == [0, 0, 1]
