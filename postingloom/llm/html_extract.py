@@ -3,16 +3,23 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from html import unescape
-from zlib import crc32
+from itertools import chain
+from itertools import compress as compress_by
+from zlib import compress, crc32, decompress
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructType
 
-from postingloom.llm.common import shipped, stored_by, text_or_empty
+from postingloom.llm.common import BATCH_BYTES, SMALL, shipped, shuffles_removed, stored, stored_by, text_or_empty
+
+#: Most pages of a chunk, and most characters of its words unless it is one page.
+PAGES, CHARS = 2048, BATCH_BYTES
 
 #: Elements whose content is never shown as text. Fixed values.
 HIDDEN = frozenset("script style noscript template svg math iframe object canvas video audio head title select datalist".split())
@@ -248,77 +255,211 @@ def stream(html: str) -> tuple[bool, list[str], list[tuple[int, int]]]:
     return bool(article), words, spans
 
 
-def parsed(html: str | Column) -> Column:
-    """struct(has_article, words, own) of an html column; null html is empty. words are joined by blanks."""
-
-    @F.arrow_udf("has_article boolean, words string, own array<struct<start int, n int>>")
-    def page_streams(pages: pa.Array) -> pa.Array:
-        found = [stream(page.as_py()) for page in pages]
-        span = pa.struct([("start", pa.int32()), ("n", pa.int32())])
-        return pa.StructArray.from_arrays(
-            [
-                pa.array([has_article for has_article, _, _ in found], pa.bool_()),
-                pa.array([" ".join(words) for _, words, _ in found], pa.string()),
-                pa.array([[{"start": start, "n": n} for start, n in own] for _, _, own in found], pa.list_(span)),
-            ],
-            names=["has_article", "words", "own"],
-        )
-
-    # Said to be nondeterministic so that a filter on the result does not parse once more.
-    return page_streams.asNondeterministic()(text_or_empty(html))
-
-
 def host_of(url: str | Column) -> Column:
     """Host of a url in lower case; empty where there is none."""
     given = F.col(url) if isinstance(url, str) else url
     return F.lower(F.regexp_extract(F.coalesce(given, F.lit("")), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
-def window_marks(words: list[str], run: int, host: str | None = None) -> np.ndarray:
-    """A mark for each window of ``run`` words: the least hash of the shorter windows of half as many words inside it.
-
-    Equal windows of a host have equal marks, and neighbouring windows mostly share theirs, so a page has far fewer marks than words."""
-    inner = max(1, run // 2)
+def _stored_in_chunks(frame: DataFrame, html: bool) -> DataFrame:
+    """The frame, stored with chunk, at (place in its chunk) and n_words; a column html becomes words, has_article and own.
+
+    A chunk holds pages that one task read one after another, at most PAGES of them, and CHARS characters unless one page is longer.
+    It lies in one bucket, so each step takes whole chunks as they lie and words are never shuffled."""
+
+    def rows_in_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, at, chars = TaskContext.get().partitionId() << 24, 0, 0
+        for whole in batches:
+            for first in range(0, whole.num_rows, PAGES):
+                batch = whole.slice(first, PAGES)
+                columns = {name: batch.column(name) for name in batch.schema.names}
+                if html:
+                    found = [stream(page.as_py()) for page in columns.pop("html")]
+                    columns["words"] = pa.array([" ".join(words) for _, words, _ in found], pa.string())
+                    columns["has_article"] = pa.array([has_article for has_article, _, _ in found], pa.bool_())
+                    columns["own"] = pa.array([[n for span in own for n in span] for _, _, own in found], pa.list_(pa.int32()))
+                chunks, places, numbers = [], [], []
+                for words in columns["words"].to_pylist():
+                    if at == PAGES or at and chars + len(words) > CHARS:
+                        chunk, at, chars = chunk + 1, 0, 0
+                    chunks.append(chunk)
+                    places.append(at)
+                    numbers.append(words.count(" ") + 1)
+                    at, chars = at + 1, chars + len(words)
+                columns |= {"chunk": pa.array(chunks, pa.int64()), "at": pa.array(places, pa.int32()), "n_words": pa.array(numbers, pa.int32())}
+                yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+    schema = StructType([field for field in frame.schema if field.name != "html"])
+    if html:
+        schema = schema.add("words", "string").add("has_article", "boolean").add("own", ArrayType(IntegerType()))
+    rows = frame.mapInArrow(rows_in_chunks, schema.add("chunk", "long").add("at", "integer").add("n_words", "integer"))
+    if html:
+        rows = rows.withColumn("page", F.xxhash64("host", "words"))
+    return stored_by(rows, "chunk", "html-streams")
+
+
+def _least_hashes(words: list[str], salts: np.ndarray, run: int) -> np.ndarray:
+    """For each window of ``run`` words the least hash of the windows of two thirds as many words inside it."""
+    inner = max(1, run - run // 3)
     n = len(words) - run + 1
     if n <= 0:
-        return np.zeros(0, np.int64)
-    hashes = np.fromiter((crc32(word.encode()) for word in words), np.uint64, len(words))
-    grams = np.full(len(words) - inner + 1, crc32((host or "").encode()), np.uint64)
+        return np.zeros(0, np.uint64)
+    hashes = np.fromiter(map(crc32, map(str.encode, words)), np.uint64, len(words))
+    grams = salts[: len(words) - inner + 1].astype(np.uint64)
     for k in range(inner):
         grams = (grams ^ hashes[k : k + len(grams)]) * np.uint64(0x9E3779B97F4A7C15)
         grams ^= grams >> np.uint64(29)
     least = grams[:n].copy()
     for k in range(1, run - inner + 1):
         np.minimum(least, grams[k : k + n], out=least)
-    return least.view(np.int64)
-
+    return least
 
-def _marks_of(run: int) -> Callable[[Column, Column], Column]:
-    @F.arrow_udf("array<bigint>")
-    def distinct_marks(streams: pa.Array, hosts: pa.Array) -> pa.Array:
-        found = [np.unique(window_marks(s.as_py().split(" "), run, h.as_py())) for s, h in zip(streams, hosts)]
-        return pa.array(found, pa.list_(pa.int64()))
 
-    return distinct_marks
-
-
-def _suffixes_of(run: int) -> Callable[[Column, Column, Column], Column]:
-    @F.arrow_udf("array<struct<place int, prefix string>>")
-    def marked_suffixes(streams: pa.Array, hosts: pa.Array, marked: pa.Array) -> pa.Array:
-        rows = []
-        for text, host, marks in zip(streams, hosts, marked):
-            words = text.as_py().split(" ")
-            places = np.flatnonzero(np.isin(window_marks(words, run, host.as_py()), np.array(marks.as_py(), np.int64)))
-            rows.append([{"place": int(at), "prefix": " ".join(words[at : at + run])} for at in places])
-        return pa.array(rows, pa.list_(pa.struct([("place", pa.int32()), ("prefix", pa.string())])))
+def window_marks(words: list[str], run: int, host: str | None = None) -> np.ndarray:
+    """A mark for each window of ``run`` words: the least hash of the windows of two thirds as many words inside it.
 
-    return marked_suffixes
+    Equal windows of a host have equal marks, and neighbouring windows mostly share theirs, so a page has far fewer marks than words."""
+    return _least_hashes(words, np.full(len(words), crc32((host or "").encode())), run).view(np.int64)
+
+
+def _windows(texts: list[str], hosts: list[str | None], run: int, bits: int) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All words of the texts, where each text begins among them, and of each window its text, its first word and its mark.
+
+    A mark is cut to 32 bits and ``bits`` before them that tell its shard. Marks that fall together cost time only."""
+    split = [text.split(" ") for text in texts]
+    words = list(chain.from_iterable(split))
+    sizes = np.fromiter(map(len, split), np.int64, len(split))
+    ends = np.cumsum(sizes)
+    salts = np.repeat(np.fromiter((crc32((host or "").encode()) for host in hosts), np.uint64, len(hosts)), sizes)
+    marks = _least_hashes(words, salts, run) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32 - bits)
+    at = np.flatnonzero(np.arange(len(marks)) + run <= np.repeat(ends, sizes)[: len(marks)])
+    return words, ends - sizes, np.repeat(np.arange(len(split)), sizes)[at], at, marks[at]
+
+
+def _packed(marks: np.ndarray, counts: np.ndarray) -> bytes:
+    """Ascending 32-bit marks as differences, byte by byte, and their counts."""
+    steps = np.diff(marks, prepend=np.uint32(0)).astype("<u4")
+    return compress(steps.view(np.uint8).reshape(-1, 4).T.tobytes() + counts.astype(np.uint8).tobytes(), 1, -15)
+
+
+def _unpacked(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(decompress(packed, -15), np.uint8).reshape(5, -1)
+    return np.cumsum(np.ascontiguousarray(planes[:4].T).view("<u4").ravel(), dtype=np.uint32), planes[4]
+
+
+def _marks_of(run: int, least: int, bits: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """Of a chunk and its first ones of equal pages: per shard the marks, each with the number of first pages it is on, at most ``least``."""
+
+    def marks_of_chunk(rows: pa.Table, firsts: pa.Table) -> pa.Table:
+        _, _, text, _, marks = _windows(rows["words"].to_pylist(), rows["host"].to_pylist(), run, bits)
+        is_first = np.isin(rows["at"].to_numpy(), firsts["at"].to_numpy())
+        order = np.lexsort((text, marks))
+        text, marks = text[order], marks[order]
+        new = np.ones(len(marks), bool)
+        new[1:] = (marks[1:] != marks[:-1]) | (text[1:] != text[:-1])
+        text, marks = text[new], marks[new]
+        marks, begins = np.unique(marks, return_index=True)
+        counts = np.minimum(np.add.reduceat(is_first[text].astype(np.int64), begins), least) if len(marks) else begins
+        shards, cuts = np.unique(marks >> np.uint64(32), return_index=True)
+        parts = [(m.astype(np.uint32), n) for m, n in zip(np.split(marks, cuts[1:]), np.split(counts, cuts[1:]))] if len(marks) else []
+        chunk = rows["chunk"][0].as_py()
+        return pa.table(
+            {
+                "shard": pa.array(shards.astype(np.int32), pa.int32()),
+                "chunk": pa.array([chunk] * len(parts), pa.int64()),
+                "marks": pa.array([_packed(m, n) for m, n in parts], pa.binary()),
+            }
+        )
 
+    return marks_of_chunk
+
+
+def _shared_of(least: int) -> Callable[[pa.Table], pa.Table]:
+    """Of a shard: per chunk those of its marks that are on ``least`` pages in all."""
+
+    def shared_of_shard(rows: pa.Table) -> pa.Table:
+        shard = np.uint64(rows["shard"][0].as_py() << 32)
+        found = [_unpacked(packed) for packed in rows["marks"].to_pylist()]
+        marks, where = np.unique(np.concatenate([m for m, _ in found]), return_inverse=True)
+        # Sums of whole numbers below 2**53 are exact in double precision.
+        shared = marks[np.bincount(where, np.concatenate([n for _, n in found])) >= least]
+        kept = [(m[np.isin(m, shared, assume_unique=True)] | shard).astype("<u8").tobytes() for m, _ in found]
+        table = pa.table({"chunk": rows["chunk"], "marks": pa.array(kept, pa.binary())})
+        return table.filter(pa.array([len(m) > 0 for m in kept], pa.bool_()))
+
+    return shared_of_shard
+
+
+def _suffixes_of(run: int, bits: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """Of a chunk, its first ones of equal pages and its shared marks: the distinct marked suffixes, each with a page (by chunk and at)
+    and place that has it, and with the number of first pages it is on."""
+
+    def suffixes_of_chunk(rows: pa.Table, told: pa.Table) -> pa.Table:
+        hosts, numbers = rows["host"].to_pylist(), rows["at"].to_numpy()
+        words, begins, text, at, marks = _windows(rows["words"].to_pylist(), hosts, run, bits)
+        is_first = np.isin(numbers, told["at"].drop_null().to_numpy()).tolist()
+        marked = np.isin(marks, np.frombuffer(b"".join(told["marks"].drop_null().to_pylist()), "<u8"))
+        seen: dict[tuple[str | None, str], list[int]] = {}  # page and place that have it first, first pages, page that had it last
+        for page, place in zip(text[marked].tolist(), at[marked].tolist()):
+            suffix = hosts[page], " ".join(words[place : place + run])
+            known = seen.get(suffix)
+            if known is None:
+                seen[suffix] = [page, place, int(is_first[page]), page]
+            elif known[3] != page:
+                known[2] += is_first[page]
+                known[3] = page
+        page, place, n, _ = np.array(list(seen.values()), np.int64).reshape(-1, 4).T
+        return pa.table(
+            {
+                "host": pa.array([host for host, _ in seen], pa.string()),
+                "prefix": pa.array([prefix for _, prefix in seen], pa.string()),
+                "number": pa.array(rows["chunk"].to_numpy()[page] * PAGES + numbers[page], pa.int64()),
+                "place": pa.array((place - begins[page]).astype(np.int32), pa.int32()),
+                "n": pa.array(n, pa.int64()),
+            }
+        )
 
-def _pages_of(*group: str) -> Column:
-    """Distinct pages among the rows of equal ``group``."""
-    whole = Window.partitionBy(*group)
-    return F.max(F.dense_rank().over(whole.orderBy("page"))).over(whole)
+    return suffixes_of_chunk
+
+
+def _repeats(rows: DataFrame, run: int, pages: int) -> DataFrame:
+    """(chunk, at, place): for each distinct ``run`` words of a chunk that ``pages`` pages of the host have, a page and place that has them."""
+    n_words = rows.agg(F.sum("n_words")).first()[0] or 0
+    bits = min(24, max(4, (n_words >> 21).bit_length()))
+    least = min(pages, 255)
+    number = F.col("chunk") * PAGES + F.col("at")
+    chunk_and_at = F.expr(f"number div {PAGES}").alias("chunk"), F.pmod("number", F.lit(PAGES)).cast("int").alias("at")
+    firsts = rows.groupBy("page").agg(F.min(number).alias("number")).select(*chunk_and_at)
+    chunks = rows.select("chunk", "at", "host", "words").groupBy("chunk")
+    marks = chunks.cogroup(firsts.groupBy("chunk")).applyInArrow(_marks_of(run, least, bits), "shard int, chunk long, marks binary")
+    shared = marks.groupBy("shard").applyInArrow(_shared_of(least), "chunk long, marks binary")
+    told = firsts.withColumn("marks", F.lit(None).cast("binary")).unionByName(shared.withColumn("at", F.lit(None).cast("int")))
+    kinds = "host string, prefix string, number long, place int, n long"
+    suffixes = chunks.cogroup(told.groupBy("chunk")).applyInArrow(_suffixes_of(run, bits), kinds)
+    # Stored, since rows dealt by range are made twice, first to find the bounds.
+    with shuffles_removed(rows.sparkSession):
+        array = stored(suffixes, "html-suffixes", **SMALL)
+    array = array.repartitionByRange("host", "prefix").sortWithinPartitions("host", "prefix", "number")
+    of_pages = F.sum("n").over(Window.partitionBy("host", "prefix"))
+    return array.withColumn("of_pages", of_pages).where(F.col("of_pages") >= pages).select(*chunk_and_at, "place")
+
+
+def _covered(rows: pa.Table, repeats: pa.Table, run: int) -> tuple[list[str], list[int], np.ndarray]:
+    """All words of a chunk, where each page begins among them, and whether the chunk's repeats cover each word."""
+    hosts, numbers = rows["host"].to_pylist(), rows["at"].to_numpy()
+    words, begins, text, at, marks = _windows(rows["words"].to_pylist(), hosts, run, 8)
+    edges = np.zeros(len(words) + 1, np.int64)
+    if repeats.num_rows:
+        order = np.argsort(numbers)
+        pages = order[np.searchsorted(numbers, repeats["at"].to_numpy(), sorter=order)]
+        places = begins[pages] + repeats["place"].to_numpy()
+        known = {(hosts[page], " ".join(words[place : place + run])) for page, place in zip(pages.tolist(), places.tolist())}
+        marked = np.isin(marks, marks[np.searchsorted(at, places)])
+        for page, place in zip(text[marked].tolist(), at[marked].tolist()):
+            if (hosts[page], " ".join(words[place : place + run])) in known:
+                edges[place] += 1
+                edges[place + run] -= 1
+    return words, begins.tolist(), np.cumsum(edges[:-1]) > 0
 
 
 def repeated_places(streams: DataFrame, run: int, pages: int) -> DataFrame:
@@ -329,21 +470,24 @@ def repeated_places(streams: DataFrame, run: int, pages: int) -> DataFrame:
     is needed: a longer run is covered by its overlapping beginnings. page is one for streams of equal words
     and host, so copies count once.
 
-    A suffix enters the array only if its mark (:func:`window_marks`) is on ``pages`` pages of the host. Any other begins
-    no such run, since all places of a run have the same mark; so this leaves out no repeat."""
-    words, host = F.col("words"), F.col("host")
-    marks = streams.select("page", F.explode(_marks_of(run)(words, host)).alias("mark"))
-    shared = marks.withColumn("n", _pages_of("mark")).where(F.col("n") >= pages)
-    marked = shared.groupBy("page").agg(F.collect_set("mark").alias("marks")).withColumnRenamed("page", "of_page")
-    suffixes = (
-        streams.join(marked, F.col("page") == F.col("of_page"))
-        .select("page", "host", F.explode(_suffixes_of(run)(words, host, F.col("marks"))).alias("suffix"))
-        .select("page", "host", "suffix.place", "suffix.prefix")
-    )
-    array = suffixes.repartitionByRange("host", "prefix").sortWithinPartitions("host", "prefix", "page")
-    repeats = array.withColumn("n", _pages_of("host", "prefix")).where(F.col("n") >= pages)
-    covers = F.flatten(F.transform(F.collect_set("place"), lambda place: F.sequence(place, place + run - 1)))
-    return repeats.groupBy("page").agg(F.array_distinct(covers).alias("covered"))
+    Pages are looked at in chunks, and equal suffixes of a chunk are one row of the array that says on how many pages they are
+    and where one is.
+    A suffix enters the array only if its mark (:func:`window_marks`) is on ``pages`` pages. Any other begins
+    no such run, since all places of a run have the same mark; so this leaves out no repeat. Marks go to their shards as
+    differences, with a count for each chunk in place of the pages; the words of the pages stay where they are stored."""
+
+    def covered_of_chunk(rows: pa.Table, repeats: pa.Table) -> pa.Table:
+        _, begins, covered = _covered(rows, repeats, run)
+        ends = [*begins[1:], len(covered)]
+        places = [np.flatnonzero(covered[begin:end]).astype(np.int32) for begin, end in zip(begins, ends)]
+        table = pa.table({"page": rows["page"], "covered": pa.array(places, pa.list_(pa.int32()))})
+        return table.filter(pa.array([len(found) > 0 for found in places], pa.bool_()))
+
+    given = streams.select("page", "host", text_or_empty("words").alias("words"))
+    rows = _stored_in_chunks(given, html=False)
+    schema = StructType([given.schema["page"]]).add("covered", ArrayType(IntegerType()))
+    repeats = _repeats(rows, run, pages).groupBy("chunk")
+    return rows.select("chunk", "at", "page", "host", "words").groupBy("chunk").cogroup(repeats).applyInArrow(covered_of_chunk, schema).dropDuplicates(["page"])
 
 
 def main_text(
@@ -351,40 +495,38 @@ def main_text(
 ) -> DataFrame:
     """(page_id, url, text, n_chars, n_repeated), one row per row of ``pages``.
 
-    The suffix array of each host is made of all shown words of all its pages, menus and articles included; n_repeated
+    The suffix array of each host (:func:`repeated_places`) is made of all shown words of all its pages, menus and articles included; n_repeated
     is the number of a page's words that repeated runs cover. A page with an article or main element gives the blocks
     of that, whole, whatever other pages repeat. Other pages give the blocks that are not chrome, without the words that runs of
     ``run`` words or more on ``min_pages`` pages of the host cover. Null or empty html gives an empty text; a null url
     is a host of its own; page_id is passed through, null or repeated. Only these three
     columns are read, so further ones may have any name. No rows give no rows."""
-    read = pages.select(
-        F.col(page_id).alias("page_id"),
-        F.col(url).alias("url"),
-        host_of(url).alias("host"),
-        parsed(html).alias("found"),
-    )
-    rows = stored_by(
-        read.select(
-            "page_id", "url", "host", F.xxhash64("host", "found.words").alias("page"), "found.words", "found.has_article", "found.own"
-        ),
-        "page",
-        "html-streams",
-    )
-    covered = repeated_places(rows.select("page", "host", "words"), run, min_pages).withColumnRenamed("page", "of_page")
-    own = F.flatten(F.transform("own", lambda span: F.sequence(span["start"], span["start"] + span["n"] - 1)))
-    none = F.array().cast("array<int>")
-    kept = F.when(F.col("has_article"), F.col("at")).otherwise(F.array_except("at", F.coalesce("covered", none)))
-    return (
-        rows.join(covered, F.col("page") == F.col("of_page"), "left")
-        .withColumns({"at": own, "tokens": F.split("words", " ")})
-        .select(
-            "page_id",
-            "url",
-            F.array_join(F.transform(kept, lambda i: F.get("tokens", i)), " ").alias("text"),
-            F.coalesce(F.size("covered"), F.lit(0)).cast("long").alias("n_repeated"),
+
+    def text_of_chunk(rows: pa.Table, repeats: pa.Table) -> pa.Table:
+        words, begins, covered = _covered(rows, repeats, run)
+        ends = [*begins[1:], len(words)]
+        texts = []
+        for begin, has_article, own in zip(begins, rows["has_article"].to_pylist(), rows["own"].to_pylist()):
+            kept: list[str] = []
+            for start, n in zip(own[::2], own[1::2]):
+                at = slice(begin + start, begin + start + n)
+                kept += words[at] if has_article else compress_by(words[at], ~covered[at])
+            texts.append(" ".join(kept))
+        n_repeated = [int(np.count_nonzero(covered[begin:end])) for begin, end in zip(begins, ends)]
+        return pa.table(
+            {"page_id": rows["page_id"], "url": rows["url"], "text": pa.array(texts, pa.string()), "n_repeated": pa.array(n_repeated, pa.int64())}
         )
-        .select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_repeated")
+
+    read = pages.select(
+        F.col(page_id).alias("page_id"), F.col(url).alias("url"), host_of(url).alias("host"), text_or_empty(html).alias("html")
     )
+    rows = _stored_in_chunks(read, html=True)
+    # Stored as well, so that the array's shuffle is gone before the texts are made.
+    with shuffles_removed(pages.sparkSession):
+        repeats = stored(_repeats(rows, run, min_pages), "html-repeats", **SMALL).groupBy("chunk")
+    schema = StructType([read.schema["page_id"], read.schema["url"]]).add("text", "string").add("n_repeated", "long")
+    found = rows.drop("page", "n_words").groupBy("chunk").cogroup(repeats).applyInArrow(text_of_chunk, schema)
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_repeated")
 
 
 shipped(__name__)

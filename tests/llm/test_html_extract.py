@@ -187,3 +187,61 @@ def test_equal_windows_have_equal_marks():
     assert len(marks) == 21 and len(set(marks.tolist())) < 15
     assert window_marks(["x", *words[5:15], "y", "z"], 10)[1] == marks[5]
     assert [len(window_marks(words[:n], 10)) for n in (0, 9, 10)] == [0, 0, 1]
+
+
+def _shuffled_bytes(spark):
+    from pathlib import Path
+
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {f: f.stat().st_size for folder in folders for f in Path(str(folder)).rglob("shuffle_*.data")}
+
+
+def test_words_are_not_shuffled(spark):
+    """Marks go to their shards, in a few bytes each; the words of the pages stay where they are stored."""
+    import random
+
+    draw = random.Random(5)
+    rows = [_page(k, "<p>" + " ".join(f"{draw.getrandbits(60):x}" for _ in range(1000)) + "</p>") for k in range(300)]
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(4).cache()
+    assert frame.count() == 300
+    before = _shuffled_bytes(spark)
+    assert {(r.n_chars > 15_000, r.n_repeated) for r in main_text(frame).collect()} == {(True, 0)}
+    written = sum(size for f, size in _shuffled_bytes(spark).items() if f not in before)
+    assert written < 0.2 * sum(len(html) for _, _, html, _ in rows)
+
+
+def test_repeats_over_many_chunks(spark, monkeypatch):
+    """Copies count once wherever they lie, and each page of each chunk gets what repeats."""
+    import random
+
+    from postingloom.llm import html_extract
+
+    monkeypatch.setattr(html_extract, "PAGES", 2)
+    draw, run, n_pages = random.Random(4), 4, 3
+    texts = [" ".join(draw.choice("abc") for _ in range(draw.choice([0, 3, 5, 9, 15]))) for _ in range(40)]
+    bodies = [(f"h{draw.randrange(2)}.org", text) for text in texts] + [("h0.org", "n o t e s")] * 7
+    bodies += [draw.choice(bodies) for _ in range(30)]
+    pages_with: dict = {}
+    for host, text in bodies:
+        words = text.split(" ")
+        for at in range(len(words) - run + 1):
+            pages_with.setdefault((host, *words[at : at + run]), set()).add(text)
+    expected = {}
+    for k, (host, text) in enumerate(bodies):
+        words = text.split(" ")
+        places = {p for at in range(len(words) - run + 1) if len(pages_with[host, *words[at : at + run]]) >= n_pages for p in range(at, at + run)}
+        expected[k] = " ".join(word for at, word in enumerate(words) if at not in places), len(places)
+    frame = spark.createDataFrame([_page(k, f"<p>{text}</p>", host) for k, (host, text) in enumerate(bodies)], SCHEMA).repartition(3)
+    found = {r.page_id: (r.text, r.n_repeated) for r in main_text(frame, run=run, min_pages=n_pages).collect()}
+    assert found == expected and 10 < sum(n > 0 for _, n in expected.values()) < len(bodies)
+
+
+def test_a_chunk_is_bounded(spark, monkeypatch):
+    from postingloom.llm import html_extract
+
+    monkeypatch.setattr(html_extract, "CHARS", 100)
+    words = [40, 40, 40, 300, 5, 5, 90]
+    frame = spark.createDataFrame([(k, "h", "x" * n) for k, n in enumerate(words)], "page bigint, host string, words string").coalesce(1)
+    rows = sorted(html_extract._stored_in_chunks(frame, html=False).collect(), key=lambda r: r.page)
+    assert [r.chunk - rows[0].chunk for r in rows] == [0, 0, 1, 2, 3, 3, 3]
+    assert [r["at"] for r in rows] == [0, 1, 0, 0, 0, 1, 2]
